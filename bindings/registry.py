@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from bindings import reports
+from bindings import ordered, reports, texts
 
 
 def all_queries():
     found = {}
-    for module in (reports,):
+    for module in (reports, texts, ordered):
         found.update(module.QUERIES)
     return found

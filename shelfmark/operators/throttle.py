@@ -1,53 +1,78 @@
 """Throttled capture and carry-forward of captured labels.
 
-Throttling is sequential: the next emission depends on the last. A key's time is
-cut into blocks. What a block does to the clock is a step function: a clock
-value that lands on the i-th instant leaves the block as some later value. Many
-instants share the same outcome, so the function is a short list. The blocks'
-functions, not their rows, are applied in order per key; then every block emits
-on its own from the clock value it starts with.
+Throttling is sequential: the next emission depends on the last one. Here every
+instant gets a link to the instant that would be emitted after it, and the
+chain from each key's first emission is followed by pointer doubling: links of
+1, 2, 4, ... steps, then back down to list every instant on the chain. Each
+round joins on (key, instant) and keeps only instants that earlier links lead
+to, so tables shrink as steps grow. No key's rows meet in one task, and the
+number of rounds is the logarithm of the longest chain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators.match import first_band_match
-from shelfmark.operators.ordered import carry_last, time_block
-from shelfmark.operators.skew import null_safe_join
+from shelfmark.operators.ordered import carry_last
+from shelfmark.operators.topk import keep_first
+from shelfmark.session import cut_lineage
 
-BLOCK_GAPS = 64
+BLOCK_SECONDS = 300
 UNSEEN = "Processing..."
 
 
-def _next_index(instants: np.ndarray, gap: int) -> np.ndarray:
-    return np.searchsorted(instants, instants + gap, side="left")
+def microseconds(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _last_of_chain(instants: np.ndarray, gap: int, entries: int) -> np.ndarray:
-    """For the first `entries` instants, the last one emitted if it is emitted."""
-    following = _next_index(instants, gap)
-    at = np.arange(entries)
-    while True:
-        ahead = following[at]
-        inside = ahead < len(instants)
-        if not inside.any():
-            return at
-        at = np.where(inside, ahead, at)
+def clock_starts(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float) -> DataFrame:
+    """(keys, `_due`) of keys seen for the first time: their clock starts at their first row."""
+    gap = int(gap_seconds * 1_000_000)
+    return df.groupBy(*keys).agg((F.min(microseconds(ts)) + F.lit(gap)).alias("_due"))
 
 
-def _key_schema(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
-    return [df.schema[k] for k in keys]
+def _first_links(
+    instants: DataFrame, due: DataFrame, keys: list[str], gap: int, width: int
+) -> DataFrame:
+    """(keys, _src, _dst): first instant at least a gap after each; null _src for `due`."""
+    asked = instants.select(*keys, (F.col("_at") + gap).alias("_t"), F.col("_at").alias("_src"))
+    started = due.select(*keys, F.col("_due").alias("_t"), F.lit(None).cast("long").alias("_src"))
+    given = instants.select(*keys, F.col("_at").alias("_t"), F.lit(None).cast("long").alias("_src"))
+    points = (
+        asked.unionByName(started)
+        .withColumn("_asks", F.lit(1))
+        .unionByName(given.withColumn("_asks", F.lit(0)))
+        .withColumn("_back", -F.col("_t"))
+    )
+    # Backwards in time, the last instant met is the first one at or after a point.
+    seen = {"_dst": F.when(F.col("_asks") == 0, F.col("_t"))}
+    block = F.floor(F.col("_back") / F.lit(width))
+    found = carry_last(points, keys, ["_back", "_asks", "_src"], block, seen)
+    return found.where((F.col("_asks") == 1) & F.col("_dst").isNotNull()).select(
+        *keys, "_src", "_dst"
+    )
 
 
-def clock_starts(df: DataFrame, keys: Sequence[str], ts: str, gap: int) -> DataFrame:
-    """Clock of keys seen for the first time: it starts at the key's first row."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    return df.groupBy(*keys).agg((F.min(at) + F.lit(gap)).alias("_due"))
+def _chains(links: DataFrame, roots: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _at) of every instant that the links reach from the roots, roots included."""
+    levels = []
+    step = links
+    while not step.isEmpty():
+        levels.append(step)
+        useful = step.select(*keys, F.col("_dst").alias("_src")).distinct()
+        useful = useful.unionByName(roots.withColumnRenamed("_at", "_src")).distinct()
+        onward = step.select(*keys, F.col("_src").alias("_dst"), F.col("_dst").alias("_far"))
+        doubled = step.join(useful, [*keys, "_src"], "left_semi").join(onward, [*keys, "_dst"])
+        step = cut_lineage(doubled.select(*keys, "_src", F.col("_far").alias("_dst")))
+    reached = roots
+    for level in reversed(levels):
+        ahead = level.join(reached.withColumnRenamed("_at", "_src"), [*keys, "_src"])
+        ahead = ahead.select(*keys, F.col("_dst").alias("_at"))
+        reached = cut_lineage(reached.unionByName(ahead).distinct())
+    return reached
 
 
 def throttle(
@@ -56,97 +81,26 @@ def throttle(
     ts: str,
     tie: Sequence[str],
     gap_seconds: float,
-    block_seconds: float | None = None,
     due: DataFrame | None = None,
+    block_seconds: float = BLOCK_SECONDS,
 ) -> DataFrame:
     """Rows emitted at least `gap_seconds` after the key's last emission.
 
     The clock starts at a key's first row, which never emits, or at `due`
     (keys, `_due` = microsecond from which the next row emits). Of rows at the
-    same instant the first by `tie` stands for all.
+    same instant the first by `tie` stands for all. Keys must not be null.
     """
-    gap = int(gap_seconds * 1_000_000)
-    width = int((block_seconds or BLOCK_GAPS * gap_seconds) * 1_000_000)
     keys = list(keys)
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    rest = [c for c in df.columns if c not in keys]
-    instants = (
-        df.withColumn("_at", at)
-        .groupBy(*keys, "_at")
-        .agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
-        .withColumn("_block", F.floor(F.col("_at") / F.lit(width)))
-    )
+    gap, width = int(gap_seconds * 1_000_000), int(block_seconds * 1_000_000)
     if due is None:
-        due = clock_starts(df, keys, ts, gap)
-    key_fields = _key_schema(df, keys)
-    step_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("_block", T.LongType()),
-            T.StructField("_upto", T.ArrayType(T.LongType())),
-            T.StructField("_leaves", T.ArrayType(T.LongType())),
-        ]
-    )
-
-    def steps(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_at"].to_numpy(dtype=np.int64))
-        start = int(pdf["_block"].iloc[0]) * width
-        # A clock that comes in is due before start + gap, so no later entry matters
-        # beyond the first instant from there on.
-        entries = min(len(times), int(np.searchsorted(times, start + gap)) + 1)
-        leaves = times[_last_of_chain(times, gap, entries)] + gap
-        ends = np.append(leaves[1:] != leaves[:-1], True)
-        out = pdf.iloc[[0]][[*keys, "_block"]].copy()
-        out["_upto"] = [times[:entries][ends]]
-        out["_leaves"] = [leaves[ends]]
-        return out
-
-    functions = (
-        instants.select(*keys, "_block", "_at")
-        .groupBy(*keys, "_block")
-        .applyInPandas(steps, step_schema)
-    )
-    start_schema = T.StructType(
-        [*key_fields, T.StructField("_block", T.LongType()), T.StructField("_due", T.LongType())]
-    )
-
-    def apply_in_order(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_block")
-        clock, starts = int(pdf["_due"].iloc[0]), []
-        for upto, leaves in zip(pdf["_upto"], pdf["_leaves"]):
-            starts.append(clock)
-            i = int(np.searchsorted(upto, clock, side="left"))
-            # Past the listed entries the clock is due after the block's last instant.
-            if i < len(upto):
-                clock = int(leaves[i])
-        out = pdf[[*keys, "_block"]].copy()
-        out["_due"] = starts
-        return out
-
-    starts = (
-        null_safe_join(functions, due, keys, "inner")
-        .groupBy(*keys)
-        .applyInPandas(apply_in_order, start_schema)
-    )
-    emit_schema = T.StructType([*key_fields, T.StructField("_at", T.LongType())])
-
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_at"].to_numpy(dtype=np.int64))
-        chosen, i = [], int(np.searchsorted(times, int(pdf["_due"].iloc[0]), side="left"))
-        while i < len(times):
-            chosen.append(times[i])
-            i = int(np.searchsorted(times, times[i] + gap, side="left"))
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * len(chosen) for k in keys})
-        out["_at"] = chosen
-        return out
-
-    timed = null_safe_join(
-        instants.select(*keys, "_block", "_at"), starts, [*keys, "_block"], "inner"
-    )
-    emitted = timed.groupBy(*keys, "_block").applyInPandas(emit, emit_schema)
-    return null_safe_join(
-        instants.drop("_block"), emitted, [*keys, "_at"], "left_semi"
-    ).select(*[c if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+        due = clock_starts(df, keys, ts, gap_seconds)
+    instants = df.select(*keys, microseconds(ts).alias("_at")).distinct()
+    found = cut_lineage(_first_links(instants, due, keys, gap, width))
+    roots = found.where(F.col("_src").isNull()).select(*keys, F.col("_dst").alias("_at"))
+    links = found.where(F.col("_src").isNotNull())
+    reached = _chains(links, roots, keys)
+    rows = df.withColumn("_at", microseconds(ts)).join(reached, [*keys, "_at"], "left_semi")
+    return keep_first(rows, [*keys, "_at"], list(tie)).select(*df.columns)
 
 
 def capture(
@@ -154,7 +108,6 @@ def capture(
     stream: str,
     ts: str,
     gap_seconds: float = 15,
-    block_seconds: float | None = None,
     due: DataFrame | None = None,
     manual: str | None = None,
 ) -> DataFrame:
@@ -164,7 +117,7 @@ def capture(
     are captured too, without reading or setting the clock.
     """
     frames = detections.select(stream, ts).distinct()
-    auto = throttle(frames, [stream], ts, [ts], gap_seconds, block_seconds, due)
+    auto = throttle(frames, [stream], ts, [ts], gap_seconds, due)
     captured = auto.withColumn("trigger", F.lit("auto"))
     if manual is not None:
         pressed = detections.where(manual).select(stream, ts).distinct()
@@ -238,6 +191,3 @@ def asof_carry(
     near = F.abs(F.col("_latest.value") - F.col(value)) < F.lit(tolerance)
     shown = F.when(near, F.col("_latest.label")).otherwise(F.lit(UNSEEN))
     return latest.select(*rows.columns, shown.alias(name))
-
-
-__all__ = ["throttle", "capture", "carry_forward", "asof_carry", "clock_starts", "time_block"]
