@@ -466,13 +466,11 @@ WITH submitted AS (
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def judged_reviews(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    supplier = table(spark, sf_dir, "supplier")
-    part = table(spark, sf_dir, "part").where("p_size > 5")
+def submissions(lines):
+    """Line items as submitted reviews, some of them faulty."""
     user = F.concat(F.lit("user"), F.col("l_suppkey").cast("string"))
     wrong = F.when(F.col("l_suppkey") % 7 == 3, F.lit("?")).otherwise(F.lit(""))
-    submitted = lines.select(
+    return lines.select(
         *LINE_ID,
         F.when(F.col("l_tax") == 0.08, F.lit("")).otherwise(user).alias("username"),
         F.concat(F.lit("pass"), F.col("l_suppkey").cast("string"), wrong).alias("password"),
@@ -482,6 +480,12 @@ def judged_reviews(spark, sf_dir):
         .otherwise((F.col("l_quantity") / 9).cast("string"))
         .alias("score"),
     )
+
+
+def references(spark, sf_dir):
+    """Suppliers with money as users, larger parts as games."""
+    supplier = table(spark, sf_dir, "supplier")
+    part = table(spark, sf_dir, "part").where("p_size > 5")
     number = F.col("s_suppkey").cast("string")
     users = supplier.where("s_acctbal > 0").select(
         F.concat(F.lit("user"), number).alias("username"),
@@ -491,10 +495,13 @@ def judged_reviews(spark, sf_dir):
     flags = F.when(F.col("p_size") % 4 != 0, F.array(F.lit("A"), F.lit("N"), F.lit("R"))).otherwise(
         F.array(F.lit("A"))
     )
-    refs = ReviewReferences(
-        users, part.select(game), part.select(game, F.explode(flags).alias("platform"))
-    )
-    return split_by_reason(review_reasons(submitted, refs, LINE_ID))
+    platforms = part.select(game, F.explode(flags).alias("platform"))
+    return ReviewReferences(users, part.select(game), platforms)
+
+
+def judged_reviews(spark, sf_dir):
+    submitted = submissions(table(spark, sf_dir, "lineitem"))
+    return split_by_reason(review_reasons(submitted, references(spark, sf_dir), LINE_ID))
 
 
 @query(
