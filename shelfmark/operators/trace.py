@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfmark.functions.text import as_column
 from shelfmark.operators.ordered import shifted
 
 CYCLES = [
@@ -55,7 +56,8 @@ def run_kpis(trace: DataFrame, run: Sequence[str], branch_type: str = "branch")
 
 def or_na(c: Column | str, places: int) -> Column:
     """Number as fixed-point text, "N/A" for null."""
-    return F.coalesce(F.format_string(f"%.{places}f", c), F.lit("N/A"))
+    c = as_column(c)
+    return F.when(c.isNotNull(), F.format_string(f"%.{places}f", c)).otherwise(F.lit("N/A"))
 
 
 def adjacent_dependencies(

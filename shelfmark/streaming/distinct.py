@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -30,7 +30,7 @@ def distinct_stream(
     if ts is None or delay is None:
         rows = stream.select(*keys)
         return rows.mapInPandas(thin, rows.schema).dropDuplicates(keys)
-    rows = stream.select(*keys, ts)
+    rows = stream.select(*keys, F.col(ts).cast("timestamp").alias(ts))
     thinned = rows.mapInPandas(thin, rows.schema).withWatermark(ts, delay)
     return thinned.dropDuplicatesWithinWatermark(keys)
 

@@ -1,0 +1,218 @@
+"""Page jobs on hand-written pages with invented contents."""
+
+import pytest
+
+from shelfmark.operators.frontier import link_closure
+from shelfmark.plans import extract
+from shelfmark.plans.catalog import catalog_from_bronze
+from shelfmark.plans.reports import facet_options, top_rated_by_critics
+from shelfmark.schemas import COLUMNS
+from shelfmark.sources.elements import elements
+from tests.conftest import tuples
+
+HOST = "https://catalogue.example"
+OVERVIEW = """<html><head><title>t</title><script>var a = "<h1 class='mb-0'>no</h1>";</script></head><body>
+<h1 class="mb-0">Moon <i>Harvest</i></h1>
+<div class="info-release"><dl class="metadata"><dt>Released</dt>
+<dd><a href="/r">March 4, 2021</a> on <a href="/platform/windows/">Windows</a></dd>
+<dd><a href="/x">later</a></dd></dl></div>
+<ul id="publisherLinks"><li><a href="/company/1">Pub A</a></li><li><a href="/company/2"> Pub B </a></li></ul>
+<ul id="developerLinks"><li><a href="/company/3">Dev A</a></li></ul>
+<div class="info-score"><dl><dt>Score</dt><dd><div class="mobyscore">8.4</div>
+<small class="text-muted">#12 of 345</small></dd>
+<dt>Collected By</dt><dd>77 players</dd></dl></div>
+<ul id="platformRankings">
+<li><span>#3</span> <a href="/platform/windows/">Windows</a></li>
+<li><span>#9</span> <a href="/platform/windows-2/">Windows Phone</a></li>
+<li><span>#4</span> <a href="/platform/ps5/">PlayStation 5</a></li>
+<li><a href="/platform/xbox/">Xbox Series</a></li></ul>
+<div class="info-genres"><dl><dt>Genre</dt><dd><a>Puzzle</a>, <a>Farming</a></dd>
+<dt>Setting</dt><dd><a>Moon</a></dd><dt>Misc</dt></dl></div>
+<div class="info-specs"><dl><dt>ESRB Rating</dt><dd><a>Everyone</a> (10+)</dd>
+<dt>Media Type</dt><dd><a>Disc</a> <a>Download</a></dd></dl></div></body></html>"""
+FALLBACK = """<h1 class="mb-0">Plain</h1><ul id="platformLinks">
+<li><span><a href="/platform/a/">Alpha</a></span></li><li><a href="/platform/b/">Beta</a></li>
+<li><span><a href="/platform/a/">Alpha</a></span></li><li>none</li></ul>"""
+CREDITS = """<h2>About</h2><h2>Nintendo Switch credits (12 people)</h2><table class="table-credits">
+<tr><td>Lead Direction, Production</td><td><a href="/person/11/ann/">Ann</a>, <a href="/person/12/">B</a></td></tr>
+<tr><td>Direction</td><td>No link</td></tr>
+<tr><td>Header only</td></tr>
+<tr><td>Produced by</td><td><a href="/person/13/cy/">Cy</a></td></tr>
+<tr><td>Thanks</td><td><a href="/group/1/">Dee</a> development</td></tr>
+<tr><td>Co-Developer</td><td><a href="/person/14/ed/">Ed</a></td></tr></table>
+<table><tr><td>Director</td><td><a href="/person/99/">Other</a></td></tr></table>"""
+
+
+def page_table(spark, *pages):
+    return elements(
+        spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    )
+
+
+def test_elements(spark):
+    rows = page_table(spark, (HOST, '<div id="a" class="x y"><p>one<br>two<p>three</div></span><b>f&amp;o</b>'))
+    got = [(r["pos"], r["depth"], r["parent_pos"], r["tag"], r["text"], r["up"]) for r in rows.orderBy("pos").collect()]
+    inside = {"div": 0, "#a": 0, ".x": 0, ".y": 0}
+    assert got == [
+        (0, 0, None, "div", None, {}),
+        (1, 1, 0, "p", "one two three", inside),
+        (2, 2, 1, "br", None, {**inside, "p": 1}),
+        (3, 2, 1, "p", "three", {**inside, "p": 1}),
+        (4, 0, None, "b", "f&o", {}),
+    ]
+
+
+def test_overview(spark):
+    found = extract.overview(page_table(spark, (f"{HOST}/game/5/moon/", OVERVIEW), (f"{HOST}/game/6/plain/", FALLBACK)))
+    first, second = [r.asDict() for r in found.orderBy("moby_id").collect()]
+    assert {k: v for k, v in first.items() if v} == {
+        "moby_id": "5", "name": "Moon Harvest", "releasedate": "March 4, 2021", "releaseplatform": "Windows",
+        "publishers": "Pub A; Pub B", "developers": "Dev A", "mobyscore": "8.4", "rank": "12", "total": "345",
+        "collectedby": "77", "ranking_windows": "#9", "ranking_ps5": "#4", "genre": "Puzzle; Farming",
+        "Setting": "Moon", "ESRB Rating": "Everyone (10+)", "Media Type": "Disc; Download",
+    }
+    assert {k: v for k, v in second.items() if v} == {
+        "moby_id": "6", "name": "Plain", "releaseplatform": "Alpha; Beta"
+    }
+    assert not any(v is None for v in [*first.values(), *second.values()])
+
+
+def test_credits(spark):
+    found = extract.credits(page_table(spark, (f"{HOST}/game/5/moon/credits/", CREDITS), (f"{HOST}/game/6/x/credits/", "<p>none")))
+    assert found.columns == COLUMNS["credits"]
+    assert tuples(found) == [("Nintendo Switch", "5", "Ann", "11", "Cy", "13", "Dee", "")]
+
+
+def test_contributor(spark):
+    html = """<h1>Ann <b>Bee</b></h1><div id="developerBiography"><div id="description-text">Made <i>games</i>.</div></div>
+    <ul id="relatedSites"><li><a href=" http://a.example ">Home</a></li><li><a>no link</a></li><li><a href="/b">Blog</a></li></ul>"""
+    got = extract.contributors(page_table(spark, (f"{HOST}/person/11/ann/", html), (f"{HOST}/person/12/bo/", "<div class='page-title'>Bo</div>")))
+    assert tuples(got) == [
+        ("11", "AnnBee", "Made games .", "Home: http://a.example; Blog: /b"),
+        ("12", "Bo", "", ""),
+    ]
+
+
+def test_specs(spark):
+    html = """<table><tr><td colspan=2><h4>Windows</h4></td></tr>
+    <tr><td>Business Model:</td><td><a>Commercial</a></td></tr>
+    <tr><td>Media Type:</td><td><a>CD</a>, <a>DVD</a></td></tr>
+    <tr><td>Minimum RAM Required:</td><td>1 GB</td></tr><tr><td>Other</td><td>x</td></tr>
+    <tr><td>a</td><td>b</td><td>c</td></tr>
+    <tr><td><h4>Mac</h4></td></tr><tr><td>Unmapped:</td><td>y</td></tr>
+    <tr><td><h4>Windows</h4></td></tr><tr><td>Gamepads Supported:</td><td>Any</td></tr></table>"""
+    got = extract.specs(page_table(spark, (f"{HOST}/game/5/moon/specs/", html)))
+    assert got.columns == COLUMNS["specs"]
+    assert tuples(got) == [
+        ("5", "Windows", "", "", "", "", "", "", "Any"),
+        ("5", "Windows", "Commercial", "", "", "1 GB", "", "CD; DVD", ""),
+    ]
+
+
+def test_prices(spark):
+    row = "<tr><td>{}</td><td>PC</td><td>Box</td><td>{}</td><td>{}</td><td>x</td><td>May 1</td></tr>"
+    html = ("<table>" + row.format("Wrong", "", "") + "</table><main><table><tr><td>short</td></tr>"
+            + row.format("<a href='/s'>Shop</a> inc", "<a href=' /used '>$5</a>", "<a>$9</a>")
+            + row.format("Plain", "$4", "<a href=''>$8</a>") + "</table></main>")
+    got = extract.prices(page_table(spark, (f"{HOST}/game/5/moon/prices/", html), (f"{HOST}/game/6/p/prices/", "<table>" + row.format("Only", "", "") + "</table>")))
+    assert tuples(got) == [
+        ("5", "Plain", "PC", "Box", "", "$8", "May 1"),
+        ("5", "Shop", "PC", "Box", "/used", "$9", "May 1"),
+        ("6", "Only", "PC", "Box", "", "", "May 1"),
+    ]
+
+
+JSON = '<script type="application/ld+json">{}</script>'
+
+
+def test_release_dates(spark):
+    tables = """<h1>One</h1><section id="releaseInfo"><table><tr><th>PC</th><td>2020</td></tr>
+    <tr><td></td><td>2021</td></tr></table></section><li class="release"><b>Mac</b><time>2022</time></li>""" + JSON.format('{"gamePlatform": "X"}')
+    lists = """<h1>Two</h1><ul><li class="release"><b>Mac</b> <time>2022</time></li><li class="release"><b>Lost</b></li></ul>
+    <p><strong>Web</strong> <time>2023</time></p><p><b>Plain</b> <span class="date">2024</span></p>"""
+    array = "<h1>Three</h1>" + JSON.format('{"gamePlatform": ["A", "B"], "datePublished": "2019", "name": "III"}') + JSON.format("not json")
+    single = "<h1>Four</h1>" + JSON.format('{"gamePlatform": "C"}') + JSON.format('{"name": "no platforms"}')
+    pages = [(f"{HOST}/game/{i}/g/", h) for i, h in enumerate([tables, lists, array, single], 1)]
+    assert tuples(extract.release_dates(page_table(spark, *pages))) == [
+        ("1", "One", "PC", "2020"),
+        ("2", "Two", "Mac", "2022"),
+        ("2", "Two", "Web", "2023"),
+        ("3", "III", "A", "2019"),
+        ("3", "III", "B", "2019"),
+        ("4", "Four", "C", ""),
+    ]
+
+
+REVIEWS = """<title>Moon Harvest Reviews (Stadia, 2021)</title>
+<div id="critics"><p>Average score: 85% based on 12 ratings</p><p>Average score: 1%</p></div>
+<div id="players"><p>Average score: 3.9 based on 7 ratings</p>
+<div class="border mb"><b><a href="/r/1">Good</a></b> by <a href="/user/7/ann/">ann</a>
+<span class="stars" data-tooltip="4.5 stars"></span><div class="toggle-text-review">Fine <i>game</i></div></div>
+<div class="border mb"><a href="/user/8/bo/">bo</a><span class="stars"></span></div>
+<div class="border">not a review <a href="/user/9/cy/">cy</a></div></div>"""
+
+
+def test_reviews_and_summary(spark):
+    found = page_table(spark, (f"{HOST}/game/5/moon/reviews/", REVIEWS), (f"{HOST}/game/6/x/reviews/ios/", "<p>no reviews"))
+    got = extract.player_reviews(found, HOST)
+    assert got.drop("username").columns == COLUMNS["player_review"]
+    assert tuples(got) == [
+        ("ann", f"{HOST}/user/7/ann/", "Good", "Fine game", "4.5", "Stadia", "", "5"),
+        ("bo", f"{HOST}/user/8/bo/", "", "", "", "Stadia", "", "5"),
+    ]
+    summary = extract.review_summary(found)
+    assert tuples(summary) == [("5", "85%", "12", "3.9", "7"), ("6", "", "", "", "")]
+
+
+def test_page_links(spark):
+    one = '<a href="/game/1/a/"> First </a><a href="/game/x/">no id</a><a href="https://o.example/game/2/">Two</a><a href="/game/3/"></a>'
+    two = '<a href="/game/1/a/">Second</a><a href="/game/4/">Four</a>'
+    got = extract.page_links(page_table(spark, (HOST, one), (HOST + "/2", two)), HOST)
+    assert tuples(got, "title", "url") == [
+        ("First", f"{HOST}/game/1/a/"), ("Four", f"{HOST}/game/4/"), ("Two", "https://o.example/game/2/")
+    ]
+
+
+def switcher(*links):
+    spans = "".join(f'<span class="text-nowrap">{a}</span>' for a in links)
+    return f'<p class="mb">{spans}</p><p class="mb"><span class="text-nowrap"><a href="/game/1/g/credits/late/">x</a></span></p>'
+
+
+def test_credit_closure(spark):
+    base = f"{HOST}/game/1/g/credits"
+    pages = [
+        (f"{base}/", switcher("<b>PC</b>", '<a href="/game/1/g/credits/mac/?x=1">Mac</a>', '<a rel="nofollow" href="/game/1/g/credits/add/">add</a>',
+                              '<a href="/game/1/g/specs/">specs</a>')),
+        (f"{base}/mac", switcher(f'<a href="{base}/">PC</a>', f'<a href="{base}/ios//">iOS</a>')),
+        (f"{base}/ios/", "<p>no switcher</p>"),
+        (f"{base}/other/", switcher(f'<a href="{base}/">PC</a>')),
+    ]
+    edges = extract.credit_links(page_table(spark, *pages))
+    assert tuples(edges) == [
+        (f"{base}/", f"{base}/mac/"), (f"{base}/mac/", f"{base}/"), (f"{base}/mac/", f"{base}/ios/"),
+        (f"{base}/other/", f"{base}/"),
+    ]
+    seeds = spark.createDataFrame([(f"{base}/",)], "node string")
+    everything = link_closure(edges, seeds)
+    assert tuples(everything) == [(f"{base}/", 0), (f"{base}/ios/", 2), (f"{base}/mac/", 1)]
+    assert tuples(link_closure(edges, seeds, 1)) == [(f"{base}/", 0), (f"{base}/mac/", 1)]
+    alone = spark.createDataFrame([(f"{base}/ios/",)], "node string")
+    assert tuples(link_closure(edges, alone)) == [(f"{base}/ios/", 0)]
+
+
+def test_pages_to_reports(spark):
+    overview = extract.overview(page_table(spark, (f"{HOST}/game/5/moon/", OVERVIEW), (f"{HOST}/game/6/plain/", FALLBACK)))
+    summary = extract.review_summary(page_table(spark, (f"{HOST}/game/5/moon/reviews/", REVIEWS)))
+    game = extract.games(overview, summary)
+    assert game.columns == COLUMNS["game"]
+    assert tuples(game, "moby_id", "critics_overall_rating", "`ESRB Rating`") == [("5", "85%", "Everyone (10+)"), ("6", "", "")]
+    tables = catalog_from_bronze({"game": game})
+    assert [r[0] for r in facet_options(tables, "genre").collect()] == ["Farming", "Puzzle"]
+    assert tuples(top_rated_by_critics(tables), "genre", "year", "name_") == [
+        ("Farming", 2021, "Moon Harvest"), ("Puzzle", 2021, "Moon Harvest")
+    ]
+
+
+@pytest.mark.parametrize("html", ["", None, "<", "<a", "</div></p>", "&", "<p a=1 a=2 class>"])
+def test_odd_pages(spark, html):
+    assert page_table(spark, (HOST, html)).count() >= 0
