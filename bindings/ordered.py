@@ -402,6 +402,17 @@ def band_match(spark, sf_dir):
     return matched.select("o_orderkey", F.col("match.o_orderkey").alias("match_orderkey"))
 
 
+def line_block():
+    """Stretch of an order's lines: low line numbers, which many lines share, split by
+    part; higher ones by the ten thousand."""
+    number = F.col("l_linenumber")
+    low = number < 1_000
+    return F.struct(
+        F.when(low, number).otherwise(1_000 + F.floor(number / 10_000)).alias("a"),
+        F.when(low, F.floor(F.col("l_partkey") / 10_000)).otherwise(F.lit(0)).alias("b"),
+    )
+
+
 @query(
     "link_closure",
     """
@@ -425,7 +436,7 @@ def closure(spark, sf_dir):
         lines,
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey"],
-        F.struct("l_linenumber", F.floor(F.col("l_partkey") / 10_000)),
+        line_block(),
         {"dst": (F.col("l_partkey"), -1)},
     )
     edges = steps.where(F.col("dst").isNotNull()).select(F.col("l_partkey").alias("src"), "dst")

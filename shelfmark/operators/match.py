@@ -8,7 +8,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.operators.skew import null_safe_join, skew_join
+from shelfmark.operators.skew import skew_join
 
 
 def _cells(dims: Mapping[str, float]) -> list[Column]:
@@ -33,7 +33,7 @@ def first_band_match(
     meet the probes only if they come before that row; the others cannot win.
     Copies of a point are one row throughout. With `earlier_than`, a match must
     come before the probe's own values of those columns, which must be of the
-    types of `order`.
+    types of `order`. Null keys and null dimensions match nothing.
     """
     names = list(dims)
     cell = [f"_c_{d}" for d in names]
@@ -45,27 +45,40 @@ def first_band_match(
 
     offsets = [o for o in product((-1, 0, 1), repeat=len(names)) if any(o)]
     shifts = F.explode(F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets])).alias("_o")
-    spread = kept.select(*keys, *names, "_first", *cell, shifts).select(
-        *keys,
-        *[F.col(d).alias(f"_s_{d}") for d in names],
-        "_first",
-        *[(F.col(c) + F.col("_o")[i]).alias(c) for i, c in enumerate(cell)],
+
+    def moved(df: DataFrame, *columns: Column | str) -> DataFrame:
+        shifted = df.select("*", shifts)
+        into = [(F.col(c) + F.col("_o")[i]).alias(c) for i, c in enumerate(cell)]
+        return shifted.select(*keys, *columns, *into)
+
+    # Cells with probes and the first row each has to beat, null for any row.
+    targets = points.select(*keys, *cell).distinct().join(own, [*keys, *cell], "left")
+    # What a stored row has to beat in the easiest of the cells around it.
+    around = moved(targets, "_own").groupBy(*keys, *cell).agg(
+        F.max("_own").alias("_easiest"), F.max(F.col("_own").isNull()).alias("_any")
+    )
+    hopeful = (
+        kept.join(around, [*keys, *cell])
+        .where(F.col("_any") | (F.col("_first") < F.col("_easiest")))
+        .drop("_any", "_easiest")
+    )
+    spread = moved(hopeful, *[F.col(d).alias(f"_s_{d}") for d in names], "_first")
+    rivals = (
+        spread.join(targets, [*keys, *cell])
+        .where(F.col("_own").isNull() | (F.col("_first") < F.col("_own")))
+        .drop("_own")
     )
-    targets = null_safe_join(points.select(*keys, *cell).distinct(), own, [*keys, *cell], "left")
-    rivals = null_safe_join(spread, targets, [*keys, *cell], "inner").where(
-        F.col("_own").isNull() | (F.col("_first") < F.col("_own"))
-    ).drop("_own")
     near = reduce(
         lambda a, b: a & b, [F.abs(F.col(d) - F.col(f"_s_{d}")) < F.lit(t) for d, t in dims.items()]
     )
     from_neighbours = (
-        null_safe_join(points, rivals, [*keys, *cell], "inner")
+        points.join(rivals, [*keys, *cell])
         .where(near)
         .groupBy(*keys, *names)
         .agg(F.min("_first").alias("_near"))
     )
-    best = null_safe_join(points, own, [*keys, *cell], "left")
-    best = null_safe_join(best, from_neighbours, [*keys, *names], "left").select(
+    best = points.join(own, [*keys, *cell], "left")
+    best = best.join(from_neighbours, [*keys, *names], "left").select(
         *keys, *names, F.least("_own", "_near").alias("match")
     ).where(F.col("match").isNotNull())
     matched = skew_join(probes, best, [*keys, *names], probe_id)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import as_column, empty_to_null, sha256_hex, user_name
-from shelfmark.operators.skew import skew_join, with_group_value
+from shelfmark.operators.skew import mark_first, skew_join
 
 # The strength rules in order, as (pattern that must occur, message),
 # after the rule on length.
@@ -94,7 +94,8 @@ def review_reasons(
 
     users = refs.users.select("username", F.col("password_hash").alias("_hash"))
     rows = skew_join(rows, users, ["username"], order)
-    rows = skew_join(rows, _present(refs.games, ["moby_id"], "_game"), ["moby_id"], order)
+    games = refs.games.select("moby_id", F.lit(True).alias("_game"))
+    rows = skew_join(rows, games, ["moby_id"], order)
     valid = _present(refs.platforms, ["moby_id", "platform"], "_platform")
     rows = skew_join(rows, valid, ["moby_id", "platform"], order)
     if refs.reviewed is not None:
@@ -113,14 +114,11 @@ def review_reasons(
         (F.col("_platform"), "platform not valid for game"),
         (F.col("_old").isNull(), "already reviewed"),
     ]
-    rows = rows.withColumn("_reason", first_failure(rules))
-    good_at = F.when(F.col("_reason").isNull(), F.struct(*order))
-    rows = with_group_value(rows, REVIEW_KEY, {"_first": (F.min(good_at), "min")}, order)
-    reason = F.coalesce(
-        F.col("_reason"), F.when(F.struct(*order) > F.col("_first"), F.lit("already reviewed"))
-    )
     kept = [c for c in submitted.columns if c != "password"]
-    return rows.select(*kept, reason.alias("reason"))
+    rows = rows.select(*kept, first_failure(rules).alias("_reason"))
+    rows = mark_first(rows, REVIEW_KEY, order, F.col("_reason").isNull(), "_first")
+    again = F.when(~F.col("_first"), F.lit("already reviewed"))
+    return rows.select(*kept, F.coalesce("_reason", again).alias("reason"))
 
 
 def registration_reasons(
@@ -147,12 +145,11 @@ def registration_reasons(
         ]
     )
     taken = F.when(F.col("_taken"), F.lit("name taken"))
-    rows = rows.withColumn("_reason", F.coalesce(own_rules, F.col("_weak"), taken))
-    good_at = F.when(F.col("_reason").isNull(), F.struct(*order))
-    rows = with_group_value(rows, ["username"], {"_first": (F.min(good_at), "min")}, order)
-    again = F.when(F.struct(*order) > F.col("_first"), F.lit("name taken"))
-    kept = [c for c in submitted.columns if c != "password"]
-    return rows.select(*kept, "password_hash", F.coalesce("_reason", again).alias("reason"))
+    kept = [*[c for c in submitted.columns if c != "password"], "password_hash"]
+    rows = rows.select(*kept, F.coalesce(own_rules, F.col("_weak"), taken).alias("_reason"))
+    rows = mark_first(rows, ["username"], order, F.col("_reason").isNull(), "_first")
+    again = F.when(~F.col("_first"), F.lit("name taken"))
+    return rows.select(*kept, F.coalesce("_reason", again).alias("reason"))
 
 
 def derive_users(facts: DataFrame, url: str) -> DataFrame:

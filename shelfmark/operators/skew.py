@@ -1,9 +1,14 @@
-"""Joins and group totals that stay even when one key holds much of the data.
+"""Joins, group totals and first rows that stay even when one key holds much of the data.
 
-Rows get a salt from their own columns, so a hot key falls into many
-(key, salt) groups. The other side is copied only onto the (key, salt) pairs
-that occur: a rare key costs no more rows than it has, a hot key at most one
-copy per salt. No key list has to be known or collected.
+A side whose planned size is within Spark's broadcast threshold goes to every
+task, and no row has to move. Otherwise rows get a salt from their own columns,
+so a hot key falls into many (key, salt) groups. The other side is copied only
+onto the (key, salt) pairs that occur: a rare key costs no more rows than it
+has, a hot key at most one copy per salt. No key list has to be known or
+collected.
+
+Keys travel as one struct, in which null keys are equal, and a struct serves as
+partitioning for a window or aggregate and the join after it alike.
 """
 
 from __future__ import annotations
@@ -13,9 +18,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfmark.session import parallelism
+from shelfmark.session import fits_broadcast, parallelism
 
-SALT = "_salt"
+KEY = "_key"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -29,9 +34,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
-def salted(df: DataFrame, spread_by: Sequence[str], salts: int | None = None) -> DataFrame:
+def keyed(df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Key columns, and more parts, moved into one struct column."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(F.struct(*keys, *more).alias(KEY), *rest)
+
+
+def unkeyed(columns: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    """The given columns, those in the key struct taken from there."""
+    return [F.col(KEY).getField(c).alias(c) if c in keys else F.col(c) for c in columns]
+
+
+def salt(df: DataFrame, spread_by: Sequence[str], salts: int | None = None) -> Column:
     n = salts or parallelism(df.sparkSession)
-    return df.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(n)).cast("int"))
+    return F.pmod(F.xxhash64(*spread_by), F.lit(n)).cast("int").alias("_salt")
 
 
 def skew_join(
@@ -43,10 +59,16 @@ def skew_join(
     salts: int | None = None,
 ) -> DataFrame:
     """Join `left` to `right` (at most one row per key) with hot keys spread out."""
-    rows = salted(left, spread_by, salts)
-    present = rows.select(*on, SALT).distinct()
-    copies = null_safe_join(present, right, on, "inner")
-    return null_safe_join(rows, copies, [*on, SALT], how).drop(SALT)
+    if fits_broadcast(right):
+        return null_safe_join(left, F.broadcast(right), on, how)
+    rows = keyed(left, on, salt(left, spread_by, salts))
+    added = [c for c in right.columns if c not in on]
+    plain = F.struct(*[F.col(KEY).getField(c).alias(c) for c in on])
+    present = rows.select(KEY).distinct().withColumn("_plain", plain)
+    copies = present.join(
+        right.select(F.struct(*on).alias("_plain"), *added), "_plain"
+    ).drop("_plain")
+    return rows.join(copies, KEY, how).select(*unkeyed([*left.columns, *added], on))
 
 
 def with_group_value(
@@ -62,11 +84,36 @@ def with_group_value(
     the function that combines partial results: "min", "max" or "sum". Only the
     partial results of a group, at most one per salt, ever meet in one task.
     """
-    rows = salted(df, spread_by, salts)
-    partial = rows.groupBy(*keys, SALT).agg(*[a.alias(n) for n, (a, _) in values.items()])
-    group = Window.partitionBy(*keys)
+    rows = keyed(df, keys, salt(df, spread_by, salts))
+    partial = rows.groupBy(KEY).agg(*[a.alias(n) for n, (a, _) in values.items()])
+    group = Window.partitionBy(*[F.col(KEY).getField(k) for k in keys])
     merge = {"min": F.min, "max": F.max, "sum": F.sum}
     totals = partial.select(
-        *keys, SALT, *[merge[m](n).over(group).alias(n) for n, (_, m) in values.items()]
+        KEY, *[merge[m](n).over(group).alias(n) for n, (_, m) in values.items()]
     )
-    return null_safe_join(rows, totals, [*keys, SALT], "inner").drop(SALT)
+    return rows.join(totals, KEY).select(*unkeyed([*df.columns, *values], keys))
+
+
+def mark_first(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    among: Column,
+    flag: str,
+    salts: int | None = None,
+) -> DataFrame:
+    """Flag the first row of each key in order, among the rows that qualify.
+
+    A row that is not first in its (key, salt) group cannot be first in its key.
+    Only the others, at most one per salt, are ordered over the whole key.
+    """
+    rows = df.withColumn("_among", F.coalesce(among, F.lit(False)))
+    rows = rows.withColumn("_salt", salt(df, order, salts))
+    inside = Window.partitionBy(*keys, "_salt", "_among").orderBy(*order)
+    placed = rows.withColumn("_place", F.row_number().over(inside))
+    leads = F.col("_among") & (F.col("_place") == 1)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    output = [*df.columns, flag]
+    others = placed.where(~leads).withColumn(flag, F.lit(False)).select(*output)
+    leaders = placed.where(leads).withColumn(flag, F.row_number().over(whole) == 1)
+    return others.unionByName(leaders.select(*output))

@@ -68,10 +68,13 @@ def _chains(links: DataFrame, roots: DataFrame, keys: list[str]) -> DataFrame:
         doubled = step.join(useful, [*keys, "_src"], "left_semi").join(onward, [*keys, "_dst"])
         step = cut_lineage(doubled.select(*keys, "_src", F.col("_far").alias("_dst")))
     reached = roots
-    for level in reversed(levels):
-        ahead = level.join(reached.withColumnRenamed("_at", "_src"), [*keys, "_src"])
+    for k in reversed(range(len(levels))):
+        ahead = levels[k].join(reached.withColumnRenamed("_at", "_src"), [*keys, "_src"])
         ahead = ahead.select(*keys, F.col("_dst").alias("_at"))
-        reached = cut_lineage(reached.unionByName(ahead).distinct())
+        reached = reached.unionByName(ahead)
+        # Every level reads the instants so far twice; do not let that multiply.
+        if k % 2 == 0:
+            reached = cut_lineage(reached)
     return reached
 
 

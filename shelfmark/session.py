@@ -55,3 +55,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def parallelism(spark: SparkSession) -> int:
     """Reduce-side width of the session; hot groups are split this many ways."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate; for files and what is derived from them an upper guess."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """The planned size is within `spark.sql.autoBroadcastJoinThreshold`."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return planned_bytes(df) <= int(conf.autoBroadcastJoinThreshold())

@@ -28,3 +28,13 @@ def tuples(df, *columns):
     """Rows as sorted tuples."""
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(x is None, str(x)) for x in r])
+
+
+@pytest.fixture(scope="module")
+def no_broadcast(spark):
+    """Small tables are joined as if they were too large to copy to every task."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)

@@ -1,9 +1,12 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.match import first_band_match
 
+pytestmark = pytest.mark.usefixtures("no_broadcast")
+
 DIMS = {"x": 50, "y": 50, "w": 50, "h": 50}
 
 

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.ordered import carry_last, numbered, position_block, shifted
-from shelfmark.operators.skew import skew_join, with_group_value
+from shelfmark.operators.skew import mark_first, skew_join, with_group_value
 from shelfmark.operators.topk import keep_first, sample_per_group, top_per_group
 
+pytestmark = pytest.mark.usefixtures("no_broadcast")
+
 
 def skewed_rows(n=600, seed=3):
     rng = random.Random(seed)
@@ -118,3 +120,14 @@ def test_top_keep_first_and_sample(df, rows):
     assert {r["pos"] for r in again.collect()} == {r["pos"] for r in sample.collect()}
     other = sample_per_group(df, ["k"], ["pos"], 15, seed=2)
     assert {r["pos"] for r in other.collect()} != {r["pos"] for r in sample.collect()}
+
+
+def test_mark_first(df, rows):
+    got = mark_first(df, ["k"], ["pos"], F.col("v") > 3, "first")
+    expected = {}
+    for k, members in groups(rows).items():
+        fits = [m[1] for m in members if m[2] is not None and m[2] > 3]
+        expected[k] = fits[0] if fits else None
+    assert {(r["k"], r["pos"], r["first"]) for r in got.collect()} == {
+        (k, p, p == expected[k]) for k, p, _ in rows
+    }

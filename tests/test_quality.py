@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from shelfmark.operators.quality import (
     ReviewReferences,
     derive_users,
@@ -11,6 +12,8 @@ from shelfmark.operators.quality import (
 )
 from tests.conftest import tuples
 
+pytestmark = pytest.mark.usefixtures("no_broadcast")
+
 
 def digest(text):
     return hashlib.sha256(text.encode()).hexdigest()

@@ -1,5 +1,6 @@
 """Traces, predictions and synthetic draws."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions.draws import cumulative
@@ -18,6 +19,8 @@ from shelfmark.operators.synth import (
 from shelfmark.operators.trace import adjacent_dependencies, or_na, run_kpis
 from tests.conftest import tuples
 
+pytestmark = pytest.mark.usefixtures("no_broadcast")
+
 TRACE = "run int, type string, issued_cycle int, commit_cycle int, flushed boolean, mispredicted boolean"
 
 
