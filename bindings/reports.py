@@ -373,15 +373,15 @@ SELECT o_orderkey, year(o_orderdate) AS year, o_totalprice FROM orders
 WHERE year(o_orderdate) BETWEEN 1996 AND 1998 AND o_orderstatus <> 'F'""",
 )
 def year_range_filter(spark, sf_dir):
-    # Bounds on the date itself, so that the range reaches the Parquet scan.
-    orders = table(spark, sf_dir, "orders")
-    in_range = (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")) & (
-        F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"
+    )
+    kept = reports.games_released(
+        orders, "o_orderdate", 1996, 1998, [F.col("o_orderstatus") == "F"], "o_totalprice"
     )
-    kept = orders.where(in_range & (F.col("o_orderstatus") != "F"))
     return kept.select(
         "o_orderkey", F.year("o_orderdate").cast("long").alias("year"), "o_totalprice"
-    ).orderBy(F.desc("o_totalprice"), "o_orderkey")
+    )
 
 
 @query(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import (
     ends_in_name,
@@ -56,6 +56,23 @@ def games_for_facet(catalog: Catalog, facet: str, value: str) -> DataFrame:
     )
 
 
+def games_released(
+    games: DataFrame, date: str, first_year: int, last_year: int, exclude: Sequence[Column], score: str
+) -> DataFrame:
+    """Games of a range of years without the excluded kinds, best score first.
+
+    The range is a pair of bounds on the date column itself, so that it reaches
+    the scan or prunes partitions.
+    """
+    kind = games.schema[date].dataType
+    kept = (F.col(date) >= F.lit(f"{first_year}-01-01").cast(kind)) & (
+        F.col(date) < F.lit(f"{last_year + 1}-01-01").cast(kind)
+    )
+    for flag in exclude:
+        kept = kept & ~flag
+    return games.where(kept).orderBy(F.desc(score), *[c for c in games.columns if c != score])
+
+
 def mean_player_score(catalog: Catalog, precision: int = 6, name: str = "score") -> DataFrame:
     """Mean guarded score of each reviewed game, one row per game."""
     score = guarded_decimal("score", precision, 2)

@@ -5,9 +5,11 @@ import pytest
 from shelfmark.operators.frontier import link_closure
 from shelfmark.plans import extract
 from shelfmark.plans.catalog import catalog_from_bronze
+from shelfmark.plans.tables import extract_tables, merge_tables, seed_pages
 from shelfmark.plans.reports import facet_options, top_rated_by_critics
 from shelfmark.schemas import COLUMNS
 from shelfmark.sources.elements import elements
+from shelfmark.sources.readers import read_text_csv
 from tests.conftest import tuples
 
 HOST = "https://catalogue.example"
@@ -216,3 +218,32 @@ def test_pages_to_reports(spark):
 @pytest.mark.parametrize("html", ["", None, "<", "<a", "</div></p>", "&", "<p a=1 a=2 class>"])
 def test_odd_pages(spark, html):
     assert page_table(spark, (HOST, html)).count() >= 0
+
+
+def test_pages_to_stored_tables(spark, tmp_path):
+    game = f"{HOST}/game/5/moon"
+    link = '<a href="/game/5/moon/credits/switch/">Switch</a>'
+    pages = [
+        (f"{game}/", OVERVIEW + JSON.format('{"gamePlatform": "Windows", "datePublished": "2021"}')),
+        (f"{game}/credits/", switcher("<b>PC</b>", link) + "<h2>Windows credits</h2>"),
+        (f"{game}/credits/switch/", CREDITS),
+        (f"{game}/credits/unlinked/", CREDITS.replace("Nintendo Switch", "Unlinked")),
+        (f"{game}/reviews/", REVIEWS),
+        (f"{game}/specs/", "<table><tr><td><h4>Mac</h4></td></tr><tr><td>Media Type:</td><td>CD</td></tr></table>"),
+        (f"{HOST}/person/11/ann/", "<h1>Ann</h1>"),
+        (f"{HOST}/person/99/other/", "<h1>Not credited</h1>"),
+        (f"{HOST}/game/77/other/", OVERVIEW),
+    ]
+    stored = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([(f"{game}/",)], "url string")
+    tables = extract_tables(seed_pages(stored, seeds), HOST)
+    for _ in range(2):
+        merge_tables(tables, str(tmp_path))
+    back = {n: tuples(read_text_csv(spark, str(tmp_path / n), COLUMNS[n])) for n in tables}
+    assert [r[:2] for r in back["game"]] == [("5", "Moon Harvest")]
+    assert back["credits"] == [("Nintendo Switch", "5", "Ann", "11", "Cy", "13", "Dee", "")]
+    assert back["contributors"] == [("11", "Ann", "", "")]
+    assert back["specs"] == [("5", "Mac", "", "", "", "", "", "CD", "")]
+    assert back["prices"] == []
+    assert back["release_date_per_platform"] == [("5", "Moon Harvest", "Windows", "2021")]
+    assert len(back["player_review"]) == 2
