@@ -30,7 +30,7 @@ from shelfmark.operators.synth import (
 from shelfmark.operators.throttle import asof_carry, throttle
 from shelfmark.operators.topk import keep_first, sample_per_group
 from shelfmark.operators.trace import adjacent_dependencies, dependency_counts, run_kpis
-from shelfmark.session import fresh_dir
+from shelfmark.session import fresh_dir, spread
 from shelfmark.sources.readers import distinct_urls, parse_keyed_lines, read_text_csv
 from shelfmark.sources.sinks import manifest, merge_keep_first, write_csv
 
@@ -477,6 +477,9 @@ WITH submitted AS (
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
+REVIEW_FIELDS = ["l_tax", "l_returnflag", "l_discount", "l_quantity"]
+
+
 def submissions(lines):
     """Line items as submitted reviews, some of them faulty."""
     user = F.concat(F.lit("user"), F.col("l_suppkey").cast("string"))
@@ -511,7 +514,8 @@ def references(spark, sf_dir):
 
 
 def judged_reviews(spark, sf_dir):
-    submitted = submissions(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_ID, *REVIEW_FIELDS)
+    submitted = submissions(spread(lines, *LINE_ID))
     return split_by_reason(review_reasons(submitted, references(spark, sf_dir), LINE_ID))
 
 

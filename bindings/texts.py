@@ -97,12 +97,17 @@ def url_tails(spark, sf_dir):
 
 @query(
     "suffix_match",
-    "SELECT page_id, url FROM pages WHERE url LIKE '%/825' OR url LIKE '%/825/' OR url = '825' "
-    "OR url LIKE '%/685' OR url LIKE '%/685/' OR url = '685'",
+    r"""
+SELECT page_id, stem FROM (
+  SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*/[a-z]*', 0)
+    || CASE WHEN page_id % 2 = 0 THEN '/' ELSE '' END AS stem FROM pages)
+WHERE stem LIKE '%/fr' OR stem LIKE '%/fr/' OR stem = 'fr'""",
 )
 def suffix_match(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return pages.where(ends_in_name("url", "825") | ends_in_name("url", "685"))
+    pages = table(spark, sf_dir, "pages")
+    end = F.when(F.col("page_id") % 2 == 0, F.lit("/")).otherwise(F.lit(""))
+    stem = F.concat(F.regexp_extract("url", "^[a-z]+://[^/]*/[a-z]*", 0), end)
+    return pages.select("page_id", stem.alias("stem")).where(ends_in_name("stem", "fr"))
 
 
 @query(

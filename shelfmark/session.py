@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Usual size of a file split.
+SPLIT_BYTES = 128 * 1024 * 1024
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -66,3 +69,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     """The planned size is within `spark.sql.autoBroadcastJoinThreshold`."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     return planned_bytes(df) <= int(conf.autoBroadcastJoinThreshold())
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt out over all cores where the input is too small to be read in that
+    many splits; larger input stays where it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if planned_bytes(df) < cores * SPLIT_BYTES:
+        return df.repartition(cores, *columns)
+    return df
