@@ -75,7 +75,7 @@ def first_band_match(
     keys: Sequence[str],
     dims: Mapping[str, float],
     order: Sequence[str],
-    payload: Sequence[str],
+    payload: Sequence[Column | str],
     probe_id: Sequence[str],
     earlier_than: Sequence[str] | None = None,
     small_pair: int = SMALL_PAIR,

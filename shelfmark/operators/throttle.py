@@ -143,32 +143,54 @@ def carry_forward(
 
     An automatic capture replaces the stored boxes and a manual one adds to them.
     Detections of an automatically captured frame keep their own label; others
-    take the first stored match's, else "Processing...".
+    take the newest label of the first stored box they match, else "Processing...".
     """
     auto = captured.where(F.col("trigger") == "auto").select(stream, ts).distinct()
     auto = auto.withColumn("_auto", F.lit(True))
     marked = detections.join(auto, [stream, ts], "left")
     epoch = {"_epoch": F.when(F.col("_auto"), F.col(ts))}
-    placed = carry_last(marked, [stream], [ts], block, epoch).withColumn(
-        "_epoch", F.coalesce("_epoch", F.lit(0).cast("timestamp").cast(detections.schema[ts].dataType))
-    )
+    # Before the first automatic capture there is an epoch too, of manual ones only.
+    outset = F.lit(0).cast("timestamp").cast(detections.schema[ts].dataType)
+    placed = carry_last(marked, [stream], [ts], block, epoch)
+    # Read several times below, as probes and as stored boxes.
+    placed = cut_lineage(placed.withColumn("_epoch", F.coalesce("_epoch", outset)))
     stored = placed.join(
         captured.select(stream, ts, det_id, "trigger"), [stream, ts, det_id], "inner"
     )
     matched = first_band_match(
         placed.where(F.col("_auto").isNull()),
-        stored.select(stream, "_epoch", ts, det_id, label, *dims),
+        stored.select(stream, "_epoch", ts, det_id, *dims),
         [stream, "_epoch"],
         dims,
-        [ts],
-        [det_id, label],
+        [ts, det_id],
+        [F.col(d).alias(f"_box_{d}") for d in dims],
         [stream, ts, det_id],
         earlier_than=[ts],
     )
     own = placed.where("_auto").select(*detections.columns, F.col(label).alias("shown"))
-    taken = matched.select(
+    # A box stored again keeps its place and takes its newest label.
+    box = [f"_box_{d}" for d in dims]
+    asking = matched.select(
+        *detections.columns,
+        "_epoch",
+        *[F.col("match").getField(b).alias(b) for b in box],
+        F.lit(0).alias("_stored"),
+    )
+    telling = stored.dropna(subset=list(dims)).select(
         *detections.columns,
-        F.coalesce(F.col("match").getField(label), F.lit(UNSEEN)).alias("shown"),
+        "_epoch",
+        *[F.col(d).alias(f"_box_{d}") for d in dims],
+        F.lit(1).alias("_stored"),
+    )
+    newest = carry_last(
+        asking.unionByName(telling),
+        [stream, "_epoch", *box],
+        [ts, "_stored", det_id],
+        block,
+        {"shown": F.when(F.col("_stored") == 1, F.col(label))},
+    )
+    taken = newest.where("_stored = 0").select(
+        *detections.columns, F.coalesce("shown", F.lit(UNSEEN)).alias("shown")
     )
     return own.unionByName(taken)
 

@@ -65,18 +65,18 @@ def shown_by_scan(rows, gap):
     out = {}
     for stream in {r[0] for r in rows}:
         mine = sorted((r for r in rows if r[0] == stream), key=lambda r: (r[1], r[2]))
-        last, stored = mine[0][1], []
+        last, stored = mine[0][1], {}
         for ts in sorted({r[1] for r in mine}):
             frame = [r for r in mine if r[1] == ts]
             auto = (ts - last).total_seconds() >= gap
             for r in frame:
-                hit = next((b for b in stored if abs(b[3] - r[3]) < 50 and abs(b[4] - r[4]) < 50), None)
-                label = r[6] if auto else (hit[6] if hit else "Processing...")
-                out[(stream, ts, r[2])] = label
+                hit = next((b for b in stored if abs(b[0] - r[3]) < 50 and abs(b[1] - r[4]) < 50), None)
+                out[(stream, ts, r[2])] = r[6] if auto else stored.get(hit, "Processing...")
+            # A box stored again keeps its place and takes the newer label.
             if auto:
-                stored, last = list(frame), ts
+                stored, last = {(r[3], r[4]): r[6] for r in frame}, ts
             elif any(r[5] for r in frame):
-                stored = stored + frame
+                stored.update({(r[3], r[4]): r[6] for r in frame})
     return out
 
 
@@ -85,9 +85,9 @@ def random_detections(seed, n=150):
     rows = []
     for t in sorted(rng.sample(range(0, 400), n)):
         stream = "hot" if rng.random() < 0.7 else "cold"
-        manual = rng.random() < 0.1
+        manual = rng.random() < 0.25
         for det in range(rng.randint(1, 3)):
-            rows.append(detection(t, det, rng.randint(0, 200), rng.randint(0, 100), manual, stream))
+            rows.append(detection(t, det, rng.randint(0, 20) * 10, rng.randint(0, 4) * 25, manual, stream))
     return rows
 
 
