@@ -9,9 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# The numeric-text guard and the text form of a date.
+# The numeric-text guard, the text form of a date, the label of no year.
 NUMERIC_TEXT = r"^[0-9]+\.?[0-9]*$"
 LONG_DATE = "MMMM d, yyyy"
+NO_YEAR = "No Year"
 
 
 def as_column(c: Column | str) -> Column:
@@ -98,7 +99,7 @@ def text_year(c: Column | str, year_only: bool = False) -> Column:
 
 
 def year_label(year: Column | str) -> Column:
-    return F.coalesce(as_column(year).cast("string"), F.lit("No Year"))
+    return F.coalesce(as_column(year).cast("string"), F.lit(NO_YEAR))
 
 
 def rank_of_total(c: Column | str) -> tuple[Column, Column]:

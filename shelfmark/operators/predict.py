@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import as_column
 
+# Fixed value: label of a missing prediction.
+NO_PREDICTION = "No prediction"
+
 
 def dominant_key(scores: Column | str) -> Column:
     """Key of the highest score in a map; the smallest key on a tie."""
@@ -37,4 +40,4 @@ def prediction_label(
         as_column(gender), F.lit(", "), years, F.lit(" yrs\n"), as_column(emotion), F.lit(", "),
         as_column(race),
     )
-    return F.coalesce(label, F.lit("No prediction"))
+    return F.coalesce(label, F.lit(NO_PREDICTION))

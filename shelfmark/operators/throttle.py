@@ -21,6 +21,7 @@ from shelfmark.operators.topk import keep_first
 from shelfmark.session import cut_lineage
 
 BLOCK_SECONDS = 300
+# Fixed value: label of a box that no capture has shown yet.
 UNSEEN = "Processing..."
 
 

@@ -21,7 +21,8 @@ from shelfmark.functions.text import (
 from shelfmark.operators.topk import top_k, top_per_group
 from shelfmark.plans.catalog import Catalog
 
-# Facet -> (table, id column, value column).
+# Labels of missing groups; facet -> (table, id column, value column).
+UNKNOWN, UNKNOWN_GENRE, UNKNOWN_SETTING = "Unknown", "Unknown Genre", "Unknown Setting"
 FACETS = {
     "genre": ("game_genre", "game_moby_id", "genre_name"),
     "platform": ("release_date_per_platform", "moby_id", "release_platform"),
@@ -111,7 +112,7 @@ def top_rated_by_players(
 def _best_of_genre_year(catalog: Catalog, games: DataFrame, n: int) -> DataFrame:
     genres = catalog.game_genre.select(
         F.col("game_moby_id").alias("moby_id"),
-        F.coalesce("genre_name", F.lit("Unknown")).alias("genre"),
+        F.coalesce("genre_name", F.lit(UNKNOWN)).alias("genre"),
     ).distinct()
     rows = genres.join(games, "moby_id")
     best = top_per_group(rows, ["genre", "year"], [F.desc("score"), "moby_id"], n)
@@ -128,8 +129,8 @@ def top_games_by_genre_setting(catalog: Catalog, n: int = 5, precision: int = 5)
     genres = catalog.game_genre.withColumnRenamed("game_moby_id", "moby_id")
     settings = catalog.game_setting.withColumnRenamed("game_moby_id", "moby_id")
     rows = games.join(genres, "moby_id", "left").join(settings, "moby_id", "left").select(
-        F.coalesce("genre_name", F.lit("Unknown Genre")).alias("genre_name"),
-        F.coalesce("setting_name", F.lit("Unknown Setting")).alias("setting_name"),
+        F.coalesce("genre_name", F.lit(UNKNOWN_GENRE)).alias("genre_name"),
+        F.coalesce("setting_name", F.lit(UNKNOWN_SETTING)).alias("setting_name"),
         "moby_id",
         "name_",
         "score",
@@ -148,7 +149,7 @@ def top_developers_by_genre(catalog: Catalog, n: int = 5) -> DataFrame:
         makers.join(games, "moby_id")
         .join(genres, "moby_id")
         .groupBy(
-            F.coalesce("genre_name", F.lit("Unknown")).alias("genre"),
+            F.coalesce("genre_name", F.lit(UNKNOWN)).alias("genre"),
             F.col("developer_name").alias("developer"),
         )
         .agg(
