@@ -116,6 +116,11 @@ def key_rows(block: int, cut: np.ndarray, counts: np.ndarray, bits: int) -> pa.T
     return _rows(block, buckets, cut.astype(np.uint32), counts, bits)
 
 
+def hash_rows(block: int, h: np.ndarray, counts: np.ndarray, bits: int) -> pa.Table:
+    """As key_rows, for whole hashes in rising order."""
+    return _rows(block, (h >> np.uint64(64 - bits)).astype(np.int64), h, counts, bits)
+
+
 def pair_rows(block: int, a: np.ndarray, b: np.ndarray, counts: np.ndarray, bits: int) -> pa.Table:
     """As key_rows, for keys of 96 bits sorted by (a, b)."""
     keys = np.empty(len(a), dtype=PAIR)

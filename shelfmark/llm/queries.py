@@ -38,6 +38,34 @@ SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT A
 FROM texts t LEFT JOIN gone_of g ON t.doc_id = g.doc_id
 """
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.line_dedup import line_dedup
+
+    kept = line_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL_7 = """
+WITH texts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM texts
+), keyed AS (
+  SELECT doc_id, line, i,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), shared AS (
+  SELECT k, min(doc_id) AS keeper FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), judged AS (
+  SELECT l.doc_id, line, i, keeper IS NOT NULL AND keeper <> l.doc_id AS gone FROM keyed l LEFT JOIN shared s ON l.k = s.k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 QUERIES = {
+    "op7_line_dedup": (op7_line_dedup, SQL_7),
     "op2_substring_dedup": (op2_substring_dedup, SQL_2),
 }
