@@ -65,7 +65,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.jaccard_join import jaccard_groups
+
+    return jaccard_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+SQL_9 = """
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5_number(s) AS s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN []::VARCHAR[]
+      WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+      ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END) AS s
+    FROM texts)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id, n
+"""
+
 QUERIES = {
     "op7_line_dedup": (op7_line_dedup, SQL_7),
+    "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, SQL_9),
     "op2_substring_dedup": (op2_substring_dedup, SQL_2),
 }
