@@ -54,25 +54,28 @@ class WordBpe:
         for name, k in names.items():
             self.names[k] = name
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in reversed(list(enumerate(merges)))}
+        ranks = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in reversed(list(enumerate(merges)))}
         n = len(self.names)
         self.rank = np.full(n, -1, dtype=np.int64)
         self.left, self.right = np.arange(n), np.arange(n)
-        self.merged: dict[tuple[int, int], int] = {}
-        for (a, b), r in self.ranks.items():
-            whole = self.vocab[merges[r][0] + merges[r][1]]
-            self.merged[a, b] = whole
+        self.made = np.array([self.vocab[a + b] for a, b in merges], dtype=np.int64)
+        for (a, b), r in ranks.items():
+            whole = self.made[r]
             if self.rank[whole] < 0 or r < self.rank[whole]:
                 self.rank[whole], self.left[whole], self.right[whole] = r, a, b
         self.width = n
-        keys = np.array([a * n + b for a, b in self.ranks], dtype=np.int64)
+        keys = np.array([a * n + b for a, b in ranks], dtype=np.int64)
         order = np.argsort(keys)
-        self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.ranks.values()), dtype=np.int64)[order]
+        self.pair_keys, self.pair_ranks = keys[order], np.array(list(ranks.values()), dtype=np.int64)[order]
         # Tokens that merging their own characters does not give back must not be proposed.
         self.longest = max(map(len, self.vocab))
         self.proposable = dict(self.vocab)
-        odd = [k for k, name in enumerate(self.names) if self.rank[k] >= 0 and self._merge(self._symbols(name)) != [k]]
-        for k in odd:
+        made = np.flatnonzero(self.rank >= 0)
+        symbols = [self._symbols(self.names[k]) for k in made.tolist()]
+        owner = np.repeat(np.arange(len(made)), [len(x) for x in symbols])
+        tokens, owner = self.merge(np.array([k for x in symbols for k in x], dtype=np.int64), owner)
+        first = np.searchsorted(owner, np.arange(len(made)))
+        for k in made[(np.bincount(owner, minlength=len(made)) != 1) | (tokens[first] != made)].tolist():
             del self.proposable[self.names[k]]
         self.cache: dict[str, bytes] = {}
         self.exact = 0
@@ -84,33 +87,52 @@ class WordBpe:
             return [self.vocab[c] for c in body[:-1]] + [self.vocab[body[-1] + self.end]]
         return [self.vocab[c] for c in piece]
 
-    def _merge(self, tokens: list[int]) -> list[int]:
-        """The merge of least rank, leftmost first, until there is none."""
-        while len(tokens) > 1:
-            ranks = [self.ranks.get(p, NEVER) for p in zip(tokens, tokens[1:], strict=False)]
-            k = min(range(len(ranks)), key=ranks.__getitem__)
-            if ranks[k] == NEVER:
-                break
-            tokens = [*tokens[:k], self.merged[tokens[k], tokens[k + 1]], *tokens[k + 2 :]]
-        return tokens
-
-    def _merge_long(self, tokens: list[int]) -> list[int]:
-        """As _merge for very long words, in passes: all pairs of the least rank, left to right."""
-        while len(tokens) > 1:
-            ranks = [self.ranks.get(p, NEVER) for p in zip(tokens, tokens[1:], strict=False)]
-            least = min(ranks)
-            if least == NEVER:
-                break
-            out, k = [], 0
-            while k < len(tokens):
-                if k < len(ranks) and ranks[k] == least:
-                    out.append(self.merged[tokens[k], tokens[k + 1]])
-                    k += 2
-                else:
-                    out.append(tokens[k])
-                    k += 1
-            tokens = out
-        return tokens
+    def _rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of tokens, NEVER where there is none."""
+        key = x * self.width + y
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
+
+    def merge(self, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge the tokens of many words, each word's by least rank, leftmost first, to the end.
+
+        Words lie one after the other; `owner` numbers them. Gives tokens and owners of all words.
+        """
+        done_tokens, done_owner = [], []
+        rank = np.full(len(tokens), NEVER)
+        rank[:-1][owner[1:] == owner[:-1]] = 0
+        pairs = np.flatnonzero(rank == 0)
+        rank[pairs] = self._rank_of(tokens[pairs], tokens[pairs + 1])
+        while len(tokens):
+            heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            sizes = np.diff(np.append(heads, len(tokens)))
+            least = np.minimum.reduceat(rank, heads)
+            over = np.repeat(least == NEVER, sizes)
+            if over.any():
+                done_tokens.append(tokens[over])
+                done_owner.append(owner[over])
+                tokens, owner, rank, least, sizes = tokens[~over], owner[~over], rank[~over], least[least != NEVER], sizes[least != NEVER]
+                continue
+            place = np.flatnonzero(rank == np.repeat(least, sizes))
+            place = place[np.append(True, owner[place[1:]] != owner[place[:-1]])]
+            tokens[place] = self.made[rank[place]]
+            stay = np.ones(len(tokens), dtype=bool)
+            stay[place + 1] = False
+            place = place - np.arange(len(place))  # one token fewer for each merge before
+            tokens, owner, rank = tokens[stay], owner[stay], rank[stay]
+            for at in (place - 1, place):
+                at = at[at >= 0]
+                inside = np.zeros(len(at), dtype=bool)
+                few = at + 1 < len(tokens)
+                inside[few] = owner[at[few]] == owner[at[few] + 1]
+                rank[at[~inside]] = NEVER
+                at = at[inside]
+                rank[at] = self._rank_of(tokens[at], tokens[at + 1])
+        if not done_tokens:
+            return tokens, owner
+        owner = np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(done_tokens)[order], owner[order]
 
     def propose(self, piece: str) -> list[int]:
         """Longest token first; every single character is a token."""
@@ -139,9 +161,7 @@ class WordBpe:
         live = np.arange(len(a))
         while len(live):
             x, y = a[live], b[live]
-            key = x * self.width + y
-            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            rank = np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
+            rank = self._rank_of(x, y)
             bad = (rank < until_a[live]) & (rank <= until_b[live]) & (rank != NEVER)
             good[live[bad]] = False
             more = ~bad & ((self.rank[x] >= 0) | (self.rank[y] >= 0))
@@ -161,12 +181,10 @@ class WordBpe:
     def learn(self, new: list[str]) -> None:
         """Add the tokens of new words to the table."""
         tokens: list[list[int]] = []
-        parts: list[tuple[int, int]] = []  # of each word: its tokens' place
         texts: list[str] = []
+        ends = []  # of each word: where its pieces end
         for word in new:
-            first = len(tokens)
-            segments = self.special_pattern.split(word) if self.special_pattern else [word]
-            for segment in segments:
+            for segment in self.special_pattern.split(word) if self.special_pattern else [word]:
                 if segment in self.special:
                     tokens.append([self.special[segment]])
                     texts.append("")
@@ -174,39 +192,60 @@ class WordBpe:
                     for piece in self.pieces(segment):
                         tokens.append(self.propose(piece))
                         texts.append(piece)
-            parts.append((first, len(tokens)))
-        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        flat = np.fromiter((k for t in tokens for k in t), dtype=np.int64, count=int(sizes.sum()))
-        owner = np.repeat(np.arange(len(tokens)), sizes)
+            ends.append(len(tokens))
+        owner, flat = _flat(tokens)
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         failed = np.unique(owner[inside[~self.compatible(flat[inside], flat[inside + 1])]])
-        self.exact += len(failed)
-        for k in failed.tolist():
-            symbols = self._symbols(texts[k] + self.end)
-            tokens[k] = self._merge(symbols) if len(symbols) < 100 else self._merge_long(symbols)
-        for word, (a, b) in zip(new, parts, strict=True):
-            self.cache[word] = np.array([k for t in tokens[a:b] for k in t], dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = SPACES.split(text) if SEPARATORS.search(text) else text.split()
-        out = []
-        for k in range(0, len(words), SLICE_WORDS):
-            some = words[k : k + SLICE_WORDS]
-            try:
-                out.append(b"".join(map(self.cache.__getitem__, some)))
-            except KeyError:
-                if len(self.cache) > CACHE_WORDS:
-                    self.cache.clear()
-                self.learn([w for w in dict.fromkeys(some) if w not in self.cache])
-                out.append(b"".join(map(self.cache.__getitem__, some)))
-        return b"".join(out)
+        if len(failed):
+            self.exact += len(failed)
+            where, symbols = _flat([self._symbols(texts[k] + self.end) for k in failed.tolist()])
+            merged, where = self.merge(symbols, where)
+            right = ~np.isin(owner, failed)
+            flat, owner = np.append(flat[right], merged), np.append(owner[right], failed[where])
+            order = np.argsort(owner, kind="stable")
+            flat, owner = flat[order], owner[order]
+        ids = flat.astype("<u4").tobytes()
+        places = (4 * np.searchsorted(owner, np.array([0, *ends]))).tolist()
+        self.cache.update(zip(new, [ids[a:b] for a, b in zip(places, places[1:], strict=False)], strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out = [bytearray() for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            words = SPACES.split(text) if SEPARATORS.search(text) else text.split()
+            for at in range(0, len(words), SLICE_WORDS):
+                held.append((k, words[at : at + SLICE_WORDS]))
+                size += len(held[-1][1])
+                if size >= SLICE_WORDS:
+                    self._fill(out, held)
+                    held, size = [], 0
+        self._fill(out, held)
+        return [bytes(x) for x in out]
+
+    def _fill(self, out: list[bytearray], held: list[tuple[int, list[str]]]) -> None:
+        new = set().union(*[words for _, words in held]).difference(self.cache)
+        if len(self.cache) + len(new) > CACHE_WORDS:
+            self.cache.clear()
+            new = set().union(*[words for _, words in held])
+        if new:
+            self.learn(list(new))
+        for k, words in held:
+            out[k] += b"".join(map(self.cache.__getitem__, words))
 
     def decode(self, ids: bytes) -> str:
         """Names of the tokens with blanks between them: the file names no other decoder."""
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the list of each element, and all elements."""
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    flat = np.fromiter((k for x in lists for k in x), dtype=np.int64, count=int(sizes.sum()))
+    return np.repeat(np.arange(len(lists)), sizes), flat
+
+
 @lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
@@ -228,8 +267,7 @@ def bpe_decode(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "dec
 
 
 def _encode(rows: pa.RecordBatch, path: str, text: str, ids: str) -> dict[str, pa.Array]:
-    bpe = word_bpe(path)
-    found = [bpe.encode(x or "") for x in rows.column(text).to_pylist()]
+    found = word_bpe(path).encode_all([x or "" for x in rows.column(text).to_pylist()])
     return {ids: pa.array(found, pa.binary()), "n_tokens": pa.array([len(x) // 4 for x in found], pa.int64())}
 
 

@@ -100,7 +100,33 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id
 FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id, n
 """
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from shelfmark.llm.bpe import bpe_decode, bpe_encode
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe_encode(table(spark, sf_dir, "documents", "doc_id", "text"), path).drop("text")
+    return bpe_decode(encoded, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from shelfmark.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
+    "op1_bpe": (op1_bpe, None),
+    "op4_packing": (op4_packing, None),
     "op7_line_dedup": (op7_line_dedup, SQL_7),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, SQL_9),
     "op2_substring_dedup": (op2_substring_dedup, SQL_2),
