@@ -124,7 +124,48 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.quality_rules import apply_policy, rule_ledger
+
+    judged = apply_policy(rule_ledger(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
+    )
+
+
+SQL_5 = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), places AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM texts WHERE len(words) >= 3
+), spans AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS c FROM places
+), again AS (
+  SELECT doc_id, count(*) AS n_repeat_words FROM (
+    SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM spans WHERE c > 1) GROUP BY doc_id
+), figures AS (
+  SELECT t.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM texts t LEFT JOIN lines l ON l.doc_id = t.doc_id LEFT JOIN again a ON a.doc_id = t.doc_id
+), judged AS (
+  SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 12 * n_words THEN 32 ELSE 0 END
+    )::BIGINT AS failed FROM figures
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, failed & 3 <> 0 AS base_failed,
+  failed = 0 AS kept
+FROM judged
+"""
+
 QUERIES = {
+    "op5_quality_rules": (op5_quality_rules, SQL_5),
     "op1_bpe": (op1_bpe, None),
     "op4_packing": (op4_packing, None),
     "op7_line_dedup": (op7_line_dedup, SQL_7),
