@@ -18,7 +18,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "many_symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "100 * n_dup_lines > 30 * n_lines",
+    "duplicate_lines": "2 * n_dup_lines > n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 12 * n_words",
 }

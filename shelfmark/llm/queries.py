@@ -155,7 +155,7 @@ WITH texts AS (
   FROM texts t LEFT JOIN lines l ON l.doc_id = t.doc_id LEFT JOIN again a ON a.doc_id = t.doc_id
 ), judged AS (
   SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
     + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 12 * n_words THEN 32 ELSE 0 END
     )::BIGINT AS failed FROM figures
 )
@@ -164,7 +164,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 FROM judged
 """
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.topk_search import topk_search
+
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk_search(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
+SQL_6 = """
+WITH vectors AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    coalesce(list_sum([q.v[i] * c.v[i] FOR i IN range(1, 1 + least(len(q.v), len(c.v)))]), 0)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores
+)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.warc import round_trip
+
+    records = round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL_10 = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND f <> page_id THEN f END AS refers_to
+FROM firsts
+"""
+
 QUERIES = {
+    "op10_warc": (op10_warc, SQL_10),
+    "op6_topk_search": (op6_topk_search, SQL_6),
     "op5_quality_rules": (op5_quality_rules, SQL_5),
     "op1_bpe": (op1_bpe, None),
     "op4_packing": (op4_packing, None),
