@@ -205,7 +205,17 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.toxicity import fit, held_out, toxicity
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    index = fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held_out())
+    scored = toxicity(docs, index)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 QUERIES = {
+    "op3_toxicity": (op3_toxicity, None),
     "op10_warc": (op10_warc, SQL_10),
     "op6_topk_search": (op6_topk_search, SQL_6),
     "op5_quality_rules": (op5_quality_rules, SQL_5),

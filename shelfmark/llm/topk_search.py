@@ -140,7 +140,7 @@ def topk_search(
     whole = F.floor(F.greatest(F.lit(-1.0 * LARGEST), F.least(F.lit(1.0 * LARGEST), F.array_min("v") * SCALE)))
     highest = F.floor(F.greatest(F.lit(-1.0 * LARGEST), F.least(F.lit(1.0 * LARGEST), F.array_max("v") * SCALE)))
     found = rows.agg(
-        F.min(whole).alias("low"), F.max(highest).alias("high"), F.max(F.size("v")).alias("dims"), F.count_if("q").alias("n")
+        F.min(whole).alias("low"), F.max(highest).alias("high"), F.max(F.size("v")).alias("dims"), F.count_if(F.col("q")).alias("n")
     ).first()
     result = "query_id long, vec_id long, score long"
     if not found["n"]:

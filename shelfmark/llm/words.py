@@ -60,9 +60,12 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return whole[places[0] : places[-1]], places - places[0]
 
 
-def spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the first word of each text, one more at the end."""
-    space = SPACE[buf]
+def spans(buf: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the first word of each text, one more at the end.
+
+    `gaps` says for every byte whether it lies between words.
+    """
+    space = gaps[buf]
     edges = np.empty(len(buf) + 1, dtype=bool)
     edges[0] = True
     edges[1:] = space
