@@ -214,14 +214,21 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
-    "op3_toxicity": (op3_toxicity, None),
-    "op10_warc": (op10_warc, SQL_10),
-    "op6_topk_search": (op6_topk_search, SQL_6),
-    "op5_quality_rules": (op5_quality_rules, SQL_5),
     "op1_bpe": (op1_bpe, None),
+    "op2_substring_dedup": (op2_substring_dedup, SQL_2),
+    "op3_toxicity": (op3_toxicity, None),
     "op4_packing": (op4_packing, None),
+    "op5_quality_rules": (op5_quality_rules, SQL_5),
+    "op6_topk_search": (op6_topk_search, SQL_6),
     "op7_line_dedup": (op7_line_dedup, SQL_7),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, SQL_9),
-    "op2_substring_dedup": (op2_substring_dedup, SQL_2),
+    "op10_warc": (op10_warc, SQL_10),
+    "pipeline": (pipeline, None),
 }
