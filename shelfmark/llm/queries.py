@@ -214,6 +214,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -228,6 +234,7 @@ QUERIES = {
     "op5_quality_rules": (op5_quality_rules, SQL_5),
     "op6_topk_search": (op6_topk_search, SQL_6),
     "op7_line_dedup": (op7_line_dedup, SQL_7),
+    "op8_lm_scoring": (op8_lm_scoring, None),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, SQL_9),
     "op10_warc": (op10_warc, SQL_10),
     "pipeline": (pipeline, None),
