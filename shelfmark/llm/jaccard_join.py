@@ -85,9 +85,8 @@ class Region:
 
     def overlap(self, shingles: np.ndarray) -> np.ndarray:
         """Size of the intersection with every set of the region."""
-        at = np.searchsorted(self.codes, shingles)
-        at = at[at < len(self.codes)]
-        at = at[np.isin(self.codes[at], shingles, assume_unique=True)]
+        at = np.minimum(np.searchsorted(self.codes, shingles), len(self.codes) - 1)
+        at = at[self.codes[at] == shingles]
         counts = self.heads[at + 1] - self.heads[at]
         return np.bincount(self.owner[W.rows_of(self.heads[at], counts)], minlength=len(self.sets.n))
 
@@ -275,7 +274,7 @@ def _slice_links(rows: DataFrame, pivots: DataFrame, width: int, percent: int) -
         out = {"pivot": [], "a": [], "b": [], "d": [], "near": []}
         if left.num_rows and right.num_rows:
             region, names = Region(Sets(left.column("body"), width)), left.column("set").to_pylist()
-            others, theirs = Sets(right.column("body"), width), right.column("set").to_pylist()
+            others, theirs = Sets(right.column("text"), width), right.column("name").to_pylist()
             n = region.sets.n
             for k, name in enumerate(theirs):
                 common = region.overlap(others.one(k))
@@ -291,11 +290,17 @@ def _slice_links(rows: DataFrame, pivots: DataFrame, width: int, percent: int) -
         kinds = {"pivot": pa.binary(), "a": pa.binary(), "b": pa.binary(), "d": pa.float64(), "near": pa.bool_()}
         return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
-    copies = pivots.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    copies = pivots.select(
+        F.col("pivot").alias("of_pivot"),
+        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("of_slice"),
+        F.col("set").alias("name"),
+        F.col("body").alias("text"),
+        "first",
+    )
     return (
         rows.select("pivot", "slice", "set", "body")
         .groupBy("pivot", "slice")
-        .cogroup(copies.select("pivot", "slice", "set", "body", "first").groupBy("pivot", "slice"))
+        .cogroup(copies.groupBy("of_pivot", "of_slice"))
         .applyInArrow(run, "pivot binary, a binary, b binary, d double, near boolean")
     )
 
