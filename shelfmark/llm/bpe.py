@@ -29,7 +29,7 @@ CACHE_WORDS = 300_000
 SLICE_WORDS = 100_000
 NEVER = np.iinfo(np.int64).max
 # White space for the tokenizer; str.split also takes the four separators below.
-SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 

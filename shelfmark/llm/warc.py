@@ -69,6 +69,8 @@ def directory(file: BinaryIO, size: int) -> dict[str, Member]:
     tail_at = max(0, size - 22 - FULL16)
     tail = read_at(file, tail_at, size - tail_at)
     place = tail.rfind(END)
+    while place >= 0 and tail[place + 20 : place + 22] != struct.pack("<H", max(0, len(tail) - place - 22)):
+        place = tail.rfind(END, 0, place)  # these bytes stand in the comment
     if place < 0 or len(tail) - place < 22:
         raise BadArchive("no end of central directory")
     count, length, start = struct.unpack("<HII", tail[place + 10 : place + 20])
@@ -145,9 +147,9 @@ def index_lines(file: BinaryIO, members: dict[str, Member]) -> Iterator[bytes]:
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     """Headers, by lower-case name, and block of one unpacked record."""
     head, separator, rest = data.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
-    if not separator or not version.startswith("WARC/"):
+    if not separator or not head.startswith(b"WARC/"):
         raise BadArchive("not a WARC record")
+    _, *lines = head.decode().split("\r\n")
     headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
     n = int(headers["content-length"])
     if len(rest) < n:
