@@ -33,12 +33,11 @@ def canonical(rows):
     return sorted(tuple(plain(v) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = [tuple(row[c] for c in columns) for row in df.collect()]
-    assert name in SQL
     cursor = duck.execute(SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
@@ -48,5 +47,10 @@ def test_query_equals_sql(spark, duck, name):
     assert got
 
 
+def test_all_but_model_queries_have_sql():
+    """What SQL can't express is tested against brute force beside its operator."""
+    assert {n for n in QUERIES if n not in SQL} <= {"op1_bpe", "op3_toxicity", "op4_packing", "op8_lm_scoring", "pipeline"}
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
