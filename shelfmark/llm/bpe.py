@@ -6,9 +6,9 @@ alone. That is checked for all pairs of all new words at once: the merges of the
 undone from the latest backwards, and at each step the two pieces that touch must not have a merge
 that would have come first. Words with a pair that fails are merged step by step.
 
-Texts are cut at white space, which no token crosses; the tokens of a word depend on it alone. Each
-worker keeps a bounded table of words it has met. Normalisation and splitting of words other than
-printable ASCII are the tokenizer file's own.
+Texts are cut into pieces (words, digits, marks), whose tokens depend on the piece alone. Each worker
+keeps a bounded table of pieces it has met. Texts of Latin letters are lower-cased and cut by a pattern;
+all others are normalised and cut by the tokenizer file's own rules.
 """
 
 from __future__ import annotations
@@ -24,14 +24,24 @@ from pyspark.sql import DataFrame, types as T
 
 from shelfmark.llm.blocks import ready
 
-# Words kept per worker, and words of a text taken at once.
-CACHE_WORDS = 300_000
-SLICE_WORDS = 100_000
+# Pieces kept per worker, and pieces of texts taken at once.
+CACHE_PIECES = 300_000
+SLICE_PIECES = 100_000
 NEVER = np.iinfo(np.int64).max
-# White space for the tokenizer; str.split also takes the four separators below.
-SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-SEPARATORS = re.compile("[\x1c-\x1f]")
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Characters that normalisation leaves alone and whose lower case is among them.
+LATIN = re.compile("[\t-\r -~\xa1-\u012f\u0131-\u017f]*")
+# Letters and numbers of lower-cased LATIN texts.
+LETTER, NUMBER = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
+# Marks of pieces already in byte letters, and of special tokens.
+CUT, SPECIAL = "\0", "\1"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: visible Latin-1 for itself, the letters from 256 on for the others."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class WordBpe:
@@ -68,7 +78,7 @@ class WordBpe:
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.array(list(ranks.values()), dtype=np.int64)[order]
         # Tokens that merging their own characters does not give back must not be proposed.
-        self.longest = max(map(len, self.vocab))
+        self.longest = max(len(name) for name in self.vocab if not name.endswith(self.end))
         self.proposable = dict(self.vocab)
         made = np.flatnonzero(self.rank >= 0)
         symbols = [self._symbols(self.names[k]) for k in made.tolist()]
@@ -78,6 +88,7 @@ class WordBpe:
         for k in made[(np.bincount(owner, minlength=len(made)) != 1) | (tokens[first] != made)].tolist():
             del self.proposable[self.names[k]]
         self.cache: dict[str, bytes] = {}
+        self.letters = byte_letters()
         self.exact = 0
 
     def _symbols(self, piece: str) -> list[int]:
@@ -135,22 +146,18 @@ class WordBpe:
         return np.concatenate(done_tokens)[order], owner[order]
 
     def propose(self, piece: str) -> list[int]:
-        """Longest token first; every single character is a token."""
-        body, out, at = len(piece), [], 0
-        whole = piece + self.end
-        while at < body:
-            if body - at + len(self.end) <= self.longest and (k := self.proposable.get(whole[at:])) is not None:
-                out.append(k)
-                break
-            for to in range(min(body, at + self.longest), at, -1):
-                if to == body and to - at == 1:
-                    continue  # the last character always bears the word end
-                if to < body and (k := self.proposable.get(piece[at:to])) is not None:
-                    out.append(k)
-                    at = to
-                    break
-            else:
-                raise ValueError(f"no token for {piece[at]!r}")
+        """Longest token first; every single character is a token, and the last token bears the word end."""
+        get, whole, last = self.proposable.get, piece + self.end, len(piece) - 1
+        out, at = [], 0
+        while (k := get(whole[at:])) is None:
+            to = min(last, at + self.longest)
+            while (k := get(piece[at:to])) is None:
+                to -= 1
+                if to == at:
+                    raise ValueError(f"no token for {piece[at]!r}")
+            out.append(k)
+            at = to
+        out.append(k)
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -172,27 +179,32 @@ class WordBpe:
             until_b[keep], b[keep] = self.rank[y[~first]], self.left[y[~first]]
         return good
 
-    def pieces(self, word: str) -> list[str]:
-        """Normalised and split, in the file's byte letters."""
-        if word.isascii() and word.isprintable():
-            return ASCII_PIECES.findall(word.lower())
-        return [p for p, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(word))]
+    def pieces(self, text: str) -> list[str]:
+        """Pieces of a text under their names in the table."""
+        if LATIN.fullmatch(text) and "<|" not in text:
+            return PIECES.findall(text.lower())
+        out = []
+        for segment in self.special_pattern.split(text) if self.special_pattern else [text]:
+            if segment in self.special:
+                out.append(SPECIAL + segment)
+            elif segment:
+                out += [CUT + p for p, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(segment))]
+        return out
 
     def learn(self, new: list[str]) -> None:
-        """Add the tokens of new words to the table."""
+        """Add the tokens of new pieces to the table."""
         tokens: list[list[int]] = []
         texts: list[str] = []
-        ends = []  # of each word: where its pieces end
-        for word in new:
-            for segment in self.special_pattern.split(word) if self.special_pattern else [word]:
-                if segment in self.special:
-                    tokens.append([self.special[segment]])
-                    texts.append("")
-                elif segment:
-                    for piece in self.pieces(segment):
-                        tokens.append(self.propose(piece))
-                        texts.append(piece)
-            ends.append(len(tokens))
+        for name in new:
+            if name[0] == SPECIAL:
+                tokens.append([self.special[name[1:]]])
+                texts.append("")
+                continue
+            text = name[1:] if name[0] == CUT else name
+            if name[0] != CUT and not name.isascii():
+                text = "".join(map(self.letters.__getitem__, name.encode()))
+            tokens.append(self.propose(text))
+            texts.append(text)
         owner, flat = _flat(tokens)
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         failed = np.unique(owner[inside[~self.compatible(flat[inside], flat[inside + 1])]])
@@ -205,7 +217,7 @@ class WordBpe:
             order = np.argsort(owner, kind="stable")
             flat, owner = flat[order], owner[order]
         ids = flat.astype("<u4").tobytes()
-        places = (4 * np.searchsorted(owner, np.array([0, *ends]))).tolist()
+        places = (4 * np.searchsorted(owner, np.arange(len(new) + 1))).tolist()
         self.cache.update(zip(new, [ids[a:b] for a, b in zip(places, places[1:], strict=False)], strict=True))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
@@ -214,25 +226,25 @@ class WordBpe:
         held: list[tuple[int, list[str]]] = []
         size = 0
         for k, text in enumerate(texts):
-            words = SPACES.split(text) if SEPARATORS.search(text) else text.split()
-            for at in range(0, len(words), SLICE_WORDS):
-                held.append((k, words[at : at + SLICE_WORDS]))
+            pieces = self.pieces(text)
+            for at in range(0, len(pieces), SLICE_PIECES):
+                held.append((k, pieces[at : at + SLICE_PIECES]))
                 size += len(held[-1][1])
-                if size >= SLICE_WORDS:
+                if size >= SLICE_PIECES:
                     self._fill(out, held)
                     held, size = [], 0
         self._fill(out, held)
         return [bytes(x) for x in out]
 
     def _fill(self, out: list[bytearray], held: list[tuple[int, list[str]]]) -> None:
-        new = set().union(*[words for _, words in held]).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_WORDS:
+        new = set().union(*[pieces for _, pieces in held]).difference(self.cache)
+        if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
-            new = set().union(*[words for _, words in held])
+            new = set().union(*[pieces for _, pieces in held])
         if new:
             self.learn(list(new))
-        for k, words in held:
-            out[k] += b"".join(map(self.cache.__getitem__, words))
+        for k, pieces in held:
+            out[k] += b"".join(map(self.cache.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> str:
         """Names of the tokens with blanks between them: the file names no other decoder."""

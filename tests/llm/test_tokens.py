@@ -47,8 +47,8 @@ def test_pairs_are_checked_like_merging():
 
 
 def test_a_full_table_is_emptied(monkeypatch):
-    monkeypatch.setattr(E, "CACHE_WORDS", 50)
-    monkeypatch.setattr(E, "SLICE_WORDS", 20)
+    monkeypatch.setattr(E, "CACHE_PIECES", 50)
+    monkeypatch.setattr(E, "SLICE_PIECES", 20)
     library, own = Tokenizer.from_file(WORD), E.WordBpe(WORD)
     texts = [A.prose(k, 90) for k in range(20)]
     for text, ids in zip(texts, own.encode_all(texts), strict=True):
