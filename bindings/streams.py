@@ -8,7 +8,7 @@ from bindings.common import table
 from bindings.ordered import DAY, LINE_ID, SUBMITTED, THROTTLED, references, submissions
 from shelfmark.session import fresh_dir, prepare
 from shelfmark.streaming.batches import BatchTables, parquet_stream
-from shelfmark.streaming.capture import carry_forward_stream, throttle_stream
+from shelfmark.streaming.capture import carry_forward_stream, labelled_so_far, throttle_stream, throttled_so_far
 from shelfmark.streaming.distinct import write_distinct
 from shelfmark.streaming.ingest import ingest_reviews
 
@@ -23,6 +23,18 @@ def query(name, sql=None):
     return register
 
 
+# More than the span of the events: files hold them in no order.
+SPAN = 3 * 365 * DAY
+
+
+def scattered(spark, sf_dir, name, *columns):
+    """Stream over a driver table dealt to eight files in no order, three files to a micro-batch."""
+    prepare(spark)
+    folder = fresh_dir(spark, f"{name}-files")
+    table(spark, sf_dir, name).repartition(8, *columns).write.parquet(folder)
+    return parquet_stream(spark, folder, "part-*", files_per_batch=3)
+
+
 def finish(running) -> None:
     running.awaitTermination()
     if running.exception() is not None:
@@ -33,20 +45,19 @@ def finish(running) -> None:
 def stream_distinct(spark, sf_dir):
     prepare(spark)
     path = fresh_dir(spark, "distinct")
-    events = parquet_stream(spark, sf_dir, "events.parquet")
+    events = scattered(spark, sf_dir, "events", "event_id")
     finish(write_distinct(events, ["user_id", "event_type"], path))
-    return spark.read.parquet(f"{path}/links")
+    return BatchTables(path).read_all(spark, "links").drop("bucket")
 
 
 @query("throttle_stream", THROTTLED)
 def throttled(spark, sf_dir):
     prepare(spark)
     path = fresh_dir(spark, "throttle")
-    events = parquet_stream(spark, sf_dir, "events.parquet").select(
-        "user_id", "event_id", "event_type", "ts"
-    )
-    finish(throttle_stream(events, ["user_id"], "ts", ["event_id"], DAY, path))
-    emitted = BatchTables(path).read_all(spark, "emitted")
+    events = scattered(spark, sf_dir, "events", "event_id").select("user_id", "event_id", "event_type", "ts")
+    how = ["user_id"], "ts", ["event_id"], DAY
+    finish(throttle_stream(events, *how, path, delay_seconds=SPAN))
+    emitted = throttled_so_far(spark, path, *how)
     return emitted.select("user_id", "event_id", "event_type")
 
 
@@ -59,7 +70,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, username, CAST(moby_id AS
 def stream_reviews(spark, sf_dir):
     prepare(spark)
     path = fresh_dir(spark, "reviews")
-    lines = parquet_stream(spark, sf_dir, "lineitem.parquet")
+    # A review of an earlier file counts before one of a later file: keep a user's lines in one file.
+    lines = scattered(spark, sf_dir, "lineitem", "l_suppkey")
     finish(ingest_reviews(submissions(lines), references(spark, sf_dir), LINE_ID, path))
     return BatchTables(path).read_all(spark, "accepted").drop("score")
 
@@ -88,7 +100,7 @@ FROM placed p LEFT JOIN boxes s ON s.user_id = p.user_id AND s.ts = p.at_ts""",
 def carried(spark, sf_dir):
     prepare(spark)
     path = fresh_dir(spark, "carry")
-    events = parquet_stream(spark, sf_dir, "events.parquet")
+    events = scattered(spark, sf_dir, "events", "event_id")
     detections = events.select(
         F.col("user_id").cast("string").alias("stream_id"),
         "ts",
@@ -98,6 +110,6 @@ def carried(spark, sf_dir):
         F.lit(False).alias("manual"),
         F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("label"),
     )
-    finish(carry_forward_stream(detections, {"x": 20, "y": 20}, DAY, path))
-    labelled = BatchTables(path).read_all(spark, "labelled")
+    finish(carry_forward_stream(detections, {"x": 20, "y": 20}, DAY, path, delay_seconds=SPAN))
+    labelled = labelled_so_far(spark, path, {"x": 20, "y": 20}, DAY)
     return labelled.select(F.col("det_id").alias("event_id"), "shown")

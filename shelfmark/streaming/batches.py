@@ -7,7 +7,7 @@ failure overwrites what it wrote, so results count once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +16,10 @@ from shelfmark.sources.sinks import exists, remove
 
 
 def parquet_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 1000) -> DataFrame:
-    """Stream over a folder's Parquet files whose names match the pattern."""
+    """Stream over a folder's Parquet files whose names match the pattern.
+
+    `files_per_batch` bounds the work of a micro-batch; all files are read in the end.
+    """
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
     return (
         spark.readStream.schema(schema)
@@ -32,8 +35,8 @@ class BatchTables:
     def __init__(self, path: str) -> None:
         self.path = path.rstrip("/")
 
-    def write(self, df: DataFrame, name: str, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+    def write(self, df: DataFrame, name: str, batch: int, by: Sequence[str] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{name}/batch={batch}")
 
     def read_one(self, spark: SparkSession, name: str, batch: int) -> DataFrame | None:
         folder = f"{self.path}/{name}/batch={batch}"
@@ -46,7 +49,7 @@ class BatchTables:
         return rows.where(F.col("batch") < batch).drop("batch")
 
     def read_all(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/{name}").drop("batch")
+        return spark.read.option("mergeSchema", True).parquet(f"{self.path}/{name}").drop("batch")
 
     def forget(self, spark: SparkSession, name: str, batch: int) -> None:
         """Drop a state that no retry can need any more."""
@@ -54,6 +57,11 @@ class BatchTables:
             remove(spark, f"{self.path}/{name}/batch={batch}")
 
 
+def last_batch(spark: SparkSession, path: str, name: str) -> int:
+    """Number of the newest micro-batch that wrote a table."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{name}").agg(F.max("batch")).first()[0]
+
+
 def run_available(
     stream: DataFrame, each: Callable[[DataFrame, int], None], path: str
 ) -> StreamingQuery:

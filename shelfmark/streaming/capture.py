@@ -1,19 +1,22 @@
 """Throttled capture and carry-forward labels over a stream of rows.
 
-The clock of each key, and for carry-forward the boxes it has stored, is the
-state kept between micro-batches. Within a batch the work is the batch operator
-itself, so a key with much of the batch is spread like any other.
+Rows wait until the stream's watermark has passed them: the newest instant seen so far less `delay_seconds`.
+What has passed is complete, so where micro-batches end, and which files they hold, does not change any result;
+only rows that arrive at or behind the watermark are late and are written apart. The waiting rows,
+the clock of each key and, for carry-forward, the boxes it has stored are the state kept between
+micro-batches. Within a batch the work is the batch operator itself, so a key with much of the batch is
+spread like any other. `*_so_far` adds what the rows still waiting would give if the stream ended now.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.operators.ordered import time_block
-from shelfmark.operators.skew import null_safe_join, skew_join
+from shelfmark.operators.skew import null_safe_join
 from shelfmark.operators.throttle import (
     capture,
     carry_forward,
@@ -21,25 +24,32 @@ from shelfmark.operators.throttle import (
     microseconds,
     throttle,
 )
-from shelfmark.streaming.batches import BatchTables, run_available
+from shelfmark.streaming.batches import BatchTables, last_batch, run_available
 
 
-def _with_clock(
-    rows: DataFrame,
-    clocks: DataFrame | None,
-    keys: Sequence[str],
-    ts: str,
-    row_id: Sequence[str],
-) -> DataFrame:
-    if clocks is None:
-        return rows.withColumn("_seen", F.lit(None).cast("long"))
-    return skew_join(rows, clocks.select(*keys, "_seen"), keys, row_id)
-
+def _admit(
+    tables: BatchTables, rows: DataFrame, batch: int, ts: str, delay_seconds: float
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows that the watermark has passed with this batch, and clocks so far.
 
-def _split_late(clocked: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
-    """Rows after the key's last seen instant, and rows at or before it."""
-    late = F.coalesce(microseconds(ts) <= F.col("_seen"), F.lit(False))
-    return clocked.where(~late).drop("_seen"), clocked.where(late).drop("_seen")
+    Writes the late rows, those that go on waiting and the new watermark.
+    """
+    spark = rows.sparkSession
+    marks = tables.read_one(spark, "marks", batch - 1)
+    before = marks.first()["mark"] if marks is not None else None
+    late = F.lit(False) if before is None else F.coalesce(microseconds(ts) <= F.lit(before), F.lit(False))
+    tables.write(rows.where(late), "late", batch)
+    held = rows.where(~late)
+    waiting = tables.read_one(spark, "waiting", batch - 1)
+    if waiting is not None:
+        held = waiting.unionByName(held)
+    newest = held.agg(F.max(microseconds(ts))).first()[0]
+    reached = None if newest is None else newest - int(delay_seconds * 1_000_000)
+    mark = max((m for m in (before, reached) if m is not None), default=None)
+    passed = F.lit(False) if mark is None else F.coalesce(microseconds(ts) <= F.lit(mark), F.lit(False))
+    tables.write(held.where(~passed), "waiting", batch)
+    tables.write(spark.createDataFrame([(mark,)], "mark long"), "marks", batch)
+    return held.where(passed), tables.read_one(spark, "clocks", batch - 1)
 
 
 def _due(
@@ -54,7 +64,6 @@ def _due(
 
 
 def _next_clocks(
-    rows: DataFrame,
     emitted: DataFrame,
     due: DataFrame,
     clocks: DataFrame | None,
@@ -64,9 +73,8 @@ def _next_clocks(
 ) -> DataFrame:
     after = F.max(microseconds(ts)) + F.lit(int(gap * 1_000_000))
     last = emitted.groupBy(*keys).agg(after.alias("_after"))
-    seen = rows.groupBy(*keys).agg(F.max(microseconds(ts)).alias("_seen"))
-    fresh = null_safe_join(null_safe_join(due, seen, keys, "left"), last, keys, "left")
-    fresh = fresh.select(*keys, F.coalesce("_after", "_due").alias("_due"), "_seen")
+    fresh = null_safe_join(due, last, keys, "left")
+    fresh = fresh.select(*keys, F.coalesce("_after", "_due").alias("_due"))
     if clocks is None:
         return fresh
     return fresh.unionByName(clocks.join(fresh, list(keys), "left_anti"))
@@ -79,36 +87,68 @@ def throttle_stream(
     tie: Sequence[str],
     gap_seconds: float,
     path: str,
+    delay_seconds: float = 0,
 ) -> StreamingQuery:
     """Emit throttled rows to `<path>/emitted`, late rows to `<path>/late`."""
     tables = BatchTables(path)
 
     def each(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        clocks = tables.read_one(spark, "clocks", batch - 1)
-        clocked = _with_clock(rows, clocks, keys, ts, [ts, *tie]).persist()
-        fresh, late = _split_late(clocked, ts)
-        due = _due(fresh, clocks, keys, ts, gap_seconds)
-        tables.write(throttle(fresh, keys, ts, tie, gap_seconds, due), "emitted", batch)
-        tables.write(late, "late", batch)
+        rows = rows.persist()
+        ready, clocks = _admit(tables, rows, batch, ts, delay_seconds)
+        ready = ready.persist()
+        due = _due(ready, clocks, keys, ts, gap_seconds)
+        tables.write(throttle(ready, keys, ts, tie, gap_seconds, due), "emitted", batch)
         emitted = tables.read_one(spark, "emitted", batch)
-        tables.write(
-            _next_clocks(fresh, emitted, due, clocks, keys, ts, gap_seconds), "clocks", batch
-        )
-        clocked.unpersist()
-        tables.forget(spark, "clocks", batch - 2)
+        tables.write(_next_clocks(emitted, due, clocks, keys, ts, gap_seconds), "clocks", batch)
+        ready.unpersist()
+        rows.unpersist()
+        for name in ("clocks", "waiting", "marks"):
+            tables.forget(spark, name, batch - 2)
 
     return run_available(stream, each, path)
 
 
+def throttled_so_far(
+    spark: SparkSession, path: str, keys: Sequence[str], ts: str, tie: Sequence[str], gap_seconds: float
+) -> DataFrame:
+    """All emitted rows, and those the waiting rows would emit if no more came."""
+    tables = BatchTables(path)
+    batch = last_batch(spark, path, "marks")
+    emitted = tables.read_all(spark, "emitted")
+    waiting = tables.read_one(spark, "waiting", batch)
+    due = _due(waiting, tables.read_one(spark, "clocks", batch), keys, ts, gap_seconds)
+    return emitted.unionByName(throttle(waiting, keys, ts, tie, gap_seconds, due))
+
+
+def _label(
+    ready: DataFrame,
+    boxes: DataFrame | None,
+    captured: DataFrame,
+    dims: dict[str, float],
+    block_seconds: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Labelled detections, and all boxes that they may have met."""
+    keys = ["stream_id", "ts", "det_id"]
+    # Boxes stored before come first, as if they were part of these rows.
+    known = captured if boxes is None else boxes.unionByName(captured)
+    seen = ready if boxes is None else boxes.drop("trigger").unionByName(ready)
+    block = time_block("ts", block_seconds)
+    labelled = carry_forward(seen, known, "stream_id", "ts", "det_id", "label", dims, block)
+    if boxes is not None:
+        labelled = labelled.join(boxes.select(*keys), keys, "left_anti")
+    return labelled, known
+
+
 def carry_forward_stream(
     detections: DataFrame,
     dims: dict[str, float],
     gap_seconds: float,
     path: str,
     block_seconds: int = 300,
+    delay_seconds: float = 0,
 ) -> StreamingQuery:
-    """Label every detection as it arrives, in `<path>/labelled`.
+    """Label every detection the watermark has passed, in `<path>/labelled`.
 
     Input columns: stream_id, ts, det_id, the `dims`, manual and label, the
     label being the prediction for the box where its frame is captured.
@@ -118,27 +158,15 @@ def carry_forward_stream(
 
     def each(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        clocks = tables.read_one(spark, "clocks", batch - 1)
+        rows = rows.persist()
+        ready, clocks = _admit(tables, rows, batch, ts, delay_seconds)
+        ready = ready.persist()
         boxes = tables.read_one(spark, "boxes", batch - 1)
-        clocked = _with_clock(rows, clocks, keys, ts, [ts, "det_id"]).persist()
-        fresh, late = _split_late(clocked, ts)
-        due = _due(fresh, clocks, keys, ts, gap_seconds)
-        tables.write(
-            capture(fresh, "stream_id", ts, gap_seconds, due, "manual"), "captured", batch
-        )
+        due = _due(ready, clocks, keys, ts, gap_seconds)
+        tables.write(capture(ready, "stream_id", ts, gap_seconds, due, "manual"), "captured", batch)
         captured = tables.read_one(spark, "captured", batch)
-        # Boxes stored before this batch come first, as if they were part of it.
-        known = captured if boxes is None else boxes.unionByName(captured)
-        seen = fresh if boxes is None else boxes.drop("trigger").unionByName(fresh)
-        labelled = carry_forward(
-            seen, known, "stream_id", ts, "det_id", "label", dims, time_block(ts, block_seconds)
-        )
-        if boxes is not None:
-            labelled = labelled.join(
-                boxes.select("stream_id", ts, "det_id"), ["stream_id", ts, "det_id"], "left_anti"
-            )
+        labelled, known = _label(ready, boxes, captured, dims, block_seconds)
         tables.write(labelled, "labelled", batch)
-        tables.write(late, "late", batch)
 
         auto = known.where(F.col("trigger") == "auto")
         latest = auto.groupBy("stream_id").agg(F.max(ts).alias("_latest"))
@@ -147,11 +175,23 @@ def carry_forward_stream(
         )
         tables.write(kept.drop("_latest"), "boxes", batch)
         emitted = captured.where(F.col("trigger") == "auto")
-        tables.write(
-            _next_clocks(fresh, emitted, due, clocks, keys, ts, gap_seconds), "clocks", batch
-        )
-        clocked.unpersist()
-        for name in ("clocks", "boxes"):
+        tables.write(_next_clocks(emitted, due, clocks, keys, ts, gap_seconds), "clocks", batch)
+        ready.unpersist()
+        rows.unpersist()
+        for name in ("clocks", "boxes", "waiting", "marks"):
             tables.forget(spark, name, batch - 2)
 
     return run_available(detections, each, path)
+
+
+def labelled_so_far(
+    spark: SparkSession, path: str, dims: dict[str, float], gap_seconds: float, block_seconds: int = 300
+) -> DataFrame:
+    """All labelled detections, and the labels of those still waiting if no more came."""
+    tables = BatchTables(path)
+    batch = last_batch(spark, path, "marks")
+    waiting, boxes = tables.read_one(spark, "waiting", batch), tables.read_one(spark, "boxes", batch)
+    due = _due(waiting, tables.read_one(spark, "clocks", batch), ["stream_id"], "ts", gap_seconds)
+    captured = capture(waiting, "stream_id", "ts", gap_seconds, due, "manual")
+    labelled, _ = _label(waiting, boxes, captured, dims, block_seconds)
+    return tables.read_all(spark, "labelled").unionByName(labelled)

@@ -2,53 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmark.streaming.batches import BatchTables, run_available
 
-def distinct_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    ts: str | None = None,
-    delay: str | None = None,
-) -> DataFrame:
-    """Each key once over the whole stream.
+BUCKETS = 64
 
-    With a time column and delay, repeats are recognised within the delay only,
-    which bounds the state. Repeats inside an Arrow batch go before the
-    exchange, so a hot key does not flood one task.
+
+def write_distinct(stream: DataFrame, keys: Sequence[str], path: str) -> StreamingQuery:
+    """Append new keys to `<path>/links` until the available input is used up.
+
+    Repeats inside a micro-batch go before the exchange, so a hot key does not flood one task; then the
+    keys of earlier batches go by an anti-join with the stored ones. Keys are stored by bucket of
+    their hash, and only buckets that the new keys fall into are read.
     """
-    keys = list(keys)
-
-    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(keys)
-
-    if ts is None or delay is None:
-        rows = stream.select(*keys)
-        return rows.mapInPandas(thin, rows.schema).dropDuplicates(keys)
-    rows = stream.select(*keys, F.col(ts).cast("timestamp").alias(ts))
-    thinned = rows.mapInPandas(thin, rows.schema).withWatermark(ts, delay)
-    return thinned.dropDuplicatesWithinWatermark(keys)
-
-
-def write_distinct(
-    stream: DataFrame,
-    keys: Sequence[str],
-    path: str,
-    ts: str | None = None,
-    delay: str | None = None,
-) -> StreamingQuery:
-    """Append new keys to `<path>/links` until the available input is used up."""
-    base = path.rstrip("/")
-    return (
-        distinct_stream(stream, keys, ts, delay)
-        .writeStream.format("parquet")
-        .option("path", f"{base}/links")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    tables, keys = BatchTables(path), list(keys)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+    def each(rows: DataFrame, batch: int) -> None:
+        new = rows.select(*keys).dropDuplicates().select(*keys, bucket).persist()
+        fresh = new
+        known = tables.read_before(rows.sparkSession, "links", batch)
+        if known is not None:
+            met = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
+            known = known.where(F.col("bucket").isin(met)).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+            fresh = new.join(known, same, "left_anti")
+        tables.write(fresh, "links", batch, ["bucket"])
+        new.unpersist()
+
+    return run_available(stream, each, path)

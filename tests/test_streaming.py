@@ -1,6 +1,7 @@
 """Streams over several micro-batches against their batch twins."""
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from shelfmark.operators.ordered import time_block
 from shelfmark.operators.quality import ReviewReferences, review_reasons, split_by_reason
 from shelfmark.operators.throttle import capture, carry_forward, throttle
 from shelfmark.streaming.batches import BatchTables, parquet_stream
-from shelfmark.streaming.capture import carry_forward_stream, throttle_stream
+from shelfmark.streaming.capture import carry_forward_stream, labelled_so_far, throttle_stream, throttled_so_far
 from shelfmark.streaming.distinct import write_distinct
 from shelfmark.streaming.ingest import ingest_reviews
 from tests.conftest import tuples
@@ -53,8 +54,9 @@ def test_throttle_stream_equals_batch(spark, tmp_path):
     expected = tuples(throttle(df, ["k"], "ts", ["n"], 15), "k", "n")
     assert tuples(tables.read_all(spark, "emitted"), "k", "n") == expected
     assert tables.read_all(spark, "late").count() == 0
+    assert tuples(throttled_so_far(spark, path, ["k"], "ts", ["n"], 15), "k", "n") == expected
 
-    # A row before what the key has seen is late; a later one goes on from the stored clock.
+    # A row before the watermark is late; a later one goes on from the stored clock.
     more = spark.createDataFrame([("hot", at(10), 500), ("hot", at(400), 501)], df.schema)
     files(tmp_path / "in", more)
     run()
@@ -66,6 +68,23 @@ def test_throttle_stream_equals_batch(spark, tmp_path):
     assert tables.read_all(spark, "emitted").count() == len(expected) + 1
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 3])
+@pytest.mark.parametrize("delay", [60, 10_000])
+def test_batch_borders_change_nothing(spark, tmp_path, files_per_batch, delay):
+    """Rows out of order by up to a minute, cut into files anywhere, one instant over two files."""
+    rng = random.Random(7)
+    rows = [(rng.choice("ab"), at(rng.randrange(600) / 2), n) for n in range(300)]
+    rows.sort(key=lambda r: r[1] + timedelta(seconds=rng.randrange(60)))
+    df = spark.createDataFrame(rows, "k string, ts timestamp, n int")
+    parts = [spark.createDataFrame(rows[k : k + 40], df.schema) for k in range(0, 300, 40)]
+    stream = parquet_stream(spark, files(tmp_path / "in", *parts), "*.parquet", files_per_batch)
+    path = str(tmp_path / "out")
+    finish(throttle_stream(stream, ["k"], "ts", ["n"], 15, path, delay_seconds=delay))
+    assert BatchTables(path).read_all(spark, "late").count() == 0
+    got = throttled_so_far(spark, path, ["k"], "ts", ["n"], 15)
+    assert tuples(got, "k", "n") == tuples(throttle(df, ["k"], "ts", ["n"], 15), "k", "n")
+
+
 @pytest.mark.parametrize("seed", [4])
 def test_carry_forward_stream_equals_loop(spark, tmp_path, seed):
     rows = random_detections(seed, 80)
@@ -74,8 +93,8 @@ def test_carry_forward_stream_equals_loop(spark, tmp_path, seed):
     parts = [df.where((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(cuts, cuts[1:])]
     stream = parquet_stream(spark, files(tmp_path / "in", *parts), "*.parquet", files_per_batch=1)
     path = str(tmp_path / "out")
-    finish(carry_forward_stream(stream, DIMS, 15, path, block_seconds=20))
-    got = BatchTables(path).read_all(spark, "labelled").collect()
+    finish(carry_forward_stream(stream, DIMS, 15, path, block_seconds=20, delay_seconds=30))
+    got = labelled_so_far(spark, path, DIMS, 15, block_seconds=20).collect()
     found = {(r["stream_id"], r["ts"], r["det_id"]): r["shown"] for r in got}
     assert len(got) == len(rows)
     assert found == shown_by_scan(rows, 15)
@@ -91,11 +110,12 @@ def test_distinct_stream(spark, tmp_path):
         for urls in (["a", "b", "a"], ["b", "c"], ["a", "d", "d"])
     ]
     folder = files(tmp_path / "in", *parts)
-    for name, extra in (("all", {}), ("near", {"ts": "ts", "delay": "1 hour"})):
+    path = str(tmp_path / "out")
+    for _ in range(2):
         stream = parquet_stream(spark, folder, "*.parquet", files_per_batch=1)
-        path = str(tmp_path / name)
-        finish(write_distinct(stream, ["url"], path, **extra))
-        assert tuples(spark.read.parquet(f"{path}/links"), "url") == [("a",), ("b",), ("c",), ("d",)]
+        finish(write_distinct(stream, ["url"], path))
+        links = BatchTables(path).read_all(spark, "links")
+        assert tuples(links, "url") == [("a",), ("b",), ("c",), ("d",)]
 
 
 def test_review_stream_equals_batch(spark, tmp_path):
