@@ -465,20 +465,30 @@ def summary_parts(text: Column | str, average: str, count: str) -> tuple[Column,
 
 
 def review_summary(elements: DataFrame) -> DataFrame:
-    """Overall ratings by critics and players, one row per reviews page."""
-    page = elements.groupBy(*PAGE).agg(
+    """Overall ratings by critics and players, from each game's root page of reviews.
+
+    Pages below the root rate one platform only. Of several copies of a root the first page counts.
+    """
+    root = elements.where(page_key("url").rlike(ROOT_REVIEWS))
+    page = root.groupBy(*PAGE).agg(
         first_of("text", is_tag("p") & under("#critics")).alias("_critics"),
         first_of("text", is_tag("p") & under("#players")).alias("_players"),
     )
     critic_average, critic_count = summary_parts("_critics", CRITIC_AVERAGE, CRITIC_COUNT)
     player_average, player_count = summary_parts("_players", PLAYER_AVERAGE, PLAYER_COUNT)
-    return page.select(
+    rated = page.select(
+        "page_id",
         url_id("url").alias("moby_id"),
         critic_average.alias("critics_overall_rating"),
         critic_count.alias("critics_total_reviews"),
         player_average.alias("players_overall_rating"),
         player_count.alias("players_total_reviews"),
     )
+    return keep_first(rated, ["moby_id"], ["page_id"]).drop("page_id")
+
+
+# Fixed value: the key of a game's root page of reviews.
+ROOT_REVIEWS = "/game/[0-9]+/[^/]*/reviews/$"
 
 
 def games(overview_rows: DataFrame, summary_rows: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def games_released(
         F.col(date) < F.lit(f"{last_year + 1}-01-01").cast(kind)
     )
     for flag in exclude:
-        kept = kept & ~flag
+        kept = kept & ~F.coalesce(flag, F.lit(False))
     return games.where(kept).orderBy(F.desc(score), *[c for c in games.columns if c != score])
 
 

@@ -163,7 +163,12 @@ def test_reviews_and_summary(spark):
         ("bo", f"{HOST}/user/8/bo/", "", "", "", "Stadia", "", "5"),
     ]
     summary = extract.review_summary(found)
-    assert tuples(summary) == [("5", "85%", "12", "3.9", "7"), ("6", "", "", "", "")]
+    assert tuples(summary) == [("5", "85%", "12", "3.9", "7")]
+    # Pages below the root and copies of it make no more rows.
+    other = REVIEWS.replace("85%", "50%")
+    more = page_table(spark, (f"{HOST}/game/5/moon/reviews/", REVIEWS), (f"{HOST}/game/5/moon/reviews/windows/", other),
+                      (f"{HOST}/game/5/moon/reviews/?page=2", other))
+    assert tuples(extract.review_summary(more)) == tuples(summary)
 
 
 def test_page_links(spark):
@@ -247,3 +252,15 @@ def test_pages_to_stored_tables(spark, tmp_path):
     assert back["prices"] == []
     assert back["release_date_per_platform"] == [("5", "Moon Harvest", "Windows", "2021")]
     assert len(back["player_review"]) == 2
+
+
+def test_open_lists_stay_linear():
+    """Unclosed entries end with the next one; a page's text is held once."""
+    from shelfmark.sources.elements import page_elements
+
+    rows = page_elements("<ul>" + "".join(f"<li>entry {k} <b>x</b>" for k in range(5_000)) + "</ul><p>end")
+    entries = [r for r in rows if r["tag"] == "li"]
+    assert [r["text"] for r in entries[:2]] == ["entry 0 x", "entry 1 x"] and len(entries) == 5_000
+    assert {r["depth"] for r in entries} == {1}
+    table = page_elements("<table><tr><td>a<td>b<tr><th>c<td><table><tr><td>d</table></table>")
+    assert [(r["tag"], r["text"]) for r in table if r["tag"] in ("td", "th")] == [("td", "a"), ("td", "b"), ("th", "c"), ("td", "d"), ("td", "d")]
