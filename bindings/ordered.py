@@ -30,7 +30,7 @@ from shelfmark.operators.synth import (
 from shelfmark.operators.throttle import asof_carry, throttle
 from shelfmark.operators.topk import keep_first, sample_per_group
 from shelfmark.operators.trace import adjacent_dependencies, dependency_counts, run_kpis
-from shelfmark.session import fresh_dir, spread
+from shelfmark.session import fresh_dir
 from shelfmark.sources.readers import distinct_urls, parse_keyed_lines, read_text_csv
 from shelfmark.sources.sinks import manifest, merge_keep_first, write_csv
 
@@ -59,13 +59,15 @@ def event_block():
     "seed_list",
     """
 SELECT url, min(page_id) AS page_id FROM (
-  SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*/[a-z]*', 0) AS url FROM pages)
-GROUP BY url""",
+  SELECT page_id, url FROM pages
+  UNION ALL SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) FROM pages)
+WHERE url IS NOT NULL GROUP BY url""",
 )
 def seed_list(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    listed = pages.select("page_id", F.regexp_extract("url", "^[a-z]+://[^/]*/[a-z]*", 0).alias("url"))
-    return distinct_urls(listed, "url", ["page_id"])
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    found = F.explode(F.concat(F.array("url"), F.coalesce(links, F.array())))
+    return distinct_urls(pages.select("page_id", found.alias("url")), "url", ["page_id"])
 
 
 @query(
@@ -403,14 +405,8 @@ def band_match(spark, sf_dir):
 
 
 def line_block():
-    """Stretch of an order's lines: low line numbers, which many lines share, split by
-    part; higher ones by the ten thousand."""
-    number = F.col("l_linenumber")
-    low = number < 1_000
-    return F.struct(
-        F.when(low, number).otherwise(1_000 + F.floor(number / 10_000)).alias("a"),
-        F.when(low, F.floor(F.col("l_partkey") / 10_000)).otherwise(F.lit(0)).alias("b"),
-    )
+    """Stretch of an order's lines: a line number and ten thousand parts."""
+    return F.struct("l_linenumber", F.floor(F.col("l_partkey") / 10_000).alias("parts"))
 
 
 @query(
@@ -421,12 +417,13 @@ WITH RECURSIVE steps AS (
     ORDER BY l_linenumber, l_partkey, l_suppkey) AS dst
   FROM lineitem
 ), edges AS (SELECT DISTINCT src, dst FROM steps WHERE dst IS NOT NULL AND src <> dst),
-reach AS (
-  SELECT CAST(0 AS BIGINT) AS node, 0 AS hop
+reach(node, hop) USING KEY (node) AS (
+  SELECT CAST(0 AS BIGINT), 0
   UNION
-  SELECT dst, hop + 1 FROM reach JOIN edges ON src = node WHERE hop < 2
+  SELECT dst, min(hop) + 1 FROM reach JOIN edges ON src = node
+  WHERE dst NOT IN (SELECT node FROM recurring.reach) GROUP BY dst
 )
-SELECT node, min(hop) AS hop FROM reach GROUP BY node""",
+SELECT node, CAST(hop AS INTEGER) AS hop FROM reach""",
 )
 def closure(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
@@ -441,7 +438,7 @@ def closure(spark, sf_dir):
     )
     edges = steps.where(F.col("dst").isNotNull()).select(F.col("l_partkey").alias("src"), "dst")
     seeds = spark.createDataFrame([(0,)], "node long")
-    return link_closure(edges, seeds, max_hops=2)
+    return link_closure(edges, seeds)
 
 
 # ---------------------------------------------------------------- validation
@@ -515,7 +512,7 @@ def references(spark, sf_dir):
 
 def judged_reviews(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ID, *REVIEW_FIELDS)
-    submitted = submissions(spread(lines, *LINE_ID))
+    submitted = submissions(lines)
     return split_by_reason(review_reasons(submitted, references(spark, sf_dir), LINE_ID))
 
 

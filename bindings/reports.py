@@ -18,7 +18,6 @@ from shelfmark.operators.predict import dominant_category
 from shelfmark.operators.quality import orphans
 from shelfmark.operators.shape import ordered_distinct_concat
 from shelfmark.plans import reports
-from shelfmark.session import spread
 
 QUERIES = {}
 
@@ -277,7 +276,6 @@ def user_history(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    lines = spread(lines, "l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     nations = supplier_nations(spark, sf_dir).select("s_suppkey", "n_name")
     reviews = (

@@ -98,16 +98,15 @@ def url_tails(spark, sf_dir):
 @query(
     "suffix_match",
     r"""
-SELECT page_id, stem FROM (
-  SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*/[a-z]*', 0)
-    || CASE WHEN page_id % 2 = 0 THEN '/' ELSE '' END AS stem FROM pages)
-WHERE stem LIKE '%/fr' OR stem LIKE '%/fr/' OR stem = 'fr'""",
+SELECT page_id, link FROM (
+  SELECT page_id, unnest(list_concat([url], regexp_extract_all(html, 'href="([^"]*)"', 1))) AS link FROM pages)
+WHERE link LIKE '%/the' OR link LIKE '%/the/' OR link = 'the'""",
 )
 def suffix_match(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    end = F.when(F.col("page_id") % 2 == 0, F.lit("/")).otherwise(F.lit(""))
-    stem = F.concat(F.regexp_extract("url", "^[a-z]+://[^/]*/[a-z]*", 0), end)
-    return pages.select("page_id", stem.alias("stem")).where(ends_in_name("stem", "fr"))
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    found = F.explode(F.concat(F.array("url"), F.coalesce(links, F.array())))
+    return pages.select("page_id", found.alias("link")).where(ends_in_name("link", "the"))
 
 
 @query(

@@ -15,6 +15,15 @@ LONG_DATE = "MMMM d, yyyy"
 NO_YEAR = "No Year"
 
 
+# White space at the ends of a field: what Python's str.strip takes off, in ASCII and beyond.
+EDGES = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
+
+
+def strip(c: Column | str) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(as_column(c), EDGES, "")
+
+
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -69,7 +78,7 @@ def sha256_hex(value: Column | str) -> Column:
 
 def user_name(url: Column | str) -> Column:
     """Name in `/user/<n>/<name>`, else the last path part, else the text itself."""
-    bare = F.regexp_replace(F.trim(as_column(url)), "/+$", "")
+    bare = F.regexp_replace(strip(url), "/+$", "")
     from_profile = F.nullif(F.regexp_extract(bare, "/user/[0-9]+/([^/]+)", 1), F.lit(""))
     last_part = F.split(F.element_at(F.split(bare, "/"), -1), r"\?")[0]
     plain = F.when(F.contains(bare, F.lit("/")), last_part).otherwise(bare)
@@ -77,13 +86,13 @@ def user_name(url: Column | str) -> Column:
 
 
 def slug_words(slug: Column | str) -> Column:
-    return F.lower(F.trim(F.replace(as_column(slug), F.lit("-"), F.lit(" "))))
+    return F.lower(strip(F.replace(as_column(slug), F.lit("-"), F.lit(" "))))
 
 
 def normal_label(label: Column | str) -> Column:
-    """Label text without outer blanks and trailing colons, in lower case."""
-    bare = F.regexp_replace(F.trim(as_column(label)), ":+$", "")
-    return F.lower(F.trim(bare))
+    """Label text without outer white space and trailing colons, in lower case."""
+    bare = F.regexp_replace(strip(label), ":+$", "")
+    return F.lower(strip(bare))
 
 
 def text_year(c: Column | str, year_only: bool = False) -> Column:
@@ -95,7 +104,7 @@ def text_year(c: Column | str, year_only: bool = False) -> Column:
     year = F.year(F.try_to_date(c, LONG_DATE))
     if not year_only:
         return year
-    return F.coalesce(year, F.when(F.trim(c).rlike("^[0-9]{4}$"), F.trim(c).try_cast("int")))
+    return F.coalesce(year, F.when(strip(c).rlike("^[0-9]{4}$"), strip(c).try_cast("int")))
 
 
 def year_label(year: Column | str) -> Column:
@@ -107,29 +116,46 @@ def rank_of_total(c: Column | str) -> tuple[Column, Column]:
     c = as_column(c)
     complete = F.contains(c, F.lit("#")) & F.contains(c, F.lit("of"))
     after_hash = F.get(F.split(c, "#", 2), F.lit(1))
-    rank = F.trim(F.get(F.split(after_hash, "of", 2), F.lit(0)))
-    total = F.trim(F.get(F.split(c, "of", 2), F.lit(1)))
+    rank = strip(F.get(F.split(after_hash, "of", 2), F.lit(0)))
+    total = strip(F.get(F.split(c, "of", 2), F.lit(1)))
     return (
         F.when(complete, rank).otherwise(F.lit("")),
         F.when(complete, total).otherwise(F.lit("")),
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its "." and ".." parts resolved; ".." stops at the root."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+
+    def add(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    resolved = F.aggregate(parts, F.array().cast("array<string>"), add)
+    folder = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.when(F.contains(path, F.lit("/.")), F.concat(F.array_join(resolved, "/"), folder)).otherwise(path)
+
+
 def join_url(base: Column | str, href: Column | str) -> Column:
-    """Absolute form of a link found on page `base`."""
+    """Absolute form of a link found on page `base`; dot parts are resolved, an empty link is the page."""
     base, href = as_column(base), as_column(href)
     origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
-    path = F.regexp_replace(base, r"[?#].*$", "")
-    folder = F.when(path == origin, F.concat(origin, F.lit("/"))).otherwise(
-        F.regexp_replace(path, "[^/]*$", "")
-    )
+    bare = F.regexp_replace(base, r"#.*$", "")
+    page = F.substr(F.regexp_replace(bare, r"\?.*$", ""), F.length(origin) + 1)
+    folder = F.when(page == "", F.lit("/")).otherwise(F.regexp_replace(page, "[^/]*$", ""))
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    rest = F.substr(href, F.length(path) + 1)
+    full = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
     return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("#") | href.startswith("?") | (href == ""), F.concat(path, href))
-        .otherwise(F.concat(folder, href))
+        .when(href == "", base)
+        .when(href.startswith("#"), F.concat(bare, href))
+        .when(href.startswith("?"), F.concat(origin, page, href))
+        .otherwise(F.concat(origin, _without_dots(full), rest))
     )
 
 
@@ -140,8 +166,8 @@ def page_key(url: Column | str) -> Column:
 
 
 def split_list(c: Column | str, separator: str = r";\s*") -> Column:
-    """Trimmed non-empty parts of a delimited text."""
-    parts = F.transform(F.split(as_column(c), separator), lambda p: F.trim(p))
+    """Stripped non-empty parts of a delimited text."""
+    parts = F.transform(F.split(as_column(c), separator), strip)
     return F.filter(parts, lambda p: p != "")
 
 

@@ -176,7 +176,7 @@ def first_band_match(
     best = reduce(DataFrame.unionByName, found).groupBy(*keys, *names).agg(
         F.min("match").alias("match")
     )
-    matched = skew_join(probes, best, [*keys, *names], probe_id)
+    matched = skew_join(probes, best, [*keys, *names])
     if earlier_than:
         mine = F.struct(*earlier_than)
         theirs = F.struct(

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions.text import as_column, empty_to_null, sha256_hex, user_name
+from shelfmark.functions.text import as_column, empty_to_null, sha256_hex, strip, user_name
 from shelfmark.operators.skew import mark_first, skew_join
+from shelfmark.session import cut_lineage
 
 # The strength rules in order, as (pattern that must occur, message),
 # after the rule on length.
@@ -21,6 +22,8 @@ STRENGTH_RULES = [
     (r'[!@#$%^&*(),.?":{}|<>]', "Password must include at least one special character."),
 ]
 MAX_NAME = 100
+# A score as text: a decimal number; Java's number suffixes are no part of one.
+SCORE_TEXT = r"(?i)^[+-]?([0-9]+[.]?[0-9]*(e[+-]?[0-9]+)?|[.][0-9]+(e[+-]?[0-9]+)?|nan|inf|infinity)$"
 
 
 def first_failure(rules: Sequence[tuple[Column, str]]) -> Column:
@@ -82,7 +85,8 @@ def review_reasons(
     required = F.lit(True)
     for c in ["username", "password", "moby_id", "platform"]:
         required = required & empty_to_null(c).isNotNull()
-    score = F.col("score").try_cast("double")
+    text = strip(F.col("score").cast("string"))
+    score = F.when(text.rlike(SCORE_TEXT), text.try_cast("double"))
     rows = submitted.select(
         "*",
         required.alias("_complete"),
@@ -90,17 +94,17 @@ def review_reasons(
         sha256_hex("password").alias("_digest"),
     )
     for c in REVIEW_KEY:
-        rows = rows.withColumn(c, F.trim(c))
+        rows = rows.withColumn(c, strip(c))
 
     users = refs.users.select("username", F.col("password_hash").alias("_hash"))
-    rows = skew_join(rows, users, ["username"], order)
+    rows = skew_join(rows, users, ["username"])
     games = refs.games.select("moby_id", F.lit(True).alias("_game"))
-    rows = skew_join(rows, games, ["moby_id"], order)
+    rows = skew_join(rows, games, ["moby_id"])
     valid = _present(refs.platforms, ["moby_id", "platform"], "_platform")
-    rows = skew_join(rows, valid, ["moby_id", "platform"], order)
+    rows = skew_join(rows, valid, ["moby_id", "platform"])
     if refs.reviewed is not None:
         old = _present(refs.reviewed, REVIEW_KEY, "_old")
-        rows = skew_join(rows, old, REVIEW_KEY, order)
+        rows = skew_join(rows, old, REVIEW_KEY)
     else:
         rows = rows.withColumn("_old", F.lit(None).cast("boolean"))
 
@@ -115,7 +119,8 @@ def review_reasons(
         (F.col("_old").isNull(), "already reviewed"),
     ]
     kept = [c for c in submitted.columns if c != "password"]
-    rows = rows.select(*kept, first_failure(rules).alias("_reason"))
+    # Read twice below: once for the first of each key, once for all.
+    rows = cut_lineage(rows.select(*kept, first_failure(rules).alias("_reason")))
     rows = mark_first(rows, REVIEW_KEY, order, F.col("_reason").isNull(), "_first")
     again = F.when(~F.col("_first"), F.lit("already reviewed"))
     return rows.select(*kept, F.coalesce("_reason", again).alias("reason"))
@@ -136,8 +141,8 @@ def registration_reasons(
         ),
         strength_failure("password").alias("_weak"),
         sha256_hex("password").alias("password_hash"),
-    ).withColumn("username", F.trim("username"))
-    rows = skew_join(rows, _present(users, ["username"], "_taken"), ["username"], order)
+    ).withColumn("username", strip("username"))
+    rows = skew_join(rows, _present(users, ["username"], "_taken"), ["username"])
     own_rules = first_failure(
         [
             (F.col("_complete"), "missing field"),
@@ -146,7 +151,7 @@ def registration_reasons(
     )
     taken = F.when(F.col("_taken"), F.lit("name taken"))
     kept = [*[c for c in submitted.columns if c != "password"], "password_hash"]
-    rows = rows.select(*kept, F.coalesce(own_rules, F.col("_weak"), taken).alias("_reason"))
+    rows = cut_lineage(rows.select(*kept, F.coalesce(own_rules, F.col("_weak"), taken).alias("_reason")))
     rows = mark_first(rows, ["username"], order, F.col("_reason").isNull(), "_first")
     again = F.when(~F.col("_first"), F.lit("name taken"))
     return rows.select(*kept, F.coalesce("_reason", again).alias("reason"))

@@ -1,11 +1,8 @@
 """Joins, group totals and first rows that stay even when one key holds much of the data.
 
-A side whose planned size is within Spark's broadcast threshold goes to every
-task, and no row has to move. Otherwise rows get a salt from their own columns,
-so a hot key falls into many (key, salt) groups. The other side is copied only
-onto the (key, salt) pairs that occur: a rare key costs no more rows than it
-has, a hot key at most one copy per salt. No key list has to be known or
-collected.
+Joins leave hot keys to Spark, which splits them by their measured size. For group totals and first
+rows, rows get a salt from their own columns, so a hot key falls into many (key, salt) groups. No
+key list has to be known or collected.
 
 Keys travel as one struct, in which null keys are equal, and a struct serves as
 partitioning for a window or aggregate and the join after it alike.
@@ -50,25 +47,13 @@ def salt(df: DataFrame, spread_by: Sequence[str], salts: int | None = None) -> C
     return F.pmod(F.xxhash64(*spread_by), F.lit(n)).cast("int").alias("_salt")
 
 
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "left",
-    salts: int | None = None,
-) -> DataFrame:
-    """Join `left` to `right` (at most one row per key) with hot keys spread out."""
-    if fits_broadcast(right):
-        return null_safe_join(left, F.broadcast(right), on, how)
-    rows = keyed(left, on, salt(left, spread_by, salts))
-    added = [c for c in right.columns if c not in on]
-    plain = F.struct(*[F.col(KEY).getField(c).alias(c) for c in on])
-    present = rows.select(KEY).distinct().withColumn("_plain", plain)
-    copies = present.join(
-        right.select(F.struct(*on).alias("_plain"), *added), "_plain"
-    ).drop("_plain")
-    return rows.join(copies, KEY, how).select(*unkeyed([*left.columns, *added], on))
+def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join `left` to `right` (at most one row per key), null keys included.
+
+    Both sides are read once. A right side that is small for sure may be broadcast by Spark; any other is
+    merged, and Spark splits hot keys of the left side at run time (`forceOptimizeSkewedJoin`).
+    """
+    return null_safe_join(left, right if fits_broadcast(right) else right.hint("merge"), on, how)
 
 
 def with_group_value(

@@ -109,13 +109,13 @@ def pick_members(
     """
     places = numbered(members, [category], [member], member_block, "_place")
     sizes = members.groupBy(category).agg(F.count(F.lit(1)).alias("_size"))
-    asked = skew_join(requests, sizes, [category], row_id)
+    asked = skew_join(requests, sizes, [category])
     whole_id = F.concat_ws(":", *[F.col(c).cast("string") for c in row_id])
     place = uniform_int(seed, "member", whole_id) % F.col("_size") + 1
     asked = asked.withColumn("_place", place)
     found = skew_join(
         asked, places.select(category, "_place", F.col(member).alias("_m")),
-        [category, "_place"], row_id,
+        [category, "_place"],
     )
     return found.select(
         *requests.columns, F.coalesce(F.col("_m").cast("string"), F.lit(default)).alias(member)

@@ -29,6 +29,10 @@ def microseconds(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _null_key(kind, name: str) -> Column:
+    return F.raise_error(F.lit(f"{name}: a throttled row needs its key")).cast(kind)
+
+
 def clock_starts(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float) -> DataFrame:
     """(keys, `_due`) of keys seen for the first time: their clock starts at their first row."""
     gap = int(gap_seconds * 1_000_000)
@@ -92,12 +96,14 @@ def throttle(
 
     The clock starts at a key's first row, which never emits, or at `due`
     (keys, `_due` = microsecond from which the next row emits). Of rows at the
-    same instant the first by `tie` stands for all. Keys must not be null.
+    same instant the first by `tie` stands for all. A null key fails the query.
     """
     keys = list(keys)
     gap, width = int(gap_seconds * 1_000_000), int(block_seconds * 1_000_000)
     if due is None:
         due = clock_starts(df, keys, ts, gap_seconds)
+    for k in keys:
+        df = df.withColumn(k, F.when(F.col(k).isNotNull(), F.col(k)).otherwise(_null_key(df.schema[k].dataType, k)))
     instants = df.select(*keys, microseconds(ts).alias("_at")).distinct()
     found = cut_lineage(_first_links(instants, due, keys, gap, width))
     roots = found.where(F.col("_src").isNull()).select(*keys, F.col("_dst").alias("_at"))
@@ -209,11 +215,17 @@ def asof_carry(
 ) -> DataFrame:
     """Label of the latest source row at or before each row, if its value is near.
 
+    Before and after go by the first column of `order`, the instant; of the sources of one instant the
+    last by the others counts.
+
     Rows without a source before them, or with one whose value differs by the
     tolerance or more, get "Processing...".
     """
     source = F.when(is_source, F.struct(F.col(value).alias("value"), label.alias("label")))
-    latest = carry_last(rows, keys, order, block, {"_latest": source})
+    # Within an instant, the first column of the order, sources come first.
+    first, *rest = order
+    ranked = rows.withColumn("_later", F.when(is_source, F.lit(0)).otherwise(F.lit(1)))
+    latest = carry_last(ranked, keys, [first, "_later", *rest], block, {"_latest": source})
     near = F.abs(F.col("_latest.value") - F.col(value)) < F.lit(tolerance)
     shown = F.when(near, F.col("_latest.label")).otherwise(F.lit(UNSEEN))
     return latest.select(*rows.columns, shown.alias(name))

@@ -15,9 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Usual size of a file split.
-SPLIT_BYTES = 128 * 1024 * 1024
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -60,21 +57,25 @@ def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; for files and what is derived from them an upper guess."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+# Operators whose output may be larger than Catalyst's estimate, and how far files are compressed.
+GROWING = ("Generate", "Expand", "Join", "Map", "Python", "Range", "LogicalRDD")
+INFLATION = 8
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """The planned size is within `spark.sql.autoBroadcastJoinThreshold`."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return planned_bytes(df) <= int(conf.autoBroadcastJoinThreshold())
-
+    """Whether all files the rows come from, unpacked, are within `spark.sql.autoBroadcastJoinThreshold`.
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows dealt out over all cores where the input is too small to be read in that
-    many splits; larger input stays where it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if planned_bytes(df) < cores * SPLIT_BYTES:
-        return df.repartition(cores, *columns)
-    return df
+    Catalyst's estimate of the result itself is no bound: it ignores how many rows an explode or
+    a join makes and shrinks with every column left out. So it is taken at the leaves, where it is the size of
+    the files, and only for plans that cannot make rows.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    names = [line.lstrip(" :+-").split(" ")[0].split("(")[0] for line in plan.treeString().splitlines()]
+    if any(word in name for name in names for word in GROWING):
+        return False
+    leaves, total = plan.collectLeaves(), 0
+    for k in range(leaves.size()):
+        size = int(str(leaves.apply(k).stats().sizeInBytes()))
+        total += size if leaves.apply(k).nodeName() == "LocalRelation" else size * INFLATION
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return total <= int(conf.autoBroadcastJoinThreshold())

@@ -75,7 +75,7 @@ def test_links(spark):
         "https://h.example/a/d",
         "http://o/e",
         "https://o/f",
-        "https://h.example/a/b#g",
+        "https://h.example/a/b?x=1#g",
         "https://h.example/a/b?q",
     ]
     assert values(spark, ["h/a?x", "h/a//"], page_key) == ["h/a/", "h/a/"]
@@ -105,3 +105,19 @@ def test_small_ones(spark):
                   lambda c: ends_in_name(c, "ann")) == [True, True, True, False, False]
     row = spark.sql("SELECT '' AS a, CAST(NULL AS STRING) AS b, 'x' AS c")
     assert row.select(any_filled(["a", "b"]), any_filled(["a", "b", "c"])).first() == (False, True)
+
+
+def test_dot_parts_and_empty_links(spark):
+    base = "https://h.example/a/b/c?x=1#y"
+    links = ["../d", "./d", ".", "..", "/e/../f", "../../../../g", "", "d?q=/../z", "x/./y/", "/..", "g;x=1/../y"]
+    from urllib.parse import urljoin
+
+    assert values(spark, links, lambda c: join_url(F.lit(base), c)) == [urljoin(base, x) or base for x in links]
+    assert values(spark, ["d", "", "?q", "/x"], lambda c: join_url(F.lit("https://h.example"), c)) == [
+        "https://h.example/d", "https://h.example", "https://h.example?q", "https://h.example/x",
+    ]
+
+
+def test_white_space_of_any_kind_goes(spark):
+    assert values(spark, ["ann\t", "\n ann \r", "\u00a0ann\u3000", "a n"], user_name) == ["ann", "ann", "ann", "a n"]
+    assert values(spark, ["\tGenre:\n", "A :"], normal_label) == ["genre", "a"]

@@ -78,15 +78,32 @@ def test_numbered(df, rows, block):
 
 def test_skew_join_keeps_all_rows_and_matches_null_keys(spark, df, rows):
     right = spark.createDataFrame([("hot", 1), ("a", 2), (None, 3)], "k string, w int")
-    got = skew_join(df, right, ["k"], ["pos"])
+    got = skew_join(df, right, ["k"])
     weights = {"hot": 1, "a": 2, None: 3}
     assert {(r["k"], r["pos"], r["w"]) for r in got.collect()} == {
         (k, p, weights.get(k)) for k, p, _ in rows
     }
-    inner = skew_join(df, right, ["k"], ["pos"], how="inner")
+    inner = skew_join(df, right, ["k"], how="inner")
     assert inner.count() == sum(k in weights for k, _, _ in rows)
 
 
+def test_rows_made_by_a_plan_are_not_broadcast(spark, df, tmp_path, request):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    request.addfinalizer(lambda: spark.conf.set(name, before))
+    spark.conf.set(name, "10MB")
+    from shelfmark.session import fits_broadcast
+
+    spark.createDataFrame([("a", 1000), ("hot", 1000)], "k string, n int").write.parquet(f"{tmp_path}/listed")
+    listed = spark.read.parquet(f"{tmp_path}/listed")
+    assert fits_broadcast(listed.where("n > 1").select("k"))
+    exploded = listed.select("k", F.explode(F.sequence(F.lit(1), "n")).alias("w"))
+    assert not fits_broadcast(exploded)
+    assert not fits_broadcast(listed.join(listed.withColumnRenamed("n", "m"), "k"))
+    plan = skew_join(df, exploded.dropDuplicates(["k"]), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 def test_group_values(df, rows):
     got = with_group_value(
         df, ["k"],

@@ -55,6 +55,9 @@ def test_review_reasons(spark):
         (11, "bob", "pw2", "2", "Mac", "0"),
         (12, "bob", "pw2", "1", "PC", "0"),
         (13, "ann", "pw", "1", "PC", None),
+        (14, "bob\t", "pw2", "1\n", "\u00a0PC", " 3 "),
+        (15, "ann", "pw", "1", "PC", "4f"),
+        (16, "ann", "pw", "1", "PC", "4d"),
     ]
     df = spark.createDataFrame(rows, "n int, username string, password string, moby_id string, platform string, score string")
     judged = review_reasons(df, ReviewReferences(users, games, platforms, reviewed), ["n"])
@@ -73,6 +76,9 @@ def test_review_reasons(spark):
         10: "platform not valid for game",
         11: "already reviewed",
         13: "score is not a number",
+        14: "already reviewed",
+        15: "score is not a number",
+        16: "score is not a number",
     }
     assert "password" not in judged.columns
 

@@ -140,3 +140,16 @@ def test_asof_carry(spark):
     assert tuples(got, "k", "n", "label") == [
         (1, 1, "buy 1"), (1, 2, "buy 1"), (1, 3, "Processing..."), (2, 1, "Processing...")
     ]
+
+
+def test_source_of_the_same_instant_counts(spark):
+    rows = [("u", at(0), 1, "view", 5.0), ("u", at(0), 2, "buy", 5.0), ("u", at(0), 3, "buy", 6.0), ("u", at(9), 4, "view", 6.5)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, n int, kind string, v double")
+    got = asof_carry(df, ["k"], ["ts", "n"], F.col("kind") == "buy", "v", 2.0, time_block("ts", 5), F.col("n").cast("string"))
+    assert tuples(got, "n", "label") == [(1, "3"), (2, "2"), (3, "3"), (4, "3")]
+
+
+def test_null_keys_are_refused(spark):
+    df = spark.createDataFrame([(None, at(0), 1)], "k string, ts timestamp, n int")
+    with pytest.raises(Exception, match="a throttled row needs its key"):
+        throttle(df, ["k"], "ts", ["n"], 15).collect()
