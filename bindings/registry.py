@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from bindings import ordered, reports, streams, texts
+from bindings import ordered, pages, reports, streams, texts
 
 
 def all_queries():
     found = {}
-    for module in (reports, texts, ordered, streams):
+    for module in (reports, texts, ordered, streams, pages):
         found.update(module.QUERIES)
     return found
