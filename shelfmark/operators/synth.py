@@ -59,35 +59,59 @@ def weighted_category(
     return weighted_key(uniform(seed, "category", row_id), weights)
 
 
-def arithmetic_value(row_id: str, seed: int) -> Column:
-    """Bucket by weight, then a value by the bucket's rule."""
-    bucket = weighted_key(uniform(seed, "arith", row_id), ARITH_WEIGHTS)
-    h = uniform_int(seed, "arith value", row_id)
-    return (
-        F.when(bucket == "small", from_set(h, ARITH_SMALL))
-        .when(bucket == "boundary", from_set(h, ARITH_BOUNDARY))
-        .when(bucket == "medium", from_range(h, -32, 32))
-        .when(bucket == "special_pattern", from_set(h, ARITH_SPECIAL))
-        .otherwise(from_range(h, -2048, 2047))
-        .cast("long")
-    )
+def mixture(row_id: str, seed: int, stream: str, rules: Mapping[str, Mapping]) -> Column:
+    """A bucket by weight, then a value by the bucket's rule.
+
+    Each rule has `weight` and one of `value` (a number), `set` (numbers) or `range` (lowest, highest and
+    optionally step). Settings read from JSON have this form. Buckets without weight are never drawn.
+    """
+    bucket = weighted_key(uniform(seed, stream, row_id), {name: rule["weight"] for name, rule in rules.items()})
+    h = uniform_int(seed, f"{stream} value", row_id)
+    value = F.lit(None).cast("long")
+    for name, rule in rules.items():
+        if rule.get("value") is not None:
+            own = F.lit(rule["value"])
+        elif rule.get("set") is not None:
+            own = from_set(h, rule["set"])
+        else:
+            own = from_range(h, *rule["range"])
+        value = F.when(bucket == name, own.cast("long")).otherwise(value)
+    return value
+
+
+def mixture_rules(settings: DataFrame, field: str) -> dict[str, dict]:
+    """Rules of one mixture from read settings: one row, a struct of structs."""
+    return {name: {k: v for k, v in rule.items() if v is not None} for name, rule in settings.first()[field].asDict(True).items()}
+
 
+ARITH_RULES = {
+    "small": {"weight": ARITH_WEIGHTS["small"], "set": ARITH_SMALL},
+    "boundary": {"weight": ARITH_WEIGHTS["boundary"], "set": ARITH_BOUNDARY},
+    "medium": {"weight": ARITH_WEIGHTS["medium"], "range": [-32, 32]},
+    "random_full": {"weight": ARITH_WEIGHTS["random_full"], "range": [-2048, 2047]},
+    "special_pattern": {"weight": ARITH_WEIGHTS["special_pattern"], "set": ARITH_SPECIAL},
+}
+OFFSET_RULES = {"near_zero": {"weight": OFFSET_WEIGHTS["near_zero"], "value": 0}} | {
+    name: {"weight": OFFSET_WEIGHTS[name], "range": [low, limit - 1, 4]} for name, (low, limit) in OFFSET_LIMITS.items()
+}
+
+
+def arithmetic_value(row_id: str, seed: int, rules: Mapping[str, Mapping] = ARITH_RULES) -> Column:
+    return mixture(row_id, seed, "arith", rules)
 
-def memory_offset(row_id: str, seed: int) -> Column:
+
+def memory_offset(row_id: str, seed: int, rules: Mapping[str, Mapping] = OFFSET_RULES) -> Column:
     """Offset in steps of four, below the limit of its distance bucket."""
-    bucket = weighted_key(uniform(seed, "offset", row_id), OFFSET_WEIGHTS)
-    h = uniform_int(seed, "offset value", row_id)
-    value = F.when(bucket == "near_zero", F.lit(0).cast("long"))
-    for name, (low, limit) in OFFSET_LIMITS.items():
-        value = value.when(bucket == name, from_range(h, low, limit - 1, 4))
-    return value
+    return mixture(row_id, seed, "offset", rules)
 
 
-def upper_value(row_id: str, seed: int) -> Column:
+def upper_value(
+    row_id: str, seed: int, bases: Sequence[int] = SYMBOLIC_BASES, fraction: float = SYMBOLIC_FRACTION
+) -> Column:
     """Upper 20 bits: of a symbolic base, or uniform."""
     h = uniform_int(seed, "upper value", row_id)
-    base = F.shiftright(from_set(h, SYMBOLIC_BASES), 12).cast("long")
-    symbolic = uniform(seed, "upper", row_id) < F.lit(SYMBOLIC_FRACTION)
+    base = F.shiftright(from_set(h, bases), 12).cast("long")
+    symbolic = uniform(seed, "upper", row_id) < F.lit(fraction)
     return F.when(symbolic, base).otherwise(from_range(h, 0, 2**20 - 1))
 
 
