@@ -17,6 +17,13 @@ def uniform_int(seed: int, stream: str, row_id: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def uniform_below(size: Column, seed: int, stream: str, row_id: Column | str) -> Column:
+    """Whole number in [0, size); sizes beyond 2^32 take more digits of the hash."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit(stream), as_column(row_id).cast("string"))
+    wide = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return F.when(size <= SPAN, uniform_int(seed, stream, row_id)).otherwise(wide) % size
+
+
 def uniform(seed: int, stream: str, row_id: Column | str) -> Column:
     return uniform_int(seed, stream, row_id) / F.lit(float(SPAN))
 

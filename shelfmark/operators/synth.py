@@ -15,6 +15,7 @@ from shelfmark.functions.draws import (
     from_range,
     from_set,
     uniform,
+    uniform_below,
     uniform_int,
     weighted_key,
 )
@@ -135,7 +136,7 @@ def pick_members(
     sizes = members.groupBy(category).agg(F.count(F.lit(1)).alias("_size"))
     asked = skew_join(requests, sizes, [category])
     whole_id = F.concat_ws(":", *[F.col(c).cast("string") for c in row_id])
-    place = uniform_int(seed, "member", whole_id) % F.col("_size") + 1
+    place = uniform_below(F.col("_size"), seed, "member", whole_id) + 1
     asked = asked.withColumn("_place", place)
     found = skew_join(
         asked, places.select(category, "_place", F.col(member).alias("_m")),

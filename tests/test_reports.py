@@ -2,6 +2,8 @@ from decimal import Decimal
 
 import pytest
 
+import __spark_entry__ as driver
+
 from shelfmark.plans import reports
 from shelfmark.plans.catalog import Catalog
 from tests.conftest import tuples
@@ -98,3 +100,28 @@ def test_filters_and_history(tables):
         ("2023-01-03", "B"), ("2023-01-02", "A"), ("2023-01-01", None)
     ]
     assert reports.user_history(tables).count() == 6
+
+
+@pytest.mark.parametrize(
+    "name, keys, falling",
+    [
+        ("platform_stats", ["games_count", "platform"], 1),
+        ("facet_filter_type", ["name_", "moby_id"], 0),
+        ("user_history", ["date", "username_pk", "moby_id"], 1),
+        ("top_by_distinct_volume", None, 1),
+    ],
+)
+def test_rows_come_in_order(spark, name, keys, falling):
+    """The first `falling` keys fall, the others rise."""
+    df = driver.queries()[name](spark, "/root/testdata/sf0.001")
+    if keys is None:  # the count falls, names rise
+        counts = [c for c, t in df.dtypes if t in ("bigint", "int")]
+        rows = [r[counts[-1]] for r in df.collect()]
+        assert rows == sorted(rows, reverse=True)
+        return
+    present = [k for k in keys if k in df.columns]
+    rows = [tuple(r[k] for k in present) for r in df.collect()]
+    again = sorted(rows, key=lambda r: r[min(falling, len(present)) :])
+    if falling:
+        again = sorted(again, key=lambda r: r[0], reverse=True)
+    assert [r[: len(present)] for r in rows] == again
