@@ -73,7 +73,7 @@ def stream_reviews(spark, sf_dir):
     # A review of an earlier file counts before one of a later file: keep a user's lines in one file.
     lines = scattered(spark, sf_dir, "lineitem", "l_suppkey")
     finish(ingest_reviews(submissions(lines), references(spark, sf_dir), LINE_ID, path))
-    return BatchTables(path).read_all(spark, "accepted").drop("score")
+    return BatchTables(path).read_all(spark, "accepted").drop("score", "bucket")
 
 
 @query(
