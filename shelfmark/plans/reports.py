@@ -168,13 +168,12 @@ def consensus_profile(
 ) -> DataFrame:
     """What the best-rated games have in common: winner and top list per facet."""
     scores = mean_player_score(catalog, 6)
-    # At most `best_games` rows by construction, so the copy to all tasks is bounded.
-    best = F.broadcast(top_k(scores, [F.desc("score"), "moby_id"], best_games).select("moby_id"))
+    best = top_k(scores, [F.desc("score"), "moby_id"], best_games).select("moby_id")
     pairs = None
     for facet in facets:
-        one = facet_pairs(catalog, facet).join(best, "moby_id", "left_semi")
-        one = one.select(F.lit(facet).alias("facet"), "value")
+        one = facet_pairs(catalog, facet).select(F.lit(facet).alias("facet"), "moby_id", "value")
         pairs = one if pairs is None else pairs.unionByName(one)
+    pairs = pairs.join(best, "moby_id", "left_semi")
     counts = pairs.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
     leaders = top_per_group(counts, ["facet"], [F.desc("n"), "value"], list_size, rank="place")
     listed = leaders.groupBy("facet").agg(
