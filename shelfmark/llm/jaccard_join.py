@@ -39,7 +39,7 @@ WORDS = 5
 PERCENT = 80
 # Shingles of a region joined in one task, sets of a region, new pivots of a larger region per round.
 REGION_SHINGLES = 1 << 20
-REGION_SETS = 2000
+REGION_SETS = 5000
 PIVOTS = 256
 
 FOUND = "block long, place int, id long, n long, set binary, shared array<long>, body string"
