@@ -5,15 +5,21 @@ gives each neighbour's share of the hidden layer, and the output is a softmax in
 classes of words, then over the words of a class. A document's score is the sum of the log-probabilities of
 its words, each given both its sides.
 
-The vocabulary is the most frequent words of all documents, counted exactly; other words fall into a
-fixed number of hash buckets. Training runs over all documents once, in ROUNDS shards: in every round
-each task goes through its blocks of the shard in numpy, starting from the common weights, and the weights
-are then averaged by the number of words behind them, piece by piece and in two steps, so that no task gathers
-more than a few of them at a time. Weights have a fixed size; only they and the vocabulary pass the driver.
+All words of all documents are counted exactly. The network knows the most frequent ones and buckets of the
+others by hash; both grow with the root of the number of distinct words, and so do classes and their width. A word
+of a bucket has the bucket's probability times its share of the bucket's count, where words never met hold as much
+as those met once, and one more. The counts of a block's words come back to the block, so no task and not the
+driver holds the table of all words.
+
+Training runs over all documents once, in shards whose number grows with the texts: in every round each task goes
+through its blocks of the shard in numpy, starting from the common weights, and the weights are then averaged by
+the number of words behind them, piece by piece and in two steps, so that no task gathers more than a few of them
+at a time. Only the weights and the network's words pass the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,28 +30,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.llm import blocks as B, words as W
 
+# At least so many words, and for each root of the number of distinct words; words for a bucket, buckets at least.
 WORDS = 960
+WORDS_A_ROOT = 4
+WORDS_A_BUCKET = 15
 BUCKETS = 64
-CLASS = 32  # words of a class
+CLASS = 32  # words of a class at least; the root of all tokens if that is more
 WINDOW = 2
 HIDDEN = 16
-ROUNDS = 4
+ROUNDS = 4  # at least
 BATCH = 1 << 15
 RATE = 0.1
 PIECE = 1 << 13  # numbers of a piece of the weights
 SALTS = 16
 
-COUNTS = "bucket int, keys binary, counts binary"
+KEYS = "block long, bucket int, keys binary, counts binary"
 TOKENS = "block long, n_tokens long, tokens binary, rows binary"
 
 
 @dataclass
 class Vocabulary:
-    """Hashes of the frequent words in order, the token of each, and all tokens' frequencies."""
+    """Hashes of the frequent words in order, the token of each, all tokens' frequencies, words met once by bucket."""
 
     hashes: np.ndarray
     tokens: np.ndarray
     counts: np.ndarray
+    once: np.ndarray
 
     @property
     def size(self) -> int:
@@ -54,13 +64,27 @@ class Vocabulary:
     def of(self, h: np.ndarray) -> np.ndarray:
         """Token of each word; words outside the vocabulary go to a bucket by their hash."""
         first = len(self.hashes)
-        out = (first + (h % np.uint64(BUCKETS)).astype(np.int64)).astype(np.uint16)
+        out = (first + (h % np.uint64(len(self.once))).astype(np.int64)).astype(kind_of(self.size))
         if first:
             at = np.minimum(np.searchsorted(self.hashes, h), first - 1)
             known = self.hashes[at] == h
             out[known] = self.tokens[at[known]]
         return out
 
+    def inside(self, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Log-probability of words, met `counts` times, within their tokens; of all words never met together at 0."""
+        out, first = np.zeros(len(tokens)), len(self.hashes)
+        rare = np.flatnonzero(tokens >= first)
+        token = tokens[rare].astype(np.int64)
+        unseen = self.once[token - first] + 1
+        out[rare] = np.log(np.where(counts[rare] > 0, counts[rare], unseen) / (self.counts[token] + unseen))
+        return out
+
+
+def kind_of(size: int) -> str:
+    """Type of tokens, of which there are `size` and one for no word."""
+    return "<u2" if size < 1 << 16 else "<u4"
+
 
 def hashes_of(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     buf, offsets = W.buffers(texts)
@@ -69,85 +93,99 @@ def hashes_of(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return W.word_hashes(buf, starts, ends), firsts
 
 
-def learn_vocabulary(blocks: DataFrame, text: str) -> Vocabulary:
-    """Exact counts of all words by hash, and the most frequent ones."""
+def count_words(blocks: DataFrame, text: str) -> DataFrame:
+    """Exact counts of all words by hash, staged: per block and bucket for the block's distinct words in order of
+    their hashes, and per bucket, without a block, for all of them."""
     bits = B.bucket_bits(blocks)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            for rows in batch.column("rows"):
-                h, _ = hashes_of(B.unpack(rows.as_buffer()).column(text))
-                held.append(np.unique(h, return_counts=True))
-                if sum(len(k) for k, _ in held) >= 1 << 21:
-                    yield emit(held)
-                    held = []
-        if held:
-            yield emit(held)
-
-    def emit(held) -> pa.RecordBatch:
-        keys, counts = added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+    def report(block: int, table: pa.Table) -> pa.Table:
+        h, _ = hashes_of(table.column(text))
+        keys, counts = np.unique(h, return_counts=True)
         edges = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64))
-        full = np.flatnonzero(np.diff(edges)).tolist()
-        return pa.RecordBatch.from_pydict(
-            {
-                "bucket": pa.array(full, pa.int32()),
-                "keys": pa.array([keys[edges[k] : edges[k + 1]].tobytes() for k in full], pa.binary()),
-                "counts": pa.array([counts[edges[k] : edges[k + 1]].astype("<i8").tobytes() for k in full], pa.binary()),
-            }
-        )
-
-    def most(table: pa.Table) -> pa.Table:
-        keys, counts = added(
-            np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<u8"),
-            np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<i8"),
-        )
-        order = np.lexsort((keys, -counts))[:WORDS]
-        rest = np.delete(np.arange(len(keys)), order)
-        spare = np.bincount((keys[rest] % np.uint64(BUCKETS)).astype(np.int64), counts[rest], BUCKETS).astype(np.int64)
+        full = np.flatnonzero(np.diff(edges))
+        return rows_of(np.full(len(full), block), full, keys, counts, edges[full], edges[full + 1])
+
+    def total(table: pa.Table) -> pa.Table:
+        flat = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<u8")
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<i8")
+        ends = np.cumsum([len(x) // 8 for x in table.column("keys").to_pylist()])
+        keys, place = np.unique(flat, return_inverse=True)
+        sums = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(sums, place, counts)
+        starts, bucket = np.append(0, ends[:-1]), table.column("bucket").to_numpy()
+        answers = rows_of(table.column("block").to_numpy(), bucket, None, sums[place], starts, ends)
+        return pa.concat_tables([answers, rows_of(None, bucket[:1], keys, sums, [0], [len(keys)])])
+
+    def rows_of(block, bucket, keys, counts, starts, ends) -> pa.Table:
+        cut = lambda x, kind: [x[a:b].astype(kind).tobytes() for a, b in zip(starts, ends, strict=True)]
         return pa.table(
             {
-                "word": pa.array(np.append(keys[order].view(np.int64), np.arange(BUCKETS))),
-                "c": pa.array(np.append(counts[order], spare)),
-                "spare": pa.array(np.append(np.zeros(len(order), dtype=bool), np.ones(BUCKETS, dtype=bool))),
+                "block": pa.array([None] * len(bucket) if block is None else block, pa.int64()),
+                "bucket": pa.array(bucket, pa.int32()),
+                "keys": pa.array([None] * len(bucket) if keys is None else cut(keys, "<u8"), pa.binary()),
+                "counts": pa.array(cut(counts, "<i8"), pa.binary()),
             }
         )
 
-    counted = blocks.select("rows").mapInArrow(count, COUNTS).groupBy("bucket").applyInArrow(most, "word long, c long, spare boolean")
-    counted = B.staged(counted, "words")
-    top = counted.where("NOT spare").orderBy(F.desc("c"), "word").limit(WORDS)
-    best = top.collect()
-    others = counted.where("NOT spare").join(F.broadcast(top.select("word")), "word", "left_anti")
-    spare = others.select(F.pmod("word", F.lit(BUCKETS)).alias("k"), "c").unionByName(counted.where("spare").select(F.col("word").alias("k"), "c"))
-    counts = np.zeros(len(best) + BUCKETS, dtype=np.int64)
-    counts[: len(best)] = [r["c"] for r in best]
-    for r in spare.groupBy("k").agg(F.sum("c").alias("c")).collect():  # BUCKETS rows at most
-        counts[len(best) + r["k"]] += r["c"]
+    return B.staged(B.per_block(blocks, report, KEYS).groupBy("bucket").applyInArrow(total, KEYS), "words")
+
+
+def learn_vocabulary(blocks: DataFrame, text: str) -> Vocabulary:
+    """The most frequent words by exact counts, and what falls into the buckets of the others."""
+    return vocabulary_of(count_words(blocks, text))
+
+
+def vocabulary_of(counted: DataFrame) -> Vocabulary:
+    every = counted.where("block IS NULL").select("keys", "counts")
+    distinct = (every.agg(F.sum(F.length("keys"))).first()[0] or 0) // 8
+    n_words = max(WORDS, WORDS_A_ROOT * math.isqrt(distinct))
+    n_buckets = max(BUCKETS, n_words // WORDS_A_BUCKET)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for keys, counts in zip(batch.column("keys"), batch.column("counts"), strict=True):
+                yield np.frombuffer(keys.as_buffer(), dtype="<u8"), np.frombuffer(counts.as_buffer(), dtype="<i8")
+
+    def most(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, counts in words(batches):
+            order = np.lexsort((keys.view(np.int64), -counts))[:n_words]
+            yield pa.RecordBatch.from_pydict({"word": pa.array(keys[order].view(np.int64)), "c": pa.array(counts[order])})
+
+    best = every.mapInArrow(most, "word long, c long").orderBy(F.desc("c"), "word").limit(n_words).collect()
     hashes = np.array([r["word"] for r in best], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], order.astype(np.uint16), counts)
+    counts = np.zeros(len(best) + n_buckets, dtype=np.int64)
+    counts[: len(best)] = [r["c"] for r in best]
+    found = Vocabulary(hashes[order], order.astype(kind_of(len(counts))), counts, np.zeros(n_buckets, dtype=np.int64))
 
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, once = np.zeros(n_buckets, dtype=np.int64), np.zeros(n_buckets, dtype=np.int64)
+        for keys, counts in words(batches):
+            at = found.of(keys).astype(np.int64) - len(found.hashes)
+            np.add.at(sums, at[at >= 0], counts[at >= 0])
+            np.add.at(once, at[(at >= 0) & (counts == 1)], 1)
+        met = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(met), "c": pa.array(sums[met]), "once": pa.array(once[met])})
 
-def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their sums."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
-    return keys[heads], np.add.reduceat(counts, heads) if len(keys) else counts
+    sums = every.mapInArrow(rest, "k long, c long, once long").groupBy("k").agg(F.sum("c").alias("c"), F.sum("once").alias("once"))
+    for r in sums.collect():  # n_buckets rows at most
+        found.counts[len(best) + r["k"]], found.once[r["k"]] = r["c"], r["once"]
+    return found
 
 
 class Network:
     """Weights as one array of 32-bit numbers, and views into it."""
 
     def __init__(self, size: int, weights: np.ndarray | None = None) -> None:
-        self.size, self.classes = size, -(-size // CLASS)
+        self.size, self.width = size, max(CLASS, math.isqrt(max(0, size - 1)) + 1)
+        self.classes = -(-size // self.width)
         shapes = {
             "inputs": (2 * WINDOW, size + 1, HIDDEN),
             "hidden": (HIDDEN,),
             "of_class": (HIDDEN, self.classes),
             "class_bias": (self.classes,),
-            "of_word": (self.classes, HIDDEN, CLASS),
-            "word_bias": (self.classes, CLASS),
+            "of_word": (self.classes, HIDDEN, self.width),
+            "word_bias": (self.classes, self.width),
         }
         total = sum(int(np.prod(s)) for s in shapes.values())
         self.weights = np.zeros(total, dtype=np.float32) if weights is None else weights
@@ -165,9 +203,9 @@ class Network:
         net.inputs[:] = random.normal(0, 0.1, net.inputs.shape)
         net.of_class[:] = random.normal(0, 0.1, net.of_class.shape)
         net.of_word[:] = random.normal(0, 0.1, net.of_word.shape)
-        padded = np.zeros(net.classes * CLASS)
+        padded = np.zeros(net.classes * net.width)
         padded[: len(counts)] = counts + 1.0
-        by_class = padded.reshape(net.classes, CLASS)
+        by_class = padded.reshape(net.classes, net.width)
         net.class_bias[:] = np.log(by_class.sum(axis=1) / padded.sum())
         with np.errstate(divide="ignore"):
             logs = np.log(by_class / by_class.sum(axis=1, keepdims=True))
@@ -183,7 +221,7 @@ class Network:
     def log_probs(self, context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Log-probability of each token given the tokens around it."""
         h = self.hidden_of(context)
-        of, inside = np.divmod(tokens.astype(np.int64), CLASS)
+        of, inside = np.divmod(tokens.astype(np.int64), self.width)
         out = log_softmax(h @ self.of_class + self.class_bias)[np.arange(len(tokens)), of]
         for k, rows in by_value(of):
             logs = log_softmax(h[rows] @ self.of_word[k] + self.word_bias[k])
@@ -194,7 +232,7 @@ class Network:
         """One step of gradient ascent on the mean log-probability of a batch, per word it touches."""
         n = len(tokens)
         h = self.hidden_of(context)
-        of, inside = np.divmod(tokens.astype(np.int64), CLASS)
+        of, inside = np.divmod(tokens.astype(np.int64), self.width)
         error = -softmax(h @ self.of_class + self.class_bias)
         error[np.arange(n), of] += 1
         down = error @ self.of_class.T
@@ -240,7 +278,7 @@ def by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def contexts(tokens: np.ndarray, firsts: np.ndarray, size: int) -> np.ndarray:
     """Tokens at -WINDOW..-1 and 1..WINDOW of every place; beyond the text's ends it is `size`."""
     n = len(tokens)
-    out = np.full((n, 2 * WINDOW), size, dtype=np.uint16)
+    out = np.full((n, 2 * WINDOW), size, dtype=kind_of(size))
     begin, end = np.repeat(firsts[:-1], np.diff(firsts)), np.repeat(firsts[1:], np.diff(firsts))
     at = np.arange(n)
     for o, distance in enumerate([*range(-WINDOW, 0), *range(1, WINDOW + 1)]):
@@ -249,41 +287,51 @@ def contexts(tokens: np.ndarray, firsts: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _tokenised(blocks: DataFrame, id: str, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """Blocks with the tokens of their texts instead of these, staged."""
+def _tokenised(blocks: DataFrame, id: str, text: str, vocabulary: Vocabulary, counted: DataFrame) -> DataFrame:
+    """Blocks with the tokens of their texts instead of these, staged; `inside` sums what words have within them."""
+
+    def run(block: int, table: pa.Table, answers: pa.Table) -> pa.Table:
+        h, firsts = hashes_of(table.column(text))
+        keys, place = np.unique(h, return_inverse=True)
+        parts = answers.sort_by("bucket").column("counts").to_pylist()
+        counts = np.frombuffer(b"".join(parts), dtype="<i8")
+        tokens = vocabulary.of(keys)
+        inside = sums_of(vocabulary.inside(tokens, counts)[place], firsts)
+        kept = pa.table({"id": table.column(id), "n": pa.array(np.diff(firsts)), "inside": pa.array(inside)})
+        return pa.table({"block": [block], "n_tokens": pa.array([len(h)], pa.int64()), "tokens": [tokens[place].tobytes()], "rows": [B.pack(kept)]})
+
+    answers = counted.where("block IS NOT NULL").select("block", "bucket", "counts")
+    return B.staged(B.with_answers(blocks, answers, run, TOKENS), "tokens")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows"), strict=True):
-                table = B.unpack(rows.as_buffer())
-                h, firsts = hashes_of(table.column(text))
-                kept = pa.table({"id": table.column(id), "n": pa.array(np.diff(firsts))})
-                yield pa.RecordBatch.from_pydict(
-                    {"block": [block], "n_tokens": pa.array([len(h)], pa.int64()), "tokens": [vocabulary.of(h).astype("<u2").tobytes()], "rows": [B.pack(kept)]}
-                )
 
-    return B.staged(blocks.select("block", "rows").mapInArrow(run, TOKENS), "tokens")
+def sums_of(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Sum over the words of each text."""
+    if not len(values):
+        return np.zeros(len(firsts) - 1)
+    sums = np.add.reduceat(np.append(values, 0.0), firsts[:-1])
+    return np.where(np.diff(firsts) > 0, sums, 0.0)
 
 
-def _block_tokens(tokens, rows) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+def _block_tokens(tokens, rows, size: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     table = B.unpack(rows.as_buffer())
-    return table, np.frombuffer(tokens.as_buffer(), dtype="<u2"), np.append(0, np.cumsum(table.column("n").to_numpy()))
+    return table, np.frombuffer(tokens.as_buffer(), dtype=kind_of(size)), np.append(0, np.cumsum(table.column("n").to_numpy()))
 
 
-def train(spark: SparkSession, tokens: DataFrame, counts: np.ndarray) -> Network:
+def train(spark: SparkSession, tokens: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
     """The network after one pass over all tokens."""
     net = Network.fresh(counts)
     size = net.size
-    for turn in range(ROUNDS):
-        shard = tokens.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == turn)
+    tasks = 2 * spark.sparkContext.defaultParallelism  # each sends weights
+    for turn in range(rounds):
+        shard = tokens.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn).coalesce(tasks)
         shared = spark.sparkContext.broadcast(net.weights)
-        rate = RATE * (1 - turn / (2 * ROUNDS))
+        rate = RATE * (1 - turn / (2 * rounds))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine, seen = Network(size, shared.value.copy()), 0
             for batch in batches:
                 for blob, rows in zip(batch.column("tokens"), batch.column("rows"), strict=True):
-                    _, found, firsts = _block_tokens(blob, rows)
+                    _, found, firsts = _block_tokens(blob, rows, size)
                     around = contexts(found, firsts, size)
                     order = np.random.default_rng(seen).permutation(len(found))
                     for k in range(0, len(found), BATCH):
@@ -296,7 +344,7 @@ def train(spark: SparkSession, tokens: DataFrame, counts: np.ndarray) -> Network
                     {
                         "piece": pa.array([k // PIECE for k in pieces], pa.int32()),
                         "source": pa.array([TaskContext.get().partitionId()] * len(pieces), pa.int32()),
-                        "total": pa.array([(mine.weights[k : k + PIECE].astype(np.float64) * seen).tobytes() for k in pieces], pa.binary()),
+                        "mean": pa.array([mine.weights[k : k + PIECE].tobytes() for k in pieces], pa.binary()),
                         "n": pa.array([seen] * len(pieces), pa.int64()),
                     }
                 )
@@ -304,22 +352,21 @@ def train(spark: SparkSession, tokens: DataFrame, counts: np.ndarray) -> Network
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, n, piece, source = None, 0, None, 0
             for batch in batches:
-                for p, s, blob, c in zip(*[batch.column(x) for x in ("piece", "source", "total", "n")], strict=True):
-                    part = np.frombuffer(blob.as_buffer(), dtype=np.float64)
-                    total = part.copy() if total is None else total + part
+                for p, s, blob, c in zip(*[batch.column(x) for x in ("piece", "source", "mean", "n")], strict=True):
+                    part = np.frombuffer(blob.as_buffer(), dtype=np.float32).astype(np.float64) * c.as_py()
+                    total = part if total is None else total + part
                     n, piece, source = n + c.as_py(), p.as_py(), s.as_py()
             yield pa.RecordBatch.from_pydict(
-                {"piece": pa.array([piece], pa.int32()), "source": pa.array([source], pa.int32()), "total": [total.tobytes()], "n": pa.array([n], pa.int64())}
+                {"piece": pa.array([piece], pa.int32()), "source": pa.array([source], pa.int32()), "mean": [(total / n).astype(np.float32).tobytes()], "n": pa.array([n], pa.int64())}
             )
 
-        kind = "piece int, source int, total binary, n long"
+        kind = "piece int, source int, mean binary, n long"
         parts = shard.select("tokens", "rows").mapInArrow(learn, kind)
         parts = parts.withColumn("salt", F.pmod("source", F.lit(SALTS))).groupBy("piece", "salt").applyInArrow(add, kind)
         rows = parts.groupBy("piece").applyInArrow(add, kind).orderBy("piece").collect()  # as long as the weights
         shared.unpersist()
         if rows:
-            weights = np.concatenate([np.frombuffer(r["total"], dtype=np.float64) / r["n"] for r in rows])
-            net = Network(size, weights.astype(np.float32))
+            net = Network(size, np.concatenate([np.frombuffer(r["mean"], dtype=np.float32) for r in rows]))
     return net
 
 
@@ -331,23 +378,23 @@ def lm_scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """
     spark = B.ready(docs.sparkSession)
     blocks = B.to_blocks(docs.select(id, text), text)
-    vocabulary = learn_vocabulary(blocks, text)
-    tokens = _tokenised(blocks, id, text, vocabulary)
-    size = vocabulary.size
-    shared = spark.sparkContext.broadcast(train(spark, tokens, vocabulary.counts).weights)
+    counted = count_words(blocks, text)
+    vocabulary = vocabulary_of(counted)
+    tokens = _tokenised(blocks, id, text, vocabulary, counted)
+    size, rounds = vocabulary.size, max(ROUNDS, B.bucket_bits(blocks))
+    shared = spark.sparkContext.broadcast(train(spark, tokens, vocabulary.counts, rounds).weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(size, shared.value)
         for batch in batches:
             for blob, rows in zip(batch.column("tokens"), batch.column("rows"), strict=True):
-                table, found, firsts = _block_tokens(blob, rows)
+                table, found, firsts = _block_tokens(blob, rows, size)
                 around = contexts(found, firsts, size)
-                logs = np.zeros(len(found) + 1)
+                logs = np.zeros(len(found))
                 for k in range(0, len(found), BATCH):
-                    logs[k + 1 : k + 1 + BATCH] = net.log_probs(around[k : k + BATCH], found[k : k + BATCH])
+                    logs[k : k + BATCH] = net.log_probs(around[k : k + BATCH], found[k : k + BATCH])
                 n = np.diff(firsts)
-                sums = np.add.reduceat(logs[1:], np.minimum(firsts[:-1], max(0, len(found) - 1))) if len(found) else np.zeros(len(n))
-                sums = np.where(n > 0, sums, 0.0)
+                sums = sums_of(logs, firsts) + table.column("inside").to_numpy()
                 means = pa.array(np.divide(sums, n, out=np.zeros(len(n)), where=n > 0), mask=n == 0)
                 yield pa.RecordBatch.from_arrays(
                     [table.column("id").combine_chunks(), pa.array(n), pa.array(sums), means], [id, "n_tokens", "log_prob", "mean_log_prob"]

@@ -239,6 +239,40 @@ def test_vocabulary_counts_every_word(spark, monkeypatch):
     assert len(vocabulary.hashes) == len(count)
 
 
+def test_vocabulary_grows_and_shares_buckets_by_count(spark, monkeypatch):
+    from shelfmark.llm import blocks
+
+    monkeypatch.setattr(L, "WORDS", 10)
+    monkeypatch.setattr(L, "BUCKETS", 2)
+    sizes = []
+    for n in (100, 1600):
+        texts = [" ".join(f"w{k}" for k in range(n)), " ".join(f"w{k}" for k in range(0, n, 2))]
+        staged = blocks.to_blocks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text")
+        v = L.learn_vocabulary(staged, "text")
+        sizes.append((len(v.hashes), len(v.once)))
+        count = Counter(w for t in texts for w in t.split())
+        h, _ = L.hashes_of(pa.array(list(count)))
+        tokens, c = v.of(h), np.array(list(count.values()))
+        share = np.exp(v.inside(tokens, c))
+        for token in range(len(v.hashes), v.size):  # the words of a bucket, and those never met, make up all of it
+            mine = tokens == token
+            unseen = np.exp(v.inside(np.array([token]), np.array([0])))[0]
+            assert c[mine].sum() == v.counts[token] and abs(share[mine].sum() + unseen - 1) < 1e-9
+        assert (share[tokens < len(v.hashes)] == 1).all()
+    assert sizes == [(40, 2), (160, 10)]
+
+
+def test_rare_words_score_below_common_ones(spark, monkeypatch):
+    monkeypatch.setattr(L, "WORDS", 4)
+    monkeypatch.setattr(L, "BUCKETS", 2)
+    monkeypatch.setattr(L, "WORDS_A_ROOT", 1)
+    texts = [grammar(k, 300) for k in range(20)]
+    junk = " ".join(f"junk{k}" for k in range(300))
+    docs = spark.createDataFrame([*enumerate(texts), (500, junk)], "doc_id long, text string").coalesce(1)
+    score = {r.doc_id: r.mean_log_prob for r in L.lm_scores(docs).collect()}
+    assert score[500] < min(score[k] for k in range(20)) - 1
+
+
 def test_order_of_words_counts(spark):
     texts = [grammar(k, 300) for k in range(120)]
     shuffled = grammar(500, 300).split()
