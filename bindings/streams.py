@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.common import table
 from bindings.ordered import DAY, LINE_ID, SUBMITTED, THROTTLED, references, submissions
+from shelfmark.operators.throttle import microseconds
 from shelfmark.session import fresh_dir, prepare
 from shelfmark.streaming.batches import BatchTables, parquet_stream
 from shelfmark.streaming.capture import carry_forward_stream, labelled_so_far, throttle_stream, throttled_so_far
@@ -23,8 +24,8 @@ def query(name, sql=None):
     return register
 
 
-# More than the span of the events: files hold them in no order.
-SPAN = 3 * 365 * DAY
+# Stretches of time that a table arrives in.
+STRETCHES = 8
 
 
 def scattered(spark, sf_dir, name, *columns):
@@ -35,6 +36,28 @@ def scattered(spark, sf_dir, name, *columns):
     return parquet_stream(spark, folder, "part-*", files_per_batch=3)
 
 
+def arriving(spark, sf_dir, name, ts, *key):
+    """Stream over a driver table in rough order of time, and a delay in seconds that no row exceeds.
+
+    Rows arrive up to a sixteenth of the table's span late, by a hash of their key. Each stretch of arrivals is
+    written after the one before; inside it, files and rows are in no order. Three files make a micro-batch.
+    """
+    prepare(spark)
+    rows, at = table(spark, sf_dir, name), microseconds(ts)
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    first, last = first or 0, last or 0
+    jitter = (last - first) // 16 + 1
+    width = (last - first + jitter) // STRETCHES + 1
+    late = F.pmod(F.xxhash64(*key), F.lit(jitter))
+    stretch = F.coalesce(F.floor((at + late - first) / F.lit(width)).cast("int"), F.lit(0))
+    dealt, folder = fresh_dir(spark, f"{name}-dealt"), fresh_dir(spark, f"{name}-files")
+    rows.withColumn("_stretch", stretch).write.partitionBy("_stretch").parquet(dealt)
+    dealt = spark.read.schema(rows.withColumn("_stretch", stretch).schema).parquet(dealt)
+    for k in range(STRETCHES):  # streams read files in the order of their writing
+        dealt.where(F.col("_stretch") == k).drop("_stretch").write.mode("append").parquet(folder)
+    return parquet_stream(spark, folder, "part-*", files_per_batch=3), (width + jitter) / 1_000_000
+
+
 def finish(running) -> None:
     running.awaitTermination()
     if running.exception() is not None:
@@ -54,9 +77,10 @@ def stream_distinct(spark, sf_dir):
 def throttled(spark, sf_dir):
     prepare(spark)
     path = fresh_dir(spark, "throttle")
-    events = scattered(spark, sf_dir, "events", "event_id").select("user_id", "event_id", "event_type", "ts")
+    events, delay = arriving(spark, sf_dir, "events", "ts", "event_id")
+    events = events.select("user_id", "event_id", "event_type", "ts")
     how = ["user_id"], "ts", ["event_id"], DAY
-    finish(throttle_stream(events, *how, path, delay_seconds=SPAN))
+    finish(throttle_stream(events, *how, path, delay_seconds=delay))
     emitted = throttled_so_far(spark, path, *how)
     return emitted.select("user_id", "event_id", "event_type")
 
@@ -100,7 +124,7 @@ FROM placed p LEFT JOIN boxes s ON s.user_id = p.user_id AND s.ts = p.at_ts""",
 def carried(spark, sf_dir):
     prepare(spark)
     path = fresh_dir(spark, "carry")
-    events = scattered(spark, sf_dir, "events", "event_id")
+    events, delay = arriving(spark, sf_dir, "events", "ts", "event_id")
     detections = events.select(
         F.col("user_id").cast("string").alias("stream_id"),
         "ts",
@@ -110,6 +134,6 @@ def carried(spark, sf_dir):
         F.lit(False).alias("manual"),
         F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("label"),
     )
-    finish(carry_forward_stream(detections, {"x": 20, "y": 20}, DAY, path, delay_seconds=SPAN))
+    finish(carry_forward_stream(detections, {"x": 20, "y": 20}, DAY, path, delay_seconds=delay))
     labelled = labelled_so_far(spark, path, {"x": 20, "y": 20}, DAY)
     return labelled.select(F.col("det_id").alias("event_id"), "shown")

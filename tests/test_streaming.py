@@ -136,3 +136,19 @@ def test_review_stream_equals_batch(spark, tmp_path):
     tables = BatchTables(str(tmp_path / "out"))
     assert tuples(tables.read_all(spark, "accepted"), "n") == tuples(accepted, "n") == [(1,)]
     assert tuples(tables.read_all(spark, "rejected"), "n", "reason") == tuples(rejected, "n", "reason")
+
+
+@pytest.mark.parametrize("name, table", [("throttled", "emitted"), ("carried", "labelled")])
+def test_registered_streams_emit_in_every_micro_batch(spark, monkeypatch, name, table):
+    from bindings import streams
+
+    folders, fresh = {}, streams.fresh_dir
+    monkeypatch.setattr(streams, "fresh_dir", lambda s, purpose: folders.setdefault(purpose, fresh(s, purpose)))
+    getattr(streams, name)(spark, "/root/testdata/sf0.001")
+    path = folders["throttle" if name == "throttled" else "carry"]
+    read = lambda x: spark.read.parquet(f"{path}/{x}")
+    batches = {r["batch"]: r["count"] for r in read(table).groupBy("batch").count().collect()}
+    last = read("marks").agg(F.max("batch")).first()[0]
+    assert last >= 2 and set(batches) == set(range(last + 1)) and min(batches.values()) > 0
+    assert read("late").count() == 0
+    assert 0 < read("waiting").where(F.col("batch") == last).count() < spark.read.parquet("/root/testdata/sf0.001/events.parquet").count() / 2
