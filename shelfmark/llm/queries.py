@@ -220,6 +220,57 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.ranked_search import ranked_search
+
+    return ranked_search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+SQL_11 = """
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents
+), items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), totals AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n, sum(len(terms))::BIGINT AS l FROM texts
+), sizes AS (
+  SELECT doc_id, 100 - 90 + ((90 * len(terms)::BIGINT * n) // l) AS m FROM texts, totals WHERE l > 0
+), held AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM texts) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals
+), scores AS (
+  SELECT item_id, h.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM items i JOIN weights g ON g.term = i.term JOIN held h ON h.term = i.term JOIN sizes s ON s.doc_id = h.doc_id
+  GROUP BY item_id, h.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scores WHERE score > 0
+)
+SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.language_id import language_id, learn
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    kept_back = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    found = language_id(docs.drop("lang"), learn(docs, ~kept_back))
+    return found.select("doc_id", kept_back.alias("held_out"), "lang_pred", "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.whitening import fit, whiten
+
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return whiten(vectors, fit(vectors))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -237,5 +288,8 @@ QUERIES = {
     "op8_lm_scoring": (op8_lm_scoring, None),
     "op9_ngram_jaccard_join": (op9_ngram_jaccard_join, SQL_9),
     "op10_warc": (op10_warc, SQL_10),
+    "op11_ranked_search": (op11_ranked_search, SQL_11),
+    "op12_language_id": (op12_language_id, None),
+    "op13_whitening": (op13_whitening, None),
     "pipeline": (pipeline, None),
 }
