@@ -1,9 +1,9 @@
 """LM scoring: masked pseudo-likelihood of documents under a bidirectional window network.
 
-Every word is predicted from the words before and after it (WINDOW on either side): a table per distance
-gives each neighbour's share of the hidden layer, and the output is a softmax in two steps, first over
-classes of words, then over the words of a class. A document's score is the sum of the log-probabilities of
-its words, each given both its sides.
+Every word is predicted from the words before and after it (WINDOW on either side): a table of words and a matrix
+per distance give each neighbour's share of the hidden layer, and the output is a softmax in two steps, first over
+classes of words, narrow for frequent ones, then over the words of a class. A document's score is the sum of the
+log-probabilities of its words, each given both its sides.
 
 All words of all documents are counted exactly. The network knows the most frequent ones and buckets of the
 others by hash; both grow with the root of the number of distinct words, and so do classes and their width. A word
@@ -29,23 +29,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.llm import blocks as B, words as W
+from shelfmark.session import fresh_dir
 
 # At least so many words, and for each root of the number of distinct words; words for a bucket, buckets at least.
 WORDS = 960
-WORDS_A_ROOT = 4
+WORDS_A_ROOT = 20
 WORDS_A_BUCKET = 15
 BUCKETS = 64
-CLASS = 32  # words of a class at least; the root of all tokens if that is more
+CLASS = 16  # words of a class at least
 WINDOW = 2
+DISTANCES = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 4  # at least
 BATCH = 1 << 15
-RATE = 0.1
+RATE = 0.2
+STEP = 0.5  # of a word's table, against the rate
 PIECE = 1 << 13  # numbers of a piece of the weights
 SALTS = 16
 
 KEYS = "block long, bucket int, keys binary, counts binary"
-TOKENS = "block long, n_tokens long, tokens binary, rows binary"
+TOKENS = "shard int, block long, n_tokens long, tokens binary, rows binary"
 
 
 @dataclass
@@ -174,18 +177,29 @@ def vocabulary_of(counted: DataFrame) -> Vocabulary:
 
 
 class Network:
-    """Weights as one array of 32-bit numbers, and views into it."""
+    """Weights as one array of 32-bit numbers, and views into it. Biases are the last column of output weights.
 
-    def __init__(self, size: int, weights: np.ndarray | None = None) -> None:
-        self.size, self.width = size, max(CLASS, math.isqrt(max(0, size - 1)) + 1)
-        self.classes = -(-size // self.width)
+    Tokens are ranked by frequency and classes are stretches of ranks, wider the rarer their tokens are, so that
+    a token of probability p costs about 1 / sqrt(p) outputs within its class.
+    """
+
+    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None) -> None:
+        self.size = len(counts)
+        order = np.argsort(-counts, kind="stable")
+        self.rank = np.empty(self.size, dtype=np.int64)
+        self.rank[order] = np.arange(self.size)
+        self.shares = (counts[order] + 1.0) / (counts.sum() + self.size)
+        widths, edges = np.maximum(CLASS, (1 / np.sqrt(self.shares)).astype(np.int64)), [0]
+        while edges[-1] < self.size:
+            edges.append(min(self.size, edges[-1] + int(widths[edges[-1]])))
+        self.edges = np.array(edges)
+        self.classes = len(edges) - 1
         shapes = {
-            "inputs": (2 * WINDOW, size + 1, HIDDEN),
+            "words": (self.size + 1, HIDDEN),
+            "places": (2 * WINDOW, HIDDEN, HIDDEN),
             "hidden": (HIDDEN,),
-            "of_class": (HIDDEN, self.classes),
-            "class_bias": (self.classes,),
-            "of_word": (self.classes, HIDDEN, self.width),
-            "word_bias": (self.classes, self.width),
+            "of_class": (self.classes, HIDDEN + 1),
+            "of_word": (self.size, HIDDEN + 1),
         }
         total = sum(int(np.prod(s)) for s in shapes.values())
         self.weights = np.zeros(total, dtype=np.float32) if weights is None else weights
@@ -198,97 +212,131 @@ class Network:
     @classmethod
     def fresh(cls, counts: np.ndarray) -> Network:
         """Small random tables; biases that predict every word by its frequency."""
-        net = cls(len(counts))
+        net = cls(counts)
         random = np.random.default_rng(7)
-        net.inputs[:] = random.normal(0, 0.1, net.inputs.shape)
-        net.of_class[:] = random.normal(0, 0.1, net.of_class.shape)
-        net.of_word[:] = random.normal(0, 0.1, net.of_word.shape)
-        padded = np.zeros(net.classes * net.width)
-        padded[: len(counts)] = counts + 1.0
-        by_class = padded.reshape(net.classes, net.width)
-        net.class_bias[:] = np.log(by_class.sum(axis=1) / padded.sum())
-        with np.errstate(divide="ignore"):
-            logs = np.log(by_class / by_class.sum(axis=1, keepdims=True))
-        net.word_bias[:] = np.maximum(logs, -30)
+        net.words[:] = random.normal(0, 0.3, net.words.shape)
+        net.places[:] = random.normal(0, 0.3, net.places.shape)
+        net.of_class[:, :HIDDEN] = random.normal(0, 0.1, (net.classes, HIDDEN))
+        net.of_word[:, :HIDDEN] = random.normal(0, 0.1, (net.size, HIDDEN))
+        if net.size:
+            of_class = np.add.reduceat(net.shares, net.edges[:-1])
+            net.of_class[:, HIDDEN] = np.log(of_class)
+            net.of_word[:, HIDDEN] = np.log(net.shares / np.repeat(of_class, np.diff(net.edges)))
         return net
 
-    def hidden_of(self, context: np.ndarray) -> np.ndarray:
-        total = self.hidden + self.inputs[0][context[:, 0]]
-        for o in range(1, 2 * WINDOW):
-            total += self.inputs[o][context[:, o]]
-        return np.tanh(total)
-
-    def log_probs(self, context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        """Log-probability of each token given the tokens around it."""
-        h = self.hidden_of(context)
-        of, inside = np.divmod(tokens.astype(np.int64), self.width)
-        out = log_softmax(h @ self.of_class + self.class_bias)[np.arange(len(tokens)), of]
-        for k, rows in by_value(of):
-            logs = log_softmax(h[rows] @ self.of_word[k] + self.word_bias[k])
-            out[rows] += logs[np.arange(len(rows)), inside[rows]]
+    def hidden_of(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of a row of tokens; the hidden layer at its places but the first and last WINDOW, and a one after it."""
+        words, n = self.words.take(row, axis=0), len(row) - 2 * WINDOW
+        total = np.tile(self.hidden, (n, 1))
+        for d, place in zip(DISTANCES, self.places, strict=True):
+            total += words[WINDOW + d : WINDOW + d + n] @ place
+        out = np.empty((n, HIDDEN + 1), dtype=np.float32)
+        np.tanh(total, out=out[:, :HIDDEN])
+        out[:, HIDDEN] = 1
+        return words, out
+
+    def log_probs(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log-probability of the token at each of the places of a row, given the tokens around it."""
+        rank = self.rank[row[at]]
+        order = np.argsort(rank, kind="stable")
+        rank = rank[order]
+        cuts = np.searchsorted(rank, self.edges)
+        h = self.hidden_of(row)[1].take(at[order] - WINDOW, axis=0)
+        _, sums, shift = exponentials(h, self.of_class)
+        of = np.repeat(np.arange(self.classes), np.diff(cuts))
+        logs = np.einsum("ij,ij->i", h, self.of_class[of] + self.of_word[rank]) - np.log(sums) - shift
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = cuts[k], cuts[k + 1]
+            _, sums, shift = exponentials(h[a:b], self.of_word[self.edges[k] : self.edges[k + 1]])
+            logs[a:b] -= np.log(sums) + shift
+        out = np.empty(len(at))
+        out[order] = logs
         return out
 
-    def step(self, context: np.ndarray, tokens: np.ndarray, rate: float) -> None:
-        """One step of gradient ascent on the mean log-probability of a batch, per word it touches."""
-        n = len(tokens)
-        h = self.hidden_of(context)
-        of, inside = np.divmod(tokens.astype(np.int64), self.width)
-        error = -softmax(h @ self.of_class + self.class_bias)
-        error[np.arange(n), of] += 1
-        down = error @ self.of_class.T
-        self.of_class += np.float32(rate * 8 / n) * (h.T @ error)
-        self.class_bias += np.float32(rate * 8 / n) * error.sum(axis=0)
-        for k, rows in by_value(of):
-            mine = h[rows]
-            error = -softmax(mine @ self.of_word[k] + self.word_bias[k])
-            error[np.arange(len(rows)), inside[rows]] += 1
-            down[rows] += error @ self.of_word[k].T
-            scale = np.float32(rate * 2 / len(rows))
-            self.of_word[k] += scale * (mine.T @ error)
-            self.word_bias[k] += scale * error.sum(axis=0)
-        down *= 1 - h * h
+    def step(self, row: np.ndarray, at: np.ndarray, rate: float) -> None:
+        """One step of gradient ascent on the mean log-probability of the tokens at these places, per word it touches.
+
+        The gradient of a softmax is what the targets add less what all outputs hold, so exponentials are
+        neither divided nor copied: rows of the hidden layer are scaled instead.
+        """
+        n = len(at)
+        rank = self.rank[row[at]]
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order] - WINDOW, rank[order]
+        words, hidden = self.hidden_of(row)
+        h = hidden.take(at, axis=0)
+        heads = heads_of(rank)
+        kinds, met = rank[heads], np.add.reduceat(h, heads, axis=0)
+        cuts, cuts_of_kinds = np.searchsorted(rank, self.edges), np.searchsorted(kinds, self.edges)
+        full = np.flatnonzero(np.diff(cuts))
+        of_kind = np.repeat(np.arange(self.classes), np.diff(cuts_of_kinds))
+        targets = self.of_class[of_kind, :HIDDEN] + self.of_word[kinds, :HIDDEN]
+        down = np.repeat(targets, np.diff(np.append(heads, n)), axis=0)
+        e, sums, _ = exponentials(h, self.of_class)
+        down -= (e @ self.of_class[:, :HIDDEN]) / sums[:, None]
+        gain = -((h / sums[:, None]).T @ e).T
+        gain[full] += np.add.reduceat(met, cuts_of_kinds[full], axis=0)
+        self.of_class += np.float32(rate * 8 / n) * gain
+        for k in full.tolist():
+            a, b, first = cuts[k], cuts[k + 1], self.edges[k]
+            table = self.of_word[first : self.edges[k + 1]]
+            e, sums, _ = exponentials(h[a:b], table)
+            down[a:b] -= (e @ table[:, :HIDDEN]) / sums[:, None]
+            gain = -((h[a:b] / sums[:, None]).T @ e).T
+            i, j = cuts_of_kinds[k], cuts_of_kinds[k + 1]
+            gain[kinds[i:j] - first] += met[i:j]
+            table += np.float32(rate * 2 / (b - a)) * gain
+        down *= 1 - h[:, :HIDDEN] ** 2
         self.hidden += np.float32(rate * 8 / n) * down.sum(axis=0)
-        for o in range(2 * WINDOW):
-            ids = context[:, o].astype(np.int64)
-            sizes = np.bincount(ids, minlength=self.size + 1)
-            places = (ids * HIDDEN)[:, None] + np.arange(HIDDEN)
-            sums = np.bincount(places.ravel(), down.ravel(), (self.size + 1) * HIDDEN).reshape(-1, HIDDEN)
-            # The more often a word was met, the closer its step is to the mean.
-            self.inputs[o] += (rate * 0.25 * sums / np.sqrt(np.maximum(sizes, 1))[:, None]).astype(np.float32)
-
-
-def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each value and the rows that hold it."""
-    order = np.argsort(values, kind="stable")
-    heads = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1])) if len(values) else []
-    for a, b in zip(heads, [*heads[1:], len(values)], strict=False):
-        yield int(values[order[a]]), order[a:b]
-
-
-def contexts(tokens: np.ndarray, firsts: np.ndarray, size: int) -> np.ndarray:
-    """Tokens at -WINDOW..-1 and 1..WINDOW of every place; beyond the text's ends it is `size`."""
-    n = len(tokens)
-    out = np.full((n, 2 * WINDOW), size, dtype=kind_of(size))
-    begin, end = np.repeat(firsts[:-1], np.diff(firsts)), np.repeat(firsts[1:], np.diff(firsts))
-    at = np.arange(n)
-    for o, distance in enumerate([*range(-WINDOW, 0), *range(1, WINDOW + 1)]):
-        inside = (at + distance >= begin) & (at + distance < end)
-        out[inside, o] = tokens[(at + distance)[inside]]
-    return out
-
-
-def _tokenised(blocks: DataFrame, id: str, text: str, vocabulary: Vocabulary, counted: DataFrame) -> DataFrame:
-    """Blocks with the tokens of their texts instead of these, staged; `inside` sums what words have within them."""
+        m = len(hidden)
+        placed = np.zeros((m, HIDDEN), dtype=np.float32)
+        placed[at] = down
+        of_row = np.zeros((len(row), HIDDEN), dtype=np.float32)
+        for o, d in enumerate(DISTANCES):
+            part = slice(WINDOW + d, WINDOW + d + m)
+            of_row[part] += placed @ self.places[o].T
+            self.places[o] += np.float32(rate * 8 / n) * (words[part].T @ placed)
+        order = np.argsort(row, kind="stable")
+        heads = heads_of(row[order])
+        # The more often a word was met, the closer its step is to the mean.
+        often = np.sqrt(np.diff(np.append(heads, len(row)))).astype(np.float32)
+        sums = np.add.reduceat(of_row.take(order, axis=0), heads, axis=0)
+        self.words[row[order[heads]]] += np.float32(rate * STEP) * sums / often[:, None]
+
+
+def exponentials(h: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Exponentials of h times the table, less a shift where they might overflow; their sums by row; the shift."""
+    e, shift = h @ table.T, 0.0
+    if np.abs(table).sum(axis=1).max() > 80:  # a hidden layer lies within -1 and 1
+        shift = e.max(axis=1)
+        e -= shift[:, None]
+    np.exp(e, out=e)
+    return e, e @ np.ones(len(table), dtype=np.float32), shift
+
+
+def heads_of(values: np.ndarray) -> np.ndarray:
+    """Where each value of a sorted array starts."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, dtype=np.int64)
+
+
+def row_of(tokens: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all texts in one row, WINDOW times `size`, which is no token, around each text; their places."""
+    at = np.arange(len(tokens)) + WINDOW * (1 + np.repeat(np.arange(len(firsts) - 1), np.diff(firsts)))
+    row = np.full(len(tokens) + WINDOW * len(firsts), size, dtype=kind_of(size))
+    row[at] = tokens
+    return row, at
+
+
+def batches_of(row: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Stretches of a row with what is around them, and the places of at most BATCH tokens in each."""
+    for k in range(0, len(at), BATCH):
+        some = at[k : k + BATCH]
+        begin = some[0] - WINDOW
+        yield row[begin : some[-1] + WINDOW + 1], some - begin
+
+
+def _tokenised(blocks: DataFrame, id: str, text: str, vocabulary: Vocabulary, counted: DataFrame, shards: int) -> DataFrame:
+    """Blocks with the tokens of their texts instead of these, staged by shard; `inside` sums what words have within them."""
 
     def run(block: int, table: pa.Table, answers: pa.Table) -> pa.Table:
         h, firsts = hashes_of(table.column(text))
@@ -298,10 +346,22 @@ def _tokenised(blocks: DataFrame, id: str, text: str, vocabulary: Vocabulary, co
         tokens = vocabulary.of(keys)
         inside = sums_of(vocabulary.inside(tokens, counts)[place], firsts)
         kept = pa.table({"id": table.column(id), "n": pa.array(np.diff(firsts)), "inside": pa.array(inside)})
-        return pa.table({"block": [block], "n_tokens": pa.array([len(h)], pa.int64()), "tokens": [tokens[place].tobytes()], "rows": [B.pack(kept)]})
+        shard = int(W.mix(np.array([block], dtype=np.uint64))[0] % np.uint64(shards))
+        return pa.table(
+            {
+                "shard": pa.array([shard], pa.int32()),
+                "block": [block],
+                "n_tokens": pa.array([len(h)], pa.int64()),
+                "tokens": [tokens[place].tobytes()],
+                "rows": [B.pack(kept)],
+            }
+        )
 
     answers = counted.where("block IS NOT NULL").select("block", "bucket", "counts")
-    return B.staged(B.with_answers(blocks, answers, run, TOKENS), "tokens")
+    found = B.with_answers(blocks, answers, run, TOKENS)
+    path = fresh_dir(blocks.sparkSession, "tokens")
+    found.write.partitionBy("shard").parquet(path)
+    return blocks.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def sums_of(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -320,23 +380,20 @@ def _block_tokens(tokens, rows, size: int) -> tuple[pa.Table, np.ndarray, np.nda
 def train(spark: SparkSession, tokens: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
     """The network after one pass over all tokens."""
     net = Network.fresh(counts)
-    size = net.size
+    size, frequencies = net.size, spark.sparkContext.broadcast(counts)
     tasks = 2 * spark.sparkContext.defaultParallelism  # each sends weights
     for turn in range(rounds):
-        shard = tokens.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn).coalesce(tasks)
+        shard = tokens.where(F.col("shard") == turn).coalesce(tasks)
         shared = spark.sparkContext.broadcast(net.weights)
         rate = RATE * (1 - turn / (2 * rounds))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            mine, seen = Network(size, shared.value.copy()), 0
+            mine, seen = Network(frequencies.value, shared.value.copy()), 0
             for batch in batches:
                 for blob, rows in zip(batch.column("tokens"), batch.column("rows"), strict=True):
                     _, found, firsts = _block_tokens(blob, rows, size)
-                    around = contexts(found, firsts, size)
-                    order = np.random.default_rng(seen).permutation(len(found))
-                    for k in range(0, len(found), BATCH):
-                        some = order[k : k + BATCH]
-                        mine.step(around[some], found[some], rate)
+                    for part, at in batches_of(*row_of(found, firsts, size)):
+                        mine.step(part, at, rate)
                     seen += len(found)
             if seen:
                 pieces = range(0, len(mine.weights), PIECE)
@@ -366,7 +423,7 @@ def train(spark: SparkSession, tokens: DataFrame, counts: np.ndarray, rounds: in
         rows = parts.groupBy("piece").applyInArrow(add, kind).orderBy("piece").collect()  # as long as the weights
         shared.unpersist()
         if rows:
-            net = Network(size, np.concatenate([np.frombuffer(r["mean"], dtype=np.float32) for r in rows]))
+            net = Network(counts, np.concatenate([np.frombuffer(r["mean"], dtype=np.float32) for r in rows]))
     return net
 
 
@@ -374,25 +431,26 @@ def lm_scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """The id, `n_tokens`, `log_prob` (sum over the words) and `mean_log_prob` of every document.
 
     Words are runs between white space, A-Z lower-cased. Null and empty texts have no words, log_prob 0 and a
-    null mean. Equal texts have equal scores, but for rounding. Other columns of docs are left out.
+    null mean. Equal texts have equal scores, but for rounding, and repeated rows stay; words of equal frequency
+    enter the vocabulary by their hash. A text is tokenised whole, whatever its length. An empty table has no
+    rows. Other columns of docs are left out, so their names don't matter.
     """
     spark = B.ready(docs.sparkSession)
     blocks = B.to_blocks(docs.select(id, text), text)
     counted = count_words(blocks, text)
     vocabulary = vocabulary_of(counted)
-    tokens = _tokenised(blocks, id, text, vocabulary, counted)
     size, rounds = vocabulary.size, max(ROUNDS, B.bucket_bits(blocks))
+    tokens = _tokenised(blocks, id, text, vocabulary, counted, rounds)
+    frequencies = spark.sparkContext.broadcast(vocabulary.counts)
     shared = spark.sparkContext.broadcast(train(spark, tokens, vocabulary.counts, rounds).weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(size, shared.value)
+        net = Network(frequencies.value, shared.value)
         for batch in batches:
             for blob, rows in zip(batch.column("tokens"), batch.column("rows"), strict=True):
                 table, found, firsts = _block_tokens(blob, rows, size)
-                around = contexts(found, firsts, size)
-                logs = np.zeros(len(found))
-                for k in range(0, len(found), BATCH):
-                    logs[k : k + BATCH] = net.log_probs(around[k : k + BATCH], found[k : k + BATCH])
+                parts = [net.log_probs(part, at) for part, at in batches_of(*row_of(found, firsts, size))]
+                logs = np.concatenate([np.zeros(0), *parts])
                 n = np.diff(firsts)
                 sums = sums_of(logs, firsts) + table.column("inside").to_numpy()
                 means = pa.array(np.divide(sums, n, out=np.zeros(len(n)), where=n > 0), mask=n == 0)
