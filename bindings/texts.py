@@ -30,7 +30,7 @@ from shelfmark.plans.extract import (
     page_links,
     summary_parts,
 )
-from shelfmark.sources.elements import elements
+from shelfmark.sources.elements import Reading, elements
 
 QUERIES = {}
 
@@ -318,7 +318,7 @@ SELECT page_id, url, {UNESCAPED.format("trim(regexp_extract(html, '<title>(.*?)<
 FROM pages""",
 )
 def page_title_h1(spark, sf_dir):
-    return page_headings(elements(table(spark, sf_dir, "pages")))
+    return page_headings(elements(table(spark, sf_dir, "pages"), Reading(("title", "h1"))))
 
 
 VISIBLE = "regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<script|<style)[^>]*>.*?</(script|style)>', '\\1>', 'gs')"
@@ -333,7 +333,7 @@ SELECT page_id, tag, count(*) AS n FROM (
 GROUP BY page_id, tag""",
 )
 def element_tag_counts(spark, sf_dir):
-    found = elements(table(spark, sf_dir, "pages"))
+    found = elements(table(spark, sf_dir, "pages"), Reading(content=False))
     return found.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -350,5 +350,5 @@ WHERE title <> '' AND regexp_matches(href, '^/[a-z]+')
 QUALIFY row_number() OVER (PARTITION BY href ORDER BY page_id, i) = 1""",
 )
 def links(spark, sf_dir):
-    found = elements(table(spark, sf_dir, "pages"))
+    found = elements(table(spark, sf_dir, "pages"), Reading(("a",)))
     return page_links(found, BASE_URL, "^/[a-z]+").select("title", "url", "page_id")

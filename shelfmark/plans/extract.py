@@ -24,7 +24,7 @@ from shelfmark.operators.ordered import position_block
 from shelfmark.operators.shape import fill_down_pivot, first_matches, tiered_fallback
 from shelfmark.operators.topk import keep_first
 from shelfmark.schemas import COLUMNS
-from shelfmark.sources.elements import above, attr, has_class, is_tag, under
+from shelfmark.sources.elements import Reading, above, attr, has_class, is_tag, under
 
 # Role patterns, spec labels, facet labels, summary patterns.
 ROLE_PATTERNS = {
@@ -63,6 +63,26 @@ PLAYER_COUNT = r"based on\s+([0-9]+)\s+ratings"
 
 PAGE = ["page_id", "url"]
 
+# What the extractors below read of the pages of each kind.
+_IN_TABLES = ("table", "tr", "td", "th", ".table-credits", "#releaseInfo", ".release-info")
+READINGS = {
+    "overview": Reading(
+        ("a", "b", "dd", "dt", "h1", "h4", "li", "script", "small", "span", "strong", "td", "th", "time", ".mobyscore", ".platform", ".date"),
+        (
+            *_IN_TABLES, "dd", "div", "dl", "li", "p", "span", ".info-genres", ".info-release", ".info-score", ".info-specs",
+            ".metadata", ".release", "#developerLinks", "#platformLinks", "#platformRankings", "#publisherLinks",
+        ),
+        ("href", "type"),
+    ),
+    "credits": Reading(("a", "h2", "h4", "p", "td"), (*_IN_TABLES, "p", "span", ".mb", ".text-nowrap"), ("href", "rel")),
+    "specs": Reading(("a", "h4", "td"), _IN_TABLES, ("href",)),
+    "prices": Reading(("a", "h4", "table", "td"), (*_IN_TABLES, "main"), ("href",)),
+    "reviews": Reading(
+        ("a", "p", "title", ".border", ".stars", ".toggle-text-review"), ("b", "#critics", "#players", ".border", ".mb"), ("data-tooltip", "href"),
+    ),
+    "person": Reading(("a", "h1", ".page-title", "#description-text"), ("li", "#developerBiography", "#relatedSites"), ("href",)),
+}
+
 
 def _text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))

@@ -8,7 +8,7 @@ from shelfmark.plans.catalog import catalog_from_bronze
 from shelfmark.plans.tables import extract_tables, merge_tables, seed_pages
 from shelfmark.plans.reports import facet_options, top_rated_by_critics
 from shelfmark.schemas import COLUMNS
-from shelfmark.sources.elements import elements
+from shelfmark.sources.elements import Reading, elements
 from shelfmark.sources.readers import read_text_csv
 from tests.conftest import tuples
 
@@ -45,23 +45,34 @@ CREDITS = """<h2>About</h2><h2>Nintendo Switch credits (12 people)</h2><table cl
 <table><tr><td>Director</td><td><a href="/person/99/">Other</a></td></tr></table>"""
 
 
-def page_table(spark, *pages):
+# Every mark that any extractor asks for.
+ALL = Reading(above=tuple(dict.fromkeys(m for r in extract.READINGS.values() for m in r.above)))
+
+
+def page_table(spark, *pages, reading=ALL):
     return elements(
-        spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+        spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string"), reading
     )
 
 
 def test_elements(spark):
-    rows = page_table(spark, (HOST, '<div id="a" class="x y"><p>one<br>two<p>three</div></span><b>f&amp;o</b>'))
-    got = [(r["pos"], r["depth"], r["parent_pos"], r["tag"], r["text"], r["up"]) for r in rows.orderBy("pos").collect()]
+    marks = ("div", "#a", ".x", ".y", "p", "b")
+    page = (HOST, '<div id="a" class="x y"><p>one<br>two<p>three</div></span><b>f&amp;o</b>')
+    rows = page_table(spark, page, reading=Reading(above=marks)).orderBy("pos").collect()
+    got = [
+        (r["pos"], r["last"], r["depth"], r["parent_pos"], r["tag"], r["text"], {m: r[f"^{m}"] for m in marks if r[f"^{m}"] is not None})
+        for r in rows
+    ]
     inside = {"div": 0, "#a": 0, ".x": 0, ".y": 0}
     assert got == [
-        (0, 0, None, "div", None, {}),
-        (1, 1, 0, "p", "one two three", inside),
-        (2, 2, 1, "br", None, {**inside, "p": 1}),
-        (3, 2, 1, "p", "three", {**inside, "p": 1}),
-        (4, 0, None, "b", "f&o", {}),
+        (0, 3, 0, None, "div", None, {}),
+        (1, 3, 1, 0, "p", "one two three", inside),
+        (2, 2, 2, 1, "br", None, {**inside, "p": 1}),
+        (3, 3, 2, 1, "p", "three", {**inside, "p": 1}),
+        (4, 4, 0, None, "b", "f&o", {}),
     ]
+    chosen = page_table(spark, page, (HOST, None), (HOST, ""), reading=Reading(("p", ".y"), ("p",), content=False)).collect()
+    assert [(r["page_id"], r["pos"], r["^p"], r["text"]) for r in chosen] == [(0, 0, None, None), (0, 1, None, None), (0, 3, 1, None)]
 
 
 def test_overview(spark):
@@ -256,11 +267,15 @@ def test_pages_to_stored_tables(spark, tmp_path):
 
 def test_open_lists_stay_linear():
     """Unclosed entries end with the next one; a page's text is held once."""
-    from shelfmark.sources.elements import page_elements
-
-    rows = page_elements("<ul>" + "".join(f"<li>entry {k} <b>x</b>" for k in range(5_000)) + "</ul><p>end")
-    entries = [r for r in rows if r["tag"] == "li"]
-    assert [r["text"] for r in entries[:2]] == ["entry 0 x", "entry 1 x"] and len(entries) == 5_000
-    assert {r["depth"] for r in entries} == {1}
-    table = page_elements("<table><tr><td>a<td>b<tr><th>c<td><table><tr><td>d</table></table>")
-    assert [(r["tag"], r["text"]) for r in table if r["tag"] in ("td", "th")] == [("td", "a"), ("td", "b"), ("th", "c"), ("td", "d"), ("td", "d")]
+    from shelfmark.sources.elements import read_page
+
+    def texts(html, *tags):
+        page = read_page(html)
+        stretches = zip(page.tags, page.begins, page.ends, strict=True)
+        return [(t, " ".join(page.pieces[a:b])) for t, a, b in stretches if t in tags], page
+
+    entries, page = texts("<ul>" + "".join(f"<li>entry {k} <b>x</b>" for k in range(5_000)) + "</ul><p>end", "li")
+    assert [t for _, t in entries[:2]] == ["entry 0 x", "entry 1 x"] and len(entries) == 5_000
+    assert {d for t, d in zip(page.tags, page.depths, strict=True) if t == "li"} == {1}
+    cells, _ = texts("<table><tr><td>a<td>b<tr><th>c<td><table><tr><td>d</table></table>", "td", "th")
+    assert cells == [("td", "a"), ("td", "b"), ("th", "c"), ("td", "d"), ("td", "d")]
