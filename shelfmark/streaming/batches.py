@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.sources.sinks import exists, remove
+from shelfmark.sources.sinks import exists, folders, remove
 
 
 def parquet_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 1000) -> DataFrame:
@@ -51,6 +51,40 @@ class BatchTables:
     def read_all(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.option("mergeSchema", True).parquet(f"{self.path}/{name}").drop("batch")
 
+    def hold(self, df: DataFrame, name: str, by: str, batch: int) -> None:
+        """Append rows that later batches read, to `<path>/<name>/<by>=<value>/batch=<n>`; a repeated batch
+        overwrites what it appended."""
+        rows = df.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.partitionBy(by, "batch").parquet(f"{self.path}/{name}")
+
+    def held(
+        self, spark: SparkSession, name: str, by: str, after: int | None, until: int | None, batch: int
+    ) -> DataFrame | None:
+        """Rows that batches before `batch` hold for values beyond `after` and up to `until`, and those without one.
+
+        Only the folders of these values are listed and read.
+        """
+        folder = f"{self.path}/{name}"
+        chosen = [
+            f"{folder}/{by}={text}"
+            for value, text in self.values(spark, name, by)
+            if value is None or ((after is None or value > after) and (until is None or value <= until))
+        ]
+        if not chosen:
+            return None
+        return spark.read.option("basePath", folder).parquet(*chosen).where(F.col("batch") < batch)
+
+    def release(self, spark: SparkSession, name: str, by: str, until: int) -> None:
+        """Drop the folders of values up to `until`."""
+        for value, text in self.values(spark, name, by):
+            if value is not None and value <= until:
+                remove(spark, f"{self.path}/{name}/{by}={text}")
+
+    def values(self, spark: SparkSession, name: str, by: str) -> list[tuple[int | None, str]]:
+        """Values that there are folders for, null as None, beside their text."""
+        texts = [f.partition("=")[2] for f in folders(spark, f"{self.path}/{name}") if f.startswith(f"{by}=")]
+        return [(int(t) if t.lstrip("-").isdigit() else None, t) for t in sorted(texts)]
+
     def forget(self, spark: SparkSession, name: str, batch: int) -> None:
         """Drop a state that no retry can need any more."""
         if batch >= 0:

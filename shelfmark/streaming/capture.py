@@ -3,8 +3,10 @@
 Rows wait until the stream's watermark has passed them: the newest instant seen so far less `delay_seconds`.
 What has passed is complete, so where micro-batches end, and which files they hold, does not change any result;
 only rows that arrive at or behind the watermark are late and are written apart. The waiting rows,
-the clock of each key and, for carry-forward, the boxes it has stored are the state kept between
-micro-batches. Within a batch the work is the batch operator itself, so a key with much of the batch is
+the clock of each key and, for carry-forward, the boxes of each stream's open epoch are the state kept between
+micro-batches. Waiting rows lie in spans of time: a micro-batch appends those it has to hold and
+reads only the spans that its watermark reaches; nothing that waits is written again, and spans that have
+passed are dropped. Within a batch the work is the batch operator itself, so a key with much of the batch is
 spread like any other. `*_so_far` adds what the rows still waiting would give if the stream ended now.
 """
 
@@ -26,30 +28,55 @@ from shelfmark.operators.throttle import (
 )
 from shelfmark.streaming.batches import BatchTables, last_batch, run_available
 
+# Spans of waiting rows that a stream's delay is cut into.
+SPANS = 8
+
 
 def _admit(
     tables: BatchTables, rows: DataFrame, batch: int, ts: str, delay_seconds: float
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows that the watermark has passed with this batch, and clocks so far.
+    """Rows that the watermark passes with this batch, and clocks so far.
 
-    Writes the late rows, those that go on waiting and the new watermark.
+    Writes the late rows, those that have to wait and the new watermark. A row waits in the span of its
+    instant until the watermark has passed it: it is released by the one batch whose watermark is the first at or
+    behind which it lies. The width of the spans is set by the first batch.
     """
     spark = rows.sparkSession
+    at, no = microseconds(ts), F.lit(False)
     marks = tables.read_one(spark, "marks", batch - 1)
-    before = marks.first()["mark"] if marks is not None else None
-    late = F.lit(False) if before is None else F.coalesce(microseconds(ts) <= F.lit(before), F.lit(False))
-    tables.write(rows.where(late), "late", batch)
-    held = rows.where(~late)
-    waiting = tables.read_one(spark, "waiting", batch - 1)
-    if waiting is not None:
-        held = waiting.unionByName(held)
-    newest = held.agg(F.max(microseconds(ts))).first()[0]
+    before, width = (None, None) if marks is None else marks.select("mark", "width").first()
+    width = width or max(1_000_000, int(delay_seconds * 1_000_000) // SPANS)
+    late = no if before is None else F.coalesce(at <= F.lit(before), no)
+    newest, n_late = rows.agg(F.max(at), F.count_if(late)).first()
+    if n_late or batch == 0:  # the first batch writes the table, if without rows
+        tables.write(rows.where(late), "late", batch)
     reached = None if newest is None else newest - int(delay_seconds * 1_000_000)
     mark = max((m for m in (before, reached) if m is not None), default=None)
-    passed = F.lit(False) if mark is None else F.coalesce(microseconds(ts) <= F.lit(mark), F.lit(False))
-    tables.write(held.where(~passed), "waiting", batch)
-    tables.write(spark.createDataFrame([(mark,)], "mark long"), "marks", batch)
-    return held.where(passed), tables.read_one(spark, "clocks", batch - 1)
+    passed = no if mark is None else F.coalesce(at <= F.lit(mark), no)
+    fresh = rows.where(~late)
+    span = F.floor(at / F.lit(width)) * F.lit(width)
+    tables.hold(fresh.where(~passed).withColumn("span", span), "waiting", "span", batch)
+    tables.write(spark.createDataFrame([(mark, width)], "mark long, width long"), "marks", batch)
+    ready = fresh.where(passed)
+    held = None
+    if mark is not None:
+        held = tables.held(spark, "waiting", "span", None if before is None else before - width, mark, batch)
+    if held is not None:
+        since = F.lit(True) if before is None else at > F.lit(before)
+        ready = ready.unionByName(held.select(*rows.columns).where(since & passed))
+    earlier = tables.read_one(spark, "marks", batch - 2)
+    if earlier is not None and (gone := earlier.first()["mark"]) is not None:
+        tables.release(spark, "waiting", "span", gone - width)
+    return ready, tables.read_one(spark, "clocks", batch - 1)
+
+
+def _waiting(tables: BatchTables, spark: SparkSession, batch: int, ts: str) -> DataFrame | None:
+    """Rows that the watermark of a batch has not passed."""
+    mark, width = tables.read_one(spark, "marks", batch).select("mark", "width").first()
+    held = tables.held(spark, "waiting", "span", None if mark is None else mark - width, None, batch + 1)
+    if held is None or mark is None:
+        return held
+    return held.where(F.coalesce(microseconds(ts) > F.lit(mark), F.lit(True)))
 
 
 def _due(
@@ -103,8 +130,8 @@ def throttle_stream(
         tables.write(_next_clocks(emitted, due, clocks, keys, ts, gap_seconds), "clocks", batch)
         ready.unpersist()
         rows.unpersist()
-        for name in ("clocks", "waiting", "marks"):
-            tables.forget(spark, name, batch - 2)
+        for name in ("clocks", "marks"):
+            tables.forget(spark, name, batch - 3)
 
     return run_available(stream, each, path)
 
@@ -116,7 +143,10 @@ def throttled_so_far(
     tables = BatchTables(path)
     batch = last_batch(spark, path, "marks")
     emitted = tables.read_all(spark, "emitted")
-    waiting = tables.read_one(spark, "waiting", batch)
+    waiting = _waiting(tables, spark, batch, ts)
+    if waiting is None:
+        return emitted
+    waiting = waiting.select(*emitted.columns)
     due = _due(waiting, tables.read_one(spark, "clocks", batch), keys, ts, gap_seconds)
     return emitted.unionByName(throttle(waiting, keys, ts, tie, gap_seconds, due))
 
@@ -178,8 +208,8 @@ def carry_forward_stream(
         tables.write(_next_clocks(emitted, due, clocks, keys, ts, gap_seconds), "clocks", batch)
         ready.unpersist()
         rows.unpersist()
-        for name in ("clocks", "boxes", "waiting", "marks"):
-            tables.forget(spark, name, batch - 2)
+        for name in ("clocks", "boxes", "marks"):
+            tables.forget(spark, name, batch - 3)
 
     return run_available(detections, each, path)
 
@@ -190,8 +220,12 @@ def labelled_so_far(
     """All labelled detections, and the labels of those still waiting if no more came."""
     tables = BatchTables(path)
     batch = last_batch(spark, path, "marks")
-    waiting, boxes = tables.read_one(spark, "waiting", batch), tables.read_one(spark, "boxes", batch)
+    labelled = tables.read_all(spark, "labelled")
+    waiting, boxes = _waiting(tables, spark, batch, "ts"), tables.read_one(spark, "boxes", batch)
+    if waiting is None:
+        return labelled
+    waiting = waiting.drop("span", "batch")
     due = _due(waiting, tables.read_one(spark, "clocks", batch), ["stream_id"], "ts", gap_seconds)
     captured = capture(waiting, "stream_id", "ts", gap_seconds, due, "manual")
-    labelled, _ = _label(waiting, boxes, captured, dims, block_seconds)
-    return tables.read_all(spark, "labelled").unionByName(labelled)
+    rest, _ = _label(waiting, boxes, captured, dims, block_seconds)
+    return labelled.unionByName(rest)

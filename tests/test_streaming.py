@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.ordered import time_block
 from shelfmark.operators.quality import ReviewReferences, review_reasons, split_by_reason
-from shelfmark.operators.throttle import capture, carry_forward, throttle
+from shelfmark.operators.throttle import capture, carry_forward, microseconds, throttle
 from shelfmark.streaming.batches import BatchTables, parquet_stream
 from shelfmark.streaming.capture import carry_forward_stream, labelled_so_far, throttle_stream, throttled_so_far
 from shelfmark.streaming.distinct import write_distinct
@@ -151,4 +151,70 @@ def test_registered_streams_emit_in_every_micro_batch(spark, monkeypatch, name,
     last = read("marks").agg(F.max("batch")).first()[0]
     assert last >= 2 and set(batches) == set(range(last + 1)) and min(batches.values()) > 0
     assert read("late").count() == 0
-    assert 0 < read("waiting").where(F.col("batch") == last).count() < spark.read.parquet("/root/testdata/sf0.001/events.parquet").count() / 2
+    mark = read("marks").where(F.col("batch") == last).first()["mark"]
+    waiting = read("waiting").where(microseconds("ts") > mark)
+    assert 0 < waiting.count() < spark.read.parquet("/root/testdata/sf0.001/events.parquet").count() / 2
+
+
+def written(folder):
+    """Files below a folder with the times they were written."""
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_waiting_rows_are_written_once(spark, tmp_path):
+    """Each batch adds files of its own rows; files of earlier batches stay as they are until their span has passed."""
+    rows = [(k % 3, at(10 * k), k) for k in range(120)]
+    parts = [spark.createDataFrame(rows[a : a + 20], "k int, ts timestamp, n int") for a in range(0, 120, 20)]
+    folder, path = tmp_path / "in", str(tmp_path / "out")
+    waiting, before, steps = tmp_path / "out" / "waiting", {}, []
+    for k, part in enumerate(parts):
+        files(folder, part)
+        stream = parquet_stream(spark, str(folder), "*.parquet")
+        finish(throttle_stream(stream, ["k"], "ts", ["n"], 30, path, delay_seconds=300))
+        now = written(waiting)
+        assert all(now[f] == before[f] for f in now if f in before)
+        assert all(f"batch={k}" in f for f in now if f not in before)
+        steps.append(len(before.keys() - now.keys()))
+        before = now
+    assert sum(steps) > 0  # spans that have passed are gone
+    df = spark.createDataFrame(rows, parts[0].schema)
+    got = throttled_so_far(spark, path, ["k"], "ts", ["n"], 30)
+    assert tuples(got, "k", "n") == tuples(throttle(df, ["k"], "ts", ["n"], 30), "k", "n")
+
+
+def test_batch_repeated_after_a_crash(spark, tmp_path, monkeypatch):
+    """A batch that breaks off after it wrote its results is run again, with the same results."""
+    rows = [(k % 2, at(7 * k), k) for k in range(60)]
+    parts = [spark.createDataFrame(rows[a : a + 15], "k int, ts timestamp, n int") for a in range(0, 60, 15)]
+    folder, path = tmp_path / "in", str(tmp_path / "out")
+    run = lambda: finish(throttle_stream(parquet_stream(spark, str(folder), "*.parquet"), ["k"], "ts", ["n"], 15, path, delay_seconds=60))
+    forget = BatchTables.forget
+    for part in parts:
+        files(folder, part)
+
+        def broken(self, *args):
+            raise OSError("lost")
+
+        monkeypatch.setattr(BatchTables, "forget", broken)
+        with pytest.raises(Exception, match="lost"):
+            run()
+        monkeypatch.setattr(BatchTables, "forget", forget)
+        run()
+    df = spark.createDataFrame(rows, parts[0].schema)
+    got = throttled_so_far(spark, path, ["k"], "ts", ["n"], 15)
+    assert tuples(got, "k", "n") == tuples(throttle(df, ["k"], "ts", ["n"], 15), "k", "n")
+
+
+def test_boxes_of_closed_epochs_are_not_kept(spark, tmp_path):
+    rows = random_detections(9, 80)
+    df = spark.createDataFrame(rows, SCHEMA)
+    cuts = [at(0), at(60), at(120), at(180), at(1000)]
+    parts = [df.where((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(cuts, cuts[1:])]
+    stream = parquet_stream(spark, files(tmp_path / "in", *parts), "*.parquet", files_per_batch=1)
+    path = str(tmp_path / "out")
+    finish(carry_forward_stream(stream, DIMS, 15, path, block_seconds=20, delay_seconds=10))
+    boxes, captured = spark.read.parquet(f"{path}/boxes"), spark.read.parquet(f"{path}/captured")
+    for batch in [r["batch"] for r in boxes.select("batch").distinct().collect()]:
+        auto = captured.where((F.col("batch") <= batch) & (F.col("trigger") == "auto")).groupBy("stream_id").agg(F.max("ts").alias("t"))
+        kept = boxes.where(F.col("batch") == batch).join(auto, "stream_id")
+        assert kept.where(F.col("ts") < F.col("t")).count() == 0
