@@ -10,6 +10,10 @@ slices of the attributes are left out; what they could add is bounded by the que
 Top rows are then selected from the most significant slice of the sums downward. That gives the k-th
 largest coarse sum; rows within the bound of it are the boundary and get their exact score.
 
+Vectors with components beyond LARGEST have too many bits for slices of 64-bit words. If there are any, scores are
+bounded in doubles from both sides, and every row that may be among the best by these bounds gets its exact
+score in integers of any length, so the result is exact for all finite components.
+
 Blocks meet queries in groups: each (block, group) pair is one unit, so neither side has to fit a
 task as a whole, and at most k rows per query leave a pair.
 """
@@ -28,23 +32,76 @@ from shelfmark.llm.blocks import ready, staged
 SCALE = 256
 BLOCK_ROWS = 1 << 13
 GROUP_QUERIES = 1 << 10
-# Components beyond this are cut to it, so that sums stay within 64 bits.
+# The largest component of the sliced index, so that sums stay within 64 bits.
 LARGEST = 1 << 24
+LONG = 1 << 63
 COARSE = 2
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def quantised(vectors: pa.Array, dims: int) -> np.ndarray:
-    """Integers of each vector, rows of `dims`; shorter vectors end in zeros."""
+def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
+    """Components as doubles, rows of `dims`; shorter vectors end in zeros."""
     flat = vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
     sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(sizes), dims), dtype=np.int64)
+    out = np.zeros((len(sizes), dims))
     row = np.repeat(np.arange(len(sizes)), sizes)
     column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[row, column] = np.clip(np.floor(flat * SCALE), -LARGEST, LARGEST).astype(np.int64)
+    out[row, column] = flat
     return out
 
 
+def quantised(vectors: pa.Array, dims: int) -> np.ndarray:
+    """Integers of each vector, within LARGEST."""
+    return np.floor(matrix(vectors, dims) * SCALE).astype("<i4")
+
+
+def whole(x: float) -> int:
+    """floor(SCALE * x) of a finite number, exactly."""
+    above, below = x.as_integer_ratio()
+    return above * SCALE // below
+
+
+class Wide:
+    """Vectors of any finite components, their scores bounded in doubles and resolved in integers of any length."""
+
+    def __init__(self, rows: np.ndarray) -> None:
+        self.rows = rows
+        self.scaled, self.size = self.bounded(rows)
+
+    @staticmethod
+    def bounded(rows: np.ndarray) -> tuple[np.ndarray, float]:
+        """The rows over the power of two at or above their largest component, and that power."""
+        power = int(np.frexp(np.abs(rows).max(initial=0.0))[1])
+        return np.ldexp(rows, -power), power
+
+    def top(self, query: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
+        """Rows that may be among the k best, and their exact scores."""
+        q, power = self.bounded(query)
+        # floors differ from SCALE * x by less than one; the rest is rounding, and what underflows
+        about = self.scaled @ q
+        unit, other = np.ldexp(1.0, min(1000, -self.size)) / SCALE, np.ldexp(1.0, min(1000, -power)) / SCALE
+        sizes = np.abs(self.scaled), np.abs(q)
+        error = (sizes[0] @ sizes[1]) * (len(q) + 8) * 2.0**-52 + len(q) * 2.0**-1000
+        error += (sizes[0].sum(axis=1) + len(q) * unit) * other + unit * (sizes[1].sum() + len(q) * other)
+        error *= 1 + 1e-6
+        low, high = np.where(own, -np.inf, about - error), np.where(own, -np.inf, about + error)
+        bound = np.partition(low, len(low) - k)[-k] if len(low) > k else -np.inf
+        rows = np.flatnonzero((high >= bound) & ~own)
+        exact = [whole(float(x)) for x in query]
+        return rows, [sum(whole(float(x)) * y for x, y in zip(self.rows[r], exact, strict=True)) for r in rows]
+
+
+def order_key(score: int) -> str:
+    """Text that sorts as the numbers do."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):06d}{digits}"
+    return f"0{999_999 - len(digits):06d}{digits.translate(NINES)}"
+
+
+NINES = str.maketrans("0123456789", "9876543210")
+
+
 class Slices:
     """Bit slices of the numbers of a block, raised by `low` so that none is negative."""
 
@@ -129,24 +186,25 @@ def topk_search(
     """The k highest scores of each query row among all rows with another id: query_id, rank, vec_id, score.
 
     `queries` says which rows are queries. Rows with a null id or vector, and vectors that hold a null or
-    a component that is not finite, take no part. Missing components of shorter vectors count as 0, and
-    components beyond LARGEST / SCALE count as that. Ties go to the smaller id. Rows that share an id are
-    candidates each on their own, and one query, the first of their vectors in order.
+    a component that is not finite, take no part. Missing components of shorter vectors count as 0. Ties go to
+    the smaller id. Scores are exact for all finite components; one beyond a long ranks by its exact value and
+    is returned as the nearest long. Rows that share an id are candidates each on their own, and one query, the
+    first of their vectors in order. An empty table, or no query, gives no rows. Other columns are left out.
     """
     spark = ready(vectors.sparkSession)
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("q"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad)
-    whole = F.floor(F.greatest(F.lit(-1.0 * LARGEST), F.least(F.lit(1.0 * LARGEST), F.array_min("v") * SCALE)))
-    highest = F.floor(F.greatest(F.lit(-1.0 * LARGEST), F.least(F.lit(1.0 * LARGEST), F.array_max("v") * SCALE)))
     found = rows.agg(
-        F.min(whole).alias("low"), F.max(highest).alias("high"), F.max(F.size("v")).alias("dims"), F.count_if(F.col("q")).alias("n")
+        F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high"), F.max(F.size("v")).alias("dims"), F.count_if(F.col("q")).alias("n")
     ).first()
-    result = "query_id long, vec_id long, score long"
+    result = "query_id long, vec_id long, score long, place string"
     if not found["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dims = max(1, found["dims"])
-    low, high = min(0, int(found["low"] or 0)), max(0, int(found["high"] or 0))
+    low, high = min(0, whole(found["low"] or 0.0)), max(0, whole(found["high"] or 0.0))
+    wide = max(-low, high) > LARGEST
+    kind, read = ("<f8", matrix) if wide else ("<i4", quantised)
     bits = max(1, (high - low).bit_length())
     drop = min(drop, bits - 1)
     groups = -(-found["n"] // GROUP_QUERIES)
@@ -155,7 +213,7 @@ def topk_search(
         at, ids, values, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
             ids.append(batch.column("id").to_numpy())
-            values.append(quantised(batch.column("v"), dims))
+            values.append(read(batch.column("v"), dims))
             size += batch.num_rows
             if size >= BLOCK_ROWS:
                 yield block(at, ids, values)
@@ -166,16 +224,25 @@ def topk_search(
     def block(at: int, ids: list[np.ndarray], values: list[np.ndarray]) -> pa.RecordBatch:
         n = sum(map(len, ids))
         return pa.RecordBatch.from_pydict(
-            {"block": [at], "n": pa.array([n], pa.int64()), "ids": [np.concatenate(ids).tobytes()], "values": [np.concatenate(values).astype("<i4").tobytes()]}
+            {"block": [at], "n": pa.array([n], pa.int64()), "ids": [np.concatenate(ids).tobytes()], "values": [np.concatenate(values).astype(kind).tobytes()]}
         )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [], [], []
-        if left.num_rows and right.num_rows:
-            index = Slices(_numbers(left, "values", "<i4").reshape(-1, dims).astype(np.int64), low, bits)
+        out = [], [], [], []
+        if left.num_rows and right.num_rows and wide:
+            index, ids = Wide(_numbers(left, "values", kind).reshape(-1, dims)), _numbers(left, "ids", "<i8")
+            for query, blob in zip(right.column("id").to_pylist(), right.column("v"), strict=True):
+                places, scores = index.top(np.frombuffer(blob.as_buffer(), dtype=kind), ids == query, k)
+                chosen = sorted(zip([-s for s in scores], ids[places].tolist(), strict=True))[:k]
+                out[0].extend([query] * len(chosen))
+                out[1].extend(v for _, v in chosen)
+                out[2].extend(max(-LONG, min(LONG - 1, -s)) for s, _ in chosen)
+                out[3].extend(order_key(-s) for s, _ in chosen)
+        elif left.num_rows and right.num_rows:
+            index = Slices(_numbers(left, "values", kind).reshape(-1, dims).astype(np.int64), low, bits)
             ids = _numbers(left, "ids", "<i8")
             for query, blob in zip(right.column("id").to_pylist(), right.column("v"), strict=True):
-                v = np.frombuffer(blob.as_buffer(), dtype="<i4").astype(np.int64)
+                v = np.frombuffer(blob.as_buffer(), dtype=kind).astype(np.int64)
                 own = np.zeros(index.words * 64, dtype=bool)
                 own[: len(ids)] = ids == query
                 places, scores = index.top(v, np.packbits(own, bitorder="little").view(np.uint64), k, drop)
@@ -183,11 +250,14 @@ def topk_search(
                 out[0].extend([query] * len(chosen))
                 out[1].extend(ids[places][chosen].tolist())
                 out[2].extend(scores[chosen].tolist())
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_id", "vec_id", "score"), out, strict=True)})
+                out[3].extend([None] * len(chosen))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+        names = ("query_id", "vec_id", "score", "place")
+        return pa.table({c: pa.array(x, t) for c, x, t in zip(names, out, kinds, strict=True)})
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = quantised(batch.column("v"), dims).astype("<i4")
+            values = read(batch.column("v"), dims).astype(kind)
             yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "v": pa.array([x.tobytes() for x in values], pa.binary())})
 
     index = staged(rows.select("id", "v").mapInArrow(blocks, "block long, n long, ids binary, values binary"), "index")
@@ -197,7 +267,7 @@ def topk_search(
     names = index.select(F.col("block").alias("of_block"), F.col("grp").alias("of_grp"))
     pairs = asked.join(names, F.col("grp") == F.col("of_grp")).select("of_block", "of_grp", "id", "v")
     near = index.groupBy("block", "grp").cogroup(pairs.groupBy("of_block", "of_grp")).applyInArrow(search, result)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import awkward as A
 import numpy as np
@@ -191,8 +192,41 @@ def test_topk_of_few_and_none(spark):
     assert K.topk_search(spark.createDataFrame([], schema), asked).count() == 0
     assert K.topk_search(spark.createDataFrame([(1, [1.0])], schema), asked).count() == 0
     assert K.topk_search(spark.createDataFrame([(0, [1.0])], schema), asked).count() == 0
-    few = K.topk_search(spark.createDataFrame([(0, [1.0]), (3, [1e30]), (2, [-1e30])], schema), asked).collect()
-    assert [(r.rank, r.vec_id, r.score) for r in few] == [(1, 3, 256 * K.LARGEST), (2, 2, -256 * K.LARGEST)]
+    few = K.topk_search(spark.createDataFrame([(0, [1.0]), (3, [1e30]), (2, [-1e30]), (4, [3e30])], schema), asked).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in few] == [(1, 4, 2**63 - 1), (2, 3, 2**63 - 1), (3, 2, -(2**63))]
+
+
+def exact_score(a, b):
+    whole = lambda x: math.floor(Fraction(x) * 256)
+    return sum(whole(x) * whole(y) for x, y in zip(a, b))
+
+
+@pytest.mark.parametrize("largest", [7e4, 1e7, 1e12, 1e200])
+def test_large_components_are_exact(spark, largest):
+    """Among ordinary vectors, with ties, near ties beyond a double's precision, and either sign."""
+    rows = [(k, [float(x) for x in v]) for k, v in vectors(120, 4, 5, 3.0)]
+    r = random.Random(3)
+    rows += [(200 + k, [r.choice([-1, 1]) * largest * (1 + r.randrange(3) * 2.0**-45) for _ in range(4)]) for k in range(60)]
+    rows += [(300, rows[130][1]), (301, rows[130][1]), (302, [0.0] * 4), (310, [largest])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = sorted(tuple(r) for r in K.topk_search(frame, F.col("vec_id") % 10 == 0).collect())
+    expected, by_id = [], dict(rows)
+    for q in sorted(i for i in by_id if i % 10 == 0):
+        scored = sorted((-exact_score(by_id[q], v), i) for i, v in rows if i != q)[:5]
+        expected += [(q, n, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scored, 1)]
+    assert found == expected
+
+
+def test_components_beyond_24_bits(spark):
+    rows = [(0, [1.0]), (1, [70000.0]), (2, [90000.0])]
+    found = K.topk_search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in found] == [(1, 2, 5898240000), (2, 1, 4587520000)]
+
+
+def test_order_keys_sort_as_numbers():
+    r = random.Random(1)
+    numbers = [r.choice([-1, 1]) * r.randrange(10 ** r.randrange(1, 60)) for _ in range(500)] + [0, 9, 10, -9, -10]
+    assert sorted(numbers) == sorted(numbers, key=K.order_key)
 
 
 # LM scoring --------------------------------------------------------------------------------------
