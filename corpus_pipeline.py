@@ -4,7 +4,9 @@ out, and what is left is packed into training sequences.
 Each stage takes (spark, docs, sf_dir) and its result is written as Parquet and read again as the next
 one's docs. All but the last return the columns of `documents`; n_chars follows the text. Rows of
 documents that lose all their text in a stage stay, with an empty text: only toxicity and near copies drop
-documents. A null text stays null while nothing is taken from it.
+documents. A null text stays null while nothing is taken from it. Other columns may have any names, those of an
+operator's results too, and come back as they were; repeated rows, and rows that share an id, are documents
+of their own. Texts are read whole, whatever their length, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -21,37 +23,51 @@ from shelfmark.llm.toxicity import fit, held_out, toxicity
 TOXIC = 0.5
 
 
-def _with_text(docs: DataFrame, columns: list[str], changed: str) -> DataFrame:
-    """Columns of documents, the text replaced where the stage took something from it."""
-    text = F.when(F.col(changed) > 0, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(F.col(changed) > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    values = {"text": text.alias("text"), "n_chars": n_chars.alias("n_chars")}
-    return docs.select(*[values.get(c, F.col(c)) for c in columns])
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with private names for all columns but doc_id and text, so that no result of an operator takes the place
+    of a column that happens to have its name; and the private name of each."""
+    names = {c: c if c in ("doc_id", "text") else f"_column_{k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*[docs[c].alias(n) for c, n in names.items()]), names
+
+
+def _back(rows: DataFrame, names: dict[str, str], changed: str | None = None) -> DataFrame:
+    """Columns of documents under their own names, the text replaced where the stage took something from it."""
+    values = {c: F.col(n) for c, n in names.items()}
+    if changed is not None:
+        cut = F.col(changed) > 0
+        values["text"] = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+        if "n_chars" in names:
+            values["n_chars"] = F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col(names["n_chars"]))
+    return rows.select(*[v.alias(c) for c, v in values.items()])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below TOXIC; learned from the labels of rows that are not held out."""
     labels = ready(spark).read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    scored = toxicity(docs, fit(docs, labels, ~held_out()))
-    return scored.where(F.col("score") < TOXIC).select(*docs.columns)
+    apart, names = _apart(docs)
+    scored = toxicity(apart, fit(apart, labels, ~held_out()))
+    return _back(scored.where(F.col("score") < TOXIC), names)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds too are taken out."""
     ready(spark)
-    return _with_text(line_dedup(docs), docs.columns, "n_dropped")
+    apart, names = _apart(docs)
+    return _back(line_dedup(apart), names, "n_dropped")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     ready(spark)
-    return near_dedup(docs)
+    apart, names = _apart(docs)
+    return _back(near_dedup(apart), names)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside long windows that start anywhere else too are taken out; the others are joined by blanks."""
     ready(spark)
-    return _with_text(substring_dedup(docs), docs.columns, "n_removed")
+    apart, names = _apart(docs)
+    return _back(substring_dedup(apart), names, "n_removed")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
