@@ -94,3 +94,22 @@ def test_blank_tables(spark, tmp_path, rows):
     spark.createDataFrame(rows, COLUMNS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert C.run(spark, folder).count() == len(rows)
+
+
+def test_clashing_columns_and_awkward_rows(spark, tmp_path):
+    """Columns named as results come back as they were, through every stage; repeated rows and ids pass."""
+    from pyspark.sql import functions as F
+
+    names = ["score", "evidence", "n_lines", "n_dropped", "kept_text", "n_removed", "n_words", "component_id", "block", "held_out"]
+    docs = A.frame(spark).select("doc_id", "text", "lang", "source", "n_chars", F.xxhash64("doc_id", "text").alias("tag"))
+    docs = docs.select("*", *[F.concat(F.lit(n), F.col("tag").cast("string")).alias(n) for n in names])
+    spark.createDataFrame([(1, 1, 0), (2, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    known = {r.tag for r in docs.collect()}
+    for name, stage in C.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns, name
+        rows = after.collect()
+        assert rows and all(r[n] == f"{n}{r.tag}" for r in rows for n in names) and {r.tag for r in rows} <= known
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+        docs = spark.createDataFrame(rows, after.schema)
+    assert C.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= docs.count()
