@@ -33,7 +33,7 @@ from shelfmark.session import fresh_dir
 
 # At least so many words, and for each root of the number of distinct words; words for a bucket, buckets at least.
 WORDS = 960
-WORDS_A_ROOT = 20
+WORDS_A_ROOT = 8
 WORDS_A_BUCKET = 15
 BUCKETS = 64
 CLASS = 16  # words of a class at least
