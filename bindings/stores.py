@@ -16,6 +16,7 @@ from shelfmark.schemas import COLUMNS
 from shelfmark.session import fresh_dir
 from shelfmark.sources.readers import read_json_settings, read_text_csv
 from shelfmark.sources.sinks import merge_csv, write_empty_csv, write_url_list
+from shelfmark.sources.store import merge_store, read_store
 
 QUERIES = {}
 SEED = 42
@@ -69,6 +70,25 @@ def merge_csv_twice(spark, sf_dir):
     return read_text_csv(spark, path, COLUMNS["contributors"])
 
 
+@query(
+    "merge_store_twice",
+    r"""
+WITH rows AS (
+  SELECT 0 AS b, ' ' || (s_suppkey // 2 * 2) AS moby_id, s_name, s_nationkey, s_suppkey FROM supplier
+  UNION ALL
+  SELECT 1, ' ' || CAST(floor((s_suppkey - 5) / 2) * 2 AS BIGINT), s_name, s_nationkey, s_suppkey FROM supplier
+)
+SELECT moby_id, '  ' || s_name || chr(9) AS name, '"a",' || chr(10) || s_nationkey AS overview, '' AS "Related Sites"
+FROM rows QUALIFY row_number() OVER (PARTITION BY moby_id ORDER BY b, s_suppkey) = 1""",
+)
+def merge_store_twice(spark, sf_dir):
+    """The same rows as above into a table by cuts: two different merges and one of the same rows again."""
+    path = f"{fresh_dir(spark, 'contributors')}/contributors"
+    for shift in (0, 5, 5):
+        merge_store(people(spark, sf_dir, shift), path, "contributors", ["n"])
+    return read_store(spark, path, "contributors")
+
+
 @query(
     "url_list",
     """
