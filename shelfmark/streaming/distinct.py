@@ -4,36 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmark.sources.store import Cuts, current, publish
 from shelfmark.streaming.batches import BatchTables, run_available
 
-BUCKETS = 64
-
 
 def write_distinct(stream: DataFrame, keys: Sequence[str], path: str) -> StreamingQuery:
     """Append new keys to `<path>/links` until the available input is used up.
 
     Repeats inside a micro-batch go before the exchange, so a hot key does not flood one task; then the
-    keys of earlier batches go by an anti-join with the stored ones. Keys are stored by bucket of
-    their hash, and only buckets that the new keys fall into are read.
+    keys of earlier batches go by a join with the stored ones. These lie in `<path>/known`, in cuts of the key's
+    hash whose number grows with the keys, and only cuts that the new keys fall into are read: the fewer keys a
+    batch has, the smaller is the share of history that it meets. Micro-batch n makes version n + 1 of the stored
+    keys from version n, so a repeated batch starts where it started first.
     """
     tables, keys = BatchTables(path), list(keys)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket")
 
     def each(rows: DataFrame, batch: int) -> None:
-        new = rows.select(*keys).dropDuplicates().select(*keys, bucket).persist()
-        fresh = new
-        known = tables.read_before(rows.sparkSession, "links", batch)
-        if known is not None:
-            met = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
-            known = known.where(F.col("bucket").isin(met)).select(*[F.col(k).alias(f"_{k}") for k in keys])
-            same = F.lit(True)
-            for k in keys:
-                same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-            fresh = new.join(known, same, "left_anti")
-        tables.write(fresh, "links", batch, ["bucket"])
+        spark = rows.sparkSession
+        new = rows.select(*keys).dropDuplicates().persist()
+        cuts = Cuts(f"{tables.path}/known", keys, keys, new.schema)
+        before = current(spark, cuts.path, batch)
+        tables.write(cuts.unknown(new, before), "links", batch)
         new.unpersist()
+        if current(spark, cuts.path).version <= batch:
+            fresh = tables.read_one(spark, "links", batch)
+            after = cuts.add(before, fresh, fresh.count())
+            after.version = batch + 1
+            publish(spark, cuts.path, after)
 
     return run_available(stream, each, path)

@@ -57,15 +57,15 @@ def test_only_new_rows_are_written(spark, tmp_path, monkeypatch):
 
 def test_crash_before_the_switch_leaves_the_old_table(spark, tmp_path, monkeypatch):
     S.merge_store(people(spark, [("1", "Ann", "")]), str(tmp_path), "contributors", ["n"])
-    publish = S._publish
+    publish = S.publish
 
     def lost(*_):
         raise OSError("lost")
 
-    monkeypatch.setattr(S, "_publish", lost)
+    monkeypatch.setattr(S, "publish", lost)
     with pytest.raises(OSError, match="lost"):
         S.merge_store(people(spark, [("2", "Bo", "")]), str(tmp_path), "contributors", ["n"])
-    monkeypatch.setattr(S, "_publish", publish)
+    monkeypatch.setattr(S, "publish", publish)
     assert stored(spark, tmp_path) == [("1", "Ann", "")]
     assert len(S.vacuum(spark, str(tmp_path))) == 1
     S.merge_store(people(spark, [("2", "Bo", "")]), str(tmp_path), "contributors", ["n"])
@@ -75,7 +75,7 @@ def test_crash_before_the_switch_leaves_the_old_table(spark, tmp_path, monkeypat
 def test_of_two_merges_at_once_one_fails(spark, tmp_path):
     S.merge_store(people(spark, [("1", "Ann", "")]), str(tmp_path), "contributors", ["n"])
     with pytest.raises(OSError, match="came first"):
-        S._publish(spark, str(tmp_path), S.Manifest(1))
+        S.publish(spark, str(tmp_path), S.Manifest(1))
 
 
 def test_empty_and_null_keys(spark, tmp_path):

@@ -118,6 +118,34 @@ def test_distinct_stream(spark, tmp_path):
         assert tuples(links, "url") == [("a",), ("b",), ("c",), ("d",)]
 
 
+def test_distinct_reads_a_share_of_history(spark, tmp_path, monkeypatch):
+    """The fewer keys a batch has, the fewer folders of stored keys it reads; nulls are keys too."""
+    from shelfmark.sources import store
+
+    monkeypatch.setattr(store, "ROWS_PER_CUT", 50)
+    folder, path, reads = tmp_path / "in", str(tmp_path / "out"), []
+    unknown = store.Cuts.unknown
+
+    def counted(cuts, first, before):
+        read = store.Cuts.read
+        names = []
+        monkeypatch.setattr(store.Cuts, "read", lambda c, s, n: names.extend(n) or read(c, s, n))
+        found = unknown(cuts, first, before)
+        monkeypatch.setattr(store.Cuts, "read", read)
+        reads.append((len(names), len(before.folders())))
+        return found
+
+    monkeypatch.setattr(store.Cuts, "unknown", counted)
+    batches = [[f"u{k}" for k in range(1000)] + [None], ["u7", None], ["new"], [f"v{k}" for k in range(300)]]
+    for urls in batches:
+        files(folder, spark.createDataFrame([(u,) for u in urls], "url string"))
+        finish(write_distinct(parquet_stream(spark, str(folder), "*.parquet"), ["url"], path))
+    links = BatchTables(path).read_all(spark, "links")
+    assert tuples(links, "url") == sorted({(u,) for b in batches for u in b}, key=lambda r: [(x is None, str(x)) for x in r])
+    (none, _), (two, all_two), (one, all_one), (many, all_many) = reads
+    assert none == 0 and all_two >= 8 and 1 <= two <= 2 and one <= 2 and many > all_many // 2
+
+
 def test_review_stream_equals_batch(spark, tmp_path):
     refs = ReviewReferences(
         spark.createDataFrame([("ann", digest("pw"))], "username string, password_hash string"),
