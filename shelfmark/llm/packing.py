@@ -7,9 +7,11 @@ cost(j) = length + penalty(j) + min cost(i) over all i at most `length` tokens b
 minimum slides along with j, so a queue of rising costs gives it in constant time. A
 partition is solved piece by piece; the last sequence of a piece stays open and starts the next.
 
-A sequence is padded to `length` unless its own length is a power of two. So the rest at the end of
-a partition, which no later document can fill, is cut into powers of two. Nothing is shuffled, and each
-task holds about STREAM tokens and one document.
+The last sequence of a partition, less than `length` tokens, is its tail. Tails go on to a next pass: those of
+TAILS partitions in a row form a stream of their own in one group and are packed by the same programme, and so
+on with the tails of the groups until one is left. A sequence is padded to `length` unless its own length is a power of
+two, so that last rest, which no document can fill, is cut into powers of two: one rest, however the input
+is split. Only tails are shuffled, and each task holds about STREAM tokens and one document, or TAILS tails.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.blocks import ready
+from shelfmark.llm.blocks import ready, staged
 
 LENGTH = 2048
 END_ID = 1
@@ -34,6 +36,7 @@ SENTENCE_PENALTY = 4
 INNER_PENALTY = 24
 STRIDE = 32
 STREAM = 1 << 20
+TAILS = 1 << 10  # tails that are packed together
 # Where a blank stands before anything but white space, a token of a byte-level tokenizer starts.
 CUT = re.compile(r"(?= \S)")
 # Latin letters, digits, marks, blanks and line feeds: cut alike by the tokenizers library and by tiktoken.
@@ -132,17 +135,21 @@ def best_cuts(places: list[int], penalties: list[int], length: int) -> list[int]
 
 
 class Packer:
-    """The open part of a partition's stream: (id, tokens in all, first open token, open tokens)."""
+    """The open part of a stream: (id, tokens in all, first open token, open tokens)."""
 
     def __init__(self, length: int, sentence: np.ndarray, sequence: int) -> None:
         self.length, self.sentence, self.sequence = length, sentence, sequence
         self.open: list[tuple[object, int, int, np.ndarray]] = []
         self.size = 0
 
-    def add(self, name, ids: np.ndarray) -> None:
-        self.open.append((name, len(ids), 0, ids))
+    def add(self, name, ids: np.ndarray, total: int | None = None, first: int = 0) -> None:
+        self.open.append((name, len(ids) if total is None else total, first, ids))
         self.size += len(ids)
 
+    def tail(self) -> list[tuple]:
+        """The open documents as pieces of no sequence yet, in order."""
+        return [(name, first, len(ids), ids.tobytes(), total, None, k) for k, (name, total, first, ids) in enumerate(self.open)]
+
     def flush(self, last: bool) -> list[tuple]:
         """Pieces of all finished sequences; at the end of all."""
         if not self.open:
@@ -202,31 +209,60 @@ def pack(
     little-endian unsigned 32 bit), `doc_tokens`, `sequence_id` and `offset` in the sequence.
 
     Null and empty texts have the end token alone. Every row is a document of its own, equal ones and
-    those with equal or null ids too. Other columns of docs are left out. Sequences are numbered within
-    their partition, which gives the leading bits; documents keep the order of the rows.
+    those with equal or null ids too. A text is encoded whole, whatever its length, and may fill many sequences. Other
+    columns of docs are left out, whatever their names; an empty table gives no rows. Sequences are numbered within
+    their partition or group of tails, which gives the leading bits; documents keep the order of the rows.
     """
     ready(docs.sparkSession)
     kind = docs.schema[id].dataType.simpleString()
-    schema = (
-        f"`{id}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    )
     names = (id, "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    schema = f"`{id}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, _part long"
+
+    def pieces(found: list[tuple], part: int, kinds) -> pa.RecordBatch:
+        columns = [*zip(*found, strict=True)] or [()] * len(names)
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([part] * len(found), pa.int64())], [*names, "_part"])
+
+    def kinds_of(batch) -> tuple:
+        return batch.schema.field(id).type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(path)
-        packer = Packer(length, bpe.sentence, TaskContext.get().partitionId() << 40)
-        kinds = None
+        bpe, part = byte_bpe(path), TaskContext.get().partitionId()
+        packer, kinds = Packer(length, bpe.sentence, part << 40), None
         for batch in batches:
-            kinds = kinds or (batch.schema.field(id).type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3)
+            kinds = kinds or kinds_of(batch)
             for name, words in zip(batch.column(id).to_pylist(), batch.column(text), strict=True):
                 packer.add(name, np.append(bpe.encode(words.as_py() or ""), np.uint32(end_id)).astype("<u4"))
                 if packer.size >= STREAM:
-                    yield table(packer.flush(False), kinds)
+                    yield pieces(packer.flush(False), part, kinds)
         if packer.open:
-            yield table(packer.flush(True), kinds)
-
-    def table(pieces: list[tuple], kinds) -> pa.RecordBatch:
-        columns = list(zip(*pieces, strict=True)) or [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], list(names))
-
-    return docs.select(id, text).mapInArrow(run, schema)
+            yield pieces(packer.flush(False), part, kinds)
+            yield pieces(packer.tail(), part, kinds)
+
+    def tails(level: int, last: bool):
+        def run(table: pa.Table) -> pa.Table:
+            group = table.column("_part")[0].as_py() // TAILS
+            table = table.sort_by([("_part", "ascending"), ("offset", "ascending")])
+            packer, kinds, out = Packer(length, byte_bpe(path).sentence, (1 << 62) + (level << 58) + (group << 40)), kinds_of(table), []
+            for row in table.to_pylist():
+                packer.add(row[id], np.frombuffer(row["ids"], dtype="<u4"), row["doc_tokens"], row["start"])
+                if packer.size >= STREAM:
+                    out.append(pieces(packer.flush(False), group, kinds))
+            out.append(pieces(packer.flush(last), group, kinds))
+            if packer.open:
+                out.append(pieces(packer.tail(), group, kinds))
+            return pa.Table.from_batches(out)
+
+        return run
+
+    level, found = 0, staged(docs.select(id, text).mapInArrow(run, schema), "pieces")
+    result = found.where("sequence_id IS NOT NULL").select(*names)
+    while True:
+        level, rest = level + 1, found.where("sequence_id IS NULL")
+        most = rest.agg(F.max("_part")).first()[0]
+        if most is None:
+            return result
+        last = most < TAILS
+        packed = rest.groupBy(F.floor(F.col("_part") / TAILS)).applyInArrow(tails(level, last), schema)
+        found = staged(packed, "tails")
+        result = result.unionByName(found.where("sequence_id IS NOT NULL").select(*names))

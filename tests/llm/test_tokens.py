@@ -1,3 +1,4 @@
+from collections import Counter
 import random
 
 import awkward as A
@@ -145,3 +146,19 @@ def test_rows_of_one_id_are_documents_of_their_own(spark):
     assert sum(r.start == 0 for r in rows) == docs.count()
     assert sum(r.doc_id is None and r.start == 0 for r in rows) == 2
     assert P.pack(A.empty(spark), BYTE).count() == 0
+
+
+@pytest.mark.parametrize("tails", [1024, 4])
+def test_tails_are_packed_however_the_input_is_split(spark, monkeypatch, tails):
+    """Of many small partitions only one rest is cut into powers of two; groups of tails in several levels."""
+    monkeypatch.setattr(P, "TAILS", tails)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").repartition(40, "doc_id")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    rows = P.pack(docs, BYTE).collect()
+    check_pieces(rows, texts, 2048, Tokenizer.from_file(BYTE))
+    sizes = Counter()
+    for r in rows:
+        sizes[r.sequence_id] += r.length
+    scraps = [n for n in sizes.values() if n < 2048 and n & (n - 1) == 0]
+    assert len(scraps) <= 11 + 3 and sum(sizes.values()) > 40 * 2048
+    assert sum(scraps) < 0.02 * sum(sizes.values())
