@@ -1,19 +1,20 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Features are words, and runs of 4 and 5 bytes inside words, so that inflected forms of a stem
-meet. Of all features of the examples those are used whose presence raises the share of toxic examples,
-at most MAX_FEATURES by their z-score. Examples are a bounded sample: at most MAX_EXAMPLES rows of each
-label, the first in the order of a hash of their id; features are counted over all of them. The index is
-thus bounded too (MAX_EXAMPLES x 2 examples, MAX_FEATURES features) and goes to every task.
-
-The index holds examples in blocks of similar ones. A posting list is dense inside a block and absent
-elsewhere, and each feature has its largest weight in each block. For a text the largest weights bound the
-cosine any example of a block can reach; blocks are visited by falling bound until the bound is below
-the k-th best cosine, so the nearest examples are exact. Texts with equal vectors are looked up once.
-
-The score is the weighted share of toxic ones among the nearest examples: each votes with its squared cosine times how
-many labelled rows of its label it stands for, beside a prior of the labelled rows' toxic share. Texts without
-a feature get that share.
+Terms are words, lower-cased in A-Z. Every term of the examples is in the index. A term's weight in a text is
+(1 + ln tf) x idf x relevance: idf comes from the document frequencies over all documents, relevance says how sure the
+examples are that the term goes with a label, either one: RELEVANCE_BASE plus as much of the absolute log odds ratio as is
+left after twice its standard error. Terms that tell little keep the base, so texts still meet by what they are about.
+
+Examples are a bounded sample: at most MAX_EXAMPLES rows of each label and MAX_BYTES of their texts, the first in the
+order of a hash. The index of them is thus bounded too and goes to every task.
+
+The index holds examples in blocks of similar ones. A posting list is cut by blocks, and each cut knows its largest
+weight. For a text these bound the cosine that any example of a block can reach; blocks are visited by falling bound until
+the bound is below the k-th best cosine, so the nearest examples are exact. Texts with equal vectors are looked up once.
+
+The score is the weighted share of toxic ones among the nearest examples: each votes with its squared cosine over its
+distance, times how many labelled rows of its label it stands for, beside a prior of the labelled rows' toxic share. Texts
+without a term of the index get that share.
 """
 
 from __future__ import annotations
@@ -27,145 +28,201 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm import blocks as B, words as W
 
+#: Bounds of the labelled sample, for each label: rows, and bytes of their texts (the first row always counts).
 MAX_EXAMPLES = 4096
-MAX_FEATURES = 512
+MAX_BYTES = 1 << 24
 NEIGHBOURS = 15
 EVIDENCE = 3
 BLOCK = 64
-GRAMS = (4, 5)
-# A feature needs this many toxic examples and this ratio of toxic to other shares.
-LEAST_TOXIC = 5
-LEAST_RATIO = 4.0
-# Votes of the prior, in nearest examples of cosine 1.
-PRIOR_VOTES = 0.25
+# Blocks looked at first; each further step looks at twice as many.
+FIRST_BLOCKS = 4
+RELEVANCE_BASE = 0.3
+# Votes of the prior, and the distance added to every distance.
+PRIOR_VOTES = 0.05
+LEAST_DISTANCE = 0.001
 SLICE_BYTES = 1 << 20
+SIEVE = 1 << 22
 
 #: Bytes between words: all of ASCII but letters and digits. Other bytes belong to letters.
 GAPS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def features(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For slices of the texts: number of the first text, text of each feature met, and its hash."""
+def terms(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For slices of the texts: number of the first text, text of each word, and its hash."""
     buf, offsets = W.buffers(texts)
     first = 0
     while first < len(offsets) - 1:
         to = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
-        yield first, *_features(W.LOWER[buf[offsets[first] : offsets[to]]], offsets[first : to + 1] - offsets[first])
+        part = W.LOWER[buf[offsets[first] : offsets[to]]]
+        starts, ends, firsts = W.spans(part, offsets[first : to + 1] - offsets[first], GAPS)
+        yield first, np.repeat(np.arange(to - first), np.diff(firsts)), W.word_hashes(part, starts, ends)
         first = to
 
 
-def _features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts, ends, firsts = W.spans(buf, offsets, GAPS)
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
-    owners, hashes = [owner], [W.word_hashes(buf, starts, ends)]
-    letters = W.mix(buf.astype(np.uint64) + np.uint64(1))
-    for n in GRAMS:
-        counts = np.maximum(ends - starts - n + 1, 0)
-        if counts.sum() == 0:
-            continue
-        at = W.rows_of(starts, counts)
-        h = np.full(len(at), n, dtype=np.uint64)
-        for j in range(n):
-            h = h * np.uint64(W.ODD) + letters[at + j]
-        owners.append(np.repeat(owner, counts))
-        hashes.append(W.mix(h))
-    return np.concatenate(owners), np.concatenate(hashes)
+@dataclass
+class Terms:
+    """Sorted hashes of the terms in use."""
+
+    names: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.sieve = np.zeros(SIEVE, dtype=bool)
+        self.sieve[(self.names & np.uint64(SIEVE - 1)).astype(np.int64)] = True
+
+    def counts(self, owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, place of the term and how often it occurs there, by text and place; other words are left out."""
+        met = np.flatnonzero(self.sieve[hashes & np.uint64(SIEVE - 1)])
+        if len(met) == 0:
+            none = np.zeros(0, dtype=np.int64)
+            return none, none, none
+        at = np.minimum(np.searchsorted(self.names, hashes[met]), len(self.names) - 1)
+        right = self.names[at] == hashes[met]
+        keys, counts = np.unique(owner[met[right]] * len(self.names) + at[right], return_counts=True)
+        return keys // len(self.names), keys % len(self.names), counts
+
+
+def unit(owner: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Entries of unit vectors; an owner's entries lie together, and `weights` are those of their terms."""
+    values = (1 + np.log(counts)) * weights
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    norms = np.sqrt(np.add.reduceat(values * values, first)) if len(first) else np.zeros(0)
+    return values / np.repeat(norms, np.diff(np.append(first, len(owner))))
+
+
+def relevance(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
+    """Weight of terms by the number of toxic and of other examples that hold them."""
+    cells = [toxic + 0.5, n_toxic - toxic + 0.5, other + 0.5, n_other - other + 0.5]
+    ratio = np.abs(np.log(cells[0] * cells[3] / (cells[1] * cells[2])))
+    return RELEVANCE_BASE + np.maximum(0, ratio - 2 * np.sqrt(sum(1 / c for c in cells)))
 
 
 @dataclass
 class Index:
-    """Features and their idf, examples by blocks, weights (block, feature, example), largest weights."""
+    """Terms and their weights; examples in blocks; posting lists by term, block and example."""
 
-    names: np.ndarray
-    idf: np.ndarray
+    terms: Terms
+    weights: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
     votes: np.ndarray  # how many labelled rows an example of label 0, of label 1 stands for
     prior: float
-    weights: np.ndarray
-    largest: np.ndarray
-    sieve: np.ndarray
-
-    def vectors(self, n: int, owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Texts with a feature, and their unit vectors."""
-        met = np.flatnonzero(self.sieve[hashes & np.uint64(0xFFFF)])
-        at = np.minimum(np.searchsorted(self.names, hashes[met]), max(0, len(self.names) - 1))
-        right = self.names[at] == hashes[met] if len(self.names) else np.zeros(len(met), dtype=bool)
-        owner, at = owner[met[right]], at[right]
-        texts, row = np.unique(owner, return_inverse=True)
-        counts = np.zeros((len(texts), len(self.names)))
-        np.add.at(counts, (row, at), 1)
-        return texts, unit(counts, self.idf)
-
-    def nearest(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    cuts: np.ndarray  # first cut of each term's list, one more at the end
+    block: np.ndarray  # of each cut: its block,
+    largest: np.ndarray  # its largest entry,
+    first: np.ndarray  # and its first posting, one more at the end
+    example: np.ndarray  # of each posting
+    entry: np.ndarray
+
+    def nearest(self, at: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, ties to the smaller place; cosine 0 is none."""
-        terms = np.flatnonzero(q)
-        bounds = q[terms] @ self.largest[terms]
+        n = self.cuts[at + 1] - self.cuts[at]
+        cuts, weight = W.rows_of(self.cuts[at], n), np.repeat(q, n)
+        block = self.block[cuts]
+        bounds = np.bincount(block, weight * self.largest[cuts], minlength=-(-len(self.ids) // BLOCK))
+        order = np.argsort(-bounds, kind="stable")
         places, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(cosines) == k and bounds[block] < cosines[-1] - 1e-12):
+        done, step = 0, FIRST_BLOCKS
+        while done < len(order):
+            least = cosines[-1] - 1e-9 if len(cosines) == k else 0.0
+            now = order[done : done + step]
+            now = now[(bounds[now] > 0) & (bounds[now] >= least)]
+            if len(now) == 0:
                 break
-            mine = q[terms] @ self.weights[block, terms]
-            places = np.append(places, np.arange(block * BLOCK, (block + 1) * BLOCK))
-            cosines = np.append(cosines, np.round(mine, 12))
-            order = np.lexsort((places, -cosines))[:k]
-            order = order[cosines[order] > 0]
-            places, cosines = places[order], cosines[order]
+            wanted = np.zeros(len(bounds), dtype=bool)
+            wanted[now] = True
+            mine = np.flatnonzero(wanted[block])
+            size = self.first[cuts[mine] + 1] - self.first[cuts[mine]]
+            postings = W.rows_of(self.first[cuts[mine]], size)
+            sums = np.bincount(self.example[postings], self.entry[postings] * np.repeat(weight[mine], size))
+            found = np.flatnonzero(sums > least)
+            places = np.append(places, found)
+            cosines = np.append(cosines, np.minimum(1, np.round(sums[found], 12)))
+            best = np.lexsort((places, -cosines))[:k]
+            best = best[cosines[best] > 0]
+            places, cosines = places[best], cosines[best]
+            done, step = done + step, 2 * step
         return places, cosines
 
     def score(self, places: np.ndarray, cosines: np.ndarray) -> float:
-        votes = cosines * cosines * self.votes[self.toxic[places]]
+        votes = cosines * cosines / (1 - cosines + LEAST_DISTANCE) * self.votes[self.toxic[places]]
         weight = PRIOR_VOTES * self.votes.mean()
         return float((weight * self.prior + votes[self.toxic[places] == 1].sum()) / (weight + votes.sum()))
 
 
-def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
-    norms = np.sqrt((weights * weights).sum(axis=1, keepdims=True))
-    return weights / np.where(norms > 0, norms, 1)
-
-
-def build_index(names: np.ndarray, df: np.ndarray, n_examples: int, rows: list[tuple], labelled: tuple[int, int]) -> Index:
-    """`rows`: (id, label, {feature place: count}) of all examples; `labelled`: rows of label 0 and 1 they stand for."""
-    order = np.argsort(names)
-    place = np.empty(len(order), dtype=np.int64)
+def build_index(
+    found: Terms, df: np.ndarray, n_docs: int, rows: list[tuple[int, int, np.ndarray, np.ndarray]], labelled: tuple[int, int]
+) -> Index:
+    """`rows`: (id, label, rising places of terms, their counts) of all examples; `df`: documents of `n_docs` that hold
+    each term; `labelled`: rows of label 0 and 1 that the examples stand for."""
+    label = np.array([r[1] for r in rows], dtype=np.int64)
+    sampled = np.bincount(label, minlength=2)
+    size = np.array([len(r[2]) for r in rows], dtype=np.int64)
+    owner = np.repeat(np.arange(len(rows)), size)
+    term = np.concatenate([np.zeros(0, dtype=np.int64), *[r[2] for r in rows]])
+    counts = np.concatenate([np.zeros(0, dtype=np.int64), *[r[3] for r in rows]])
+    held = [np.bincount(term[label[owner] == y], minlength=len(df)) for y in (0, 1)]
+    weights = (np.log((1 + n_docs) / (1 + df)) + 1) * relevance(held[1], held[0], int(sampled[1]), int(sampled[0]))
+    entry = unit(owner, counts, weights[term])
+    # Similar examples lie together: those of a label with the same heaviest term.
+    heaviest = np.zeros(len(rows), dtype=np.int64)
+    order = np.lexsort((entry, owner))
+    heaviest[owner[order]] = term[order]
+    ids = np.array([r[0] for r in rows], dtype=np.int64)
+    order = np.lexsort((np.arange(len(rows)), ids, heaviest, label))
+    order = order[size[order] > 0]
+    place = np.zeros(len(rows), dtype=np.int64)
     place[order] = np.arange(len(order))
-    names, idf = names[order], np.log((1 + n_examples) / (1 + df[order])) + 1
-    sampled = np.bincount([label for _, label, _ in rows], minlength=2)
-    counts = np.zeros((len(rows), len(names)))
-    for k, (_, _, found) in enumerate(rows):
-        for feature, c in found:
-            counts[k, place[feature]] = c
-    vectors = unit(counts, idf)
-    held = np.flatnonzero(vectors.any(axis=1))
-    lead = vectors[held].argmax(axis=1) if len(held) else held
-    held = held[np.lexsort((np.array([rows[k][0] for k in held.tolist()], dtype=np.int64), lead))]
-    blocks = max(1, -(-len(held) // BLOCK))
-    weights = np.zeros((blocks * BLOCK, len(names)))
-    weights[: len(held)] = vectors[held]
-    weights = np.ascontiguousarray(weights.reshape(blocks, BLOCK, len(names)).transpose(0, 2, 1))
-    pad = np.zeros(blocks * BLOCK - len(held), dtype=np.int64)
-    sieve = np.zeros(1 << 16, dtype=bool)
-    sieve[(names & np.uint64(0xFFFF)).astype(np.int64)] = True
+    example = place[owner]
+    by = np.lexsort((example, term))
+    term, example, entry = term[by], example[by], entry[by]
+    block = example // BLOCK
+    new = (np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0)
+    first = np.flatnonzero(new)
     total = max(1, sum(labelled))
     return Index(
-        names,
-        idf,
-        np.append(np.array([rows[k][0] for k in held.tolist()], dtype=np.int64), pad),
-        np.append(np.array([rows[k][1] for k in held.tolist()], dtype=np.int64), pad),
-        np.array([labelled[0] / max(1, sampled[0]), labelled[1] / max(1, sampled[1])]),
-        labelled[1] / total,
+        found,
         weights,
-        np.ascontiguousarray(weights.max(axis=2).T),
-        sieve,
+        ids[order],
+        label[order],
+        np.array([labelled[y] / max(1, int(sampled[y])) for y in (0, 1)]),
+        labelled[1] / total,
+        np.searchsorted(term[first], np.arange(len(df) + 1)),
+        block[first].astype(np.int32),
+        np.maximum.reduceat(entry, first) if len(first) else entry,
+        np.append(first, len(term)),
+        example.astype(np.int32),
+        entry,
     )
 
 
+def document_frequencies(docs: DataFrame, found: Terms, text: str = "text") -> np.ndarray:
+    """How many documents hold each of the terms: a task adds up its own, then one sum for each term is taken."""
+    shared = docs.sparkSession.sparkContext.broadcast(found)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = shared.value
+        total = np.zeros(len(found.names), dtype=np.int64)
+        for batch in batches:
+            for _, owner, hashes in terms(batch.column("text")):
+                total += np.bincount(found.counts(owner, hashes)[1], minlength=len(total))
+        at = np.flatnonzero(total)
+        for k in range(0, len(at), 1 << 16):
+            part = at[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_pydict({"term": pa.array(part.astype(np.int32)), "n": pa.array(total[part])})
+
+    sums = docs.select(F.col(text).alias("text")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = sums.toArrow()  # as many rows as the index has terms
+    df = np.zeros(len(found.names), dtype=np.int64)
+    df[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
+    return df
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Index:
     """Index of labelled documents where `learn` holds (an expression over the labels).
 
     Labels other than 0 and 1 and rows with a null id are left out; of several labels of an id the largest
-    counts, of several documents of an id each is an example.
+    counts. Of several documents of an id each is an example of its own, equal ones are one. The bounds hold for rows:
+    an id with very many documents does not lift them.
     """
     B.ready(docs.sparkSession)
     known = (
@@ -175,48 +232,50 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id: str = "doc_id", t
     )
     labelled = known.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
     picked = None
-    for y in (0, 1):  # at most MAX_EXAMPLES each
+    for y in (0, 1):  # at most MAX_EXAMPLES ids each
         some = known.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(MAX_EXAMPLES)
         picked = some if picked is None else picked.unionByName(some)
     picked = B.staged(picked, "examples")
-    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")
+    texts = docs.select(
+        F.col(id).cast("long").alias("id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+    ).withColumn("h", F.xxhash64("id", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ys = batch.column("id").to_numpy(), batch.column("label").to_numpy()
-            for first, owner, hashes in features(batch.column("text")):
-                pairs, counts = np.unique(np.rec.fromarrays([owner, hashes]), return_counts=True)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": pa.array(ids[first + pairs["f0"]]),
-                        "label": pa.array(ys[first + pairs["f0"]].astype(np.int32)),
-                        "feature": pa.array(pairs["f1"].view(np.int64)),
-                        "c": pa.array(counts),
-                    }
-                )
-
-    counted = B.staged(texts.mapInArrow(count, "id long, label int, feature long, c long"), "features")
-    n = [max(1, min(MAX_EXAMPLES, x)) for x in labelled]
-    df = counted.groupBy("feature").agg(F.count_if(F.col("label") == 0).alias("a"), F.count_if(F.col("label") == 1).alias("b"))
-    p, q = (F.col("a") + 0.5) / (n[0] + 1), (F.col("b") + 0.5) / (n[1] + 1)
-    z = (q - p) / F.sqrt(p * (1 - F.least(p, F.lit(0.999))) / n[0] + q * (1 - F.least(q, F.lit(0.999))) / n[1])
-    chosen = (
-        df.where((F.col("b") >= LEAST_TOXIC) & (q >= LEAST_RATIO * p))
-        .withColumn("z", F.round(z, 9))
-        .orderBy(F.desc("z"), "feature")
-        .limit(MAX_FEATURES)
-        .collect()
-    )
-    names = np.array([r["feature"] for r in chosen], dtype=np.int64)
-    number = {f: k for k, f in enumerate(names.tolist())}
-    wanted = counted.sparkSession.createDataFrame([(f,) for f in number], "feature long")
-    found = counted.join(F.broadcast(wanted), "feature").groupBy("id", "label").agg(F.collect_list(F.struct("feature", "c")).alias("f"))
-    rows = [(r["id"], r["label"], [(number[x["feature"]], x["c"]) for x in r["f"]]) for r in found.orderBy("id").collect()]
-    # Examples without a feature are in no list, but their number sets the votes of the others.
-    held = np.bincount([y for _, y, _ in rows], minlength=2)
-    rows += [(-1, y, []) for y in (0, 1) for _ in range(max(0, min(MAX_EXAMPLES, labelled[y]) - int(held[y])))]
-    df_of = np.array([r["a"] + r["b"] for r in chosen], dtype=np.float64)
-    return build_index(names.view(np.uint64), df_of, sum(n), rows, (labelled[0], labelled[1]))
+            found = [(b"", b"")] * batch.num_rows
+            for first, owner, hashes in terms(batch.column("text")):
+                border = np.searchsorted(owner, np.arange(int(owner[-1]) + 2)) if len(owner) else np.zeros(1, dtype=np.int64)
+                for k in range(len(border) - 1):
+                    names, n = np.unique(hashes[border[k] : border[k + 1]], return_counts=True)
+                    found[first + k] = names.tobytes(), n.astype(np.int32).tobytes()
+            yield pa.RecordBatch.from_pydict(
+                {c: batch.column(c) for c in ("id", "label", "h")}
+                | {
+                    "bytes": pa.array(B.text_bytes(batch.column("text"))),
+                    "names": pa.array([a for a, _ in found], pa.binary()),
+                    "counts": pa.array([b for _, b in found], pa.binary()),
+                }
+            )
+
+    counted = texts.join(F.broadcast(picked), "id").select("id", "label", "h", "text")
+    schema = "id long, label int, h long, bytes long, names binary, counts binary"
+    counted = B.staged(counted.mapInArrow(count, schema).dropDuplicates(["id", "h"]), "terms")
+    chosen = []
+    for y in (0, 1):
+        some = counted.where(F.col("label") == y).select("id", "h", "bytes").orderBy("h", "id").limit(MAX_EXAMPLES).collect()
+        upto = np.cumsum([r["bytes"] for r in some])
+        chosen += [(r["id"], r["h"]) for k, r in enumerate(some) if k == 0 or upto[k] <= MAX_BYTES]
+    wanted = counted.sparkSession.createDataFrame(chosen, "id long, h long")
+    examples = counted.join(F.broadcast(wanted), ["id", "h"], "left_semi").orderBy("id", "h").collect()
+    lists = [(np.frombuffer(r["names"], dtype=np.uint64), np.frombuffer(r["counts"], dtype=np.int32)) for r in examples]
+    found = Terms(np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[names for names, _ in lists]])))
+    df = document_frequencies(docs, found, text)
+    rows = [
+        (r["id"], r["label"], np.searchsorted(found.names, names), counts.astype(np.int64))
+        for r, (names, counts) in zip(examples, lists, strict=True)
+    ]
+    return build_index(found, df, docs.count(), rows, (labelled[0], labelled[1]))
 
 
 RESULTS = "score double, evidence array<struct<doc_id: long, toxic: int, similarity: double>>"
@@ -225,9 +284,10 @@ RESULTS = "score double, evidence array<struct<doc_id: long, toxic: int, similar
 def toxicity(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
     """Columns of docs with `score` (0 to 1) and `evidence`, the nearest examples.
 
-    Null and empty texts have no feature: they get the share of toxic rows among the labelled, and no
-    evidence; without labels the score is 0. Whole texts count. Equal texts have equal scores. Columns of docs that
-    bear a result's name are replaced.
+    Null and empty texts have no term: they get the share of toxic rows among the labelled, and no
+    evidence; without labels the score is 0. Whole texts count, however long. Equal texts have equal scores. Examples at
+    the same distance count in the order of their places in the index. Columns of docs that bear a result's name are
+    replaced.
     """
     spark = B.ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(index)
@@ -239,14 +299,17 @@ def toxicity(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
         known: dict[bytes, tuple] = {}
         for batch in batches:
             scores, evidence = np.full(batch.num_rows, index.prior), [[] for _ in range(batch.num_rows)]
-            for first, owner, hashes in features(batch.column(text)):
-                texts, vectors = index.vectors(batch.num_rows, owner, hashes)
-                for k, q in zip((first + texts).tolist(), vectors, strict=True):
-                    name = q.tobytes()
+            for first, owner, hashes in terms(batch.column(text)):
+                owner, at, counts = index.terms.counts(owner, hashes)
+                vector = unit(owner, counts, index.weights[at])
+                border = np.flatnonzero(np.diff(owner, prepend=-1, append=batch.num_rows))
+                for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True):
+                    k = first + int(owner[a])
+                    name = at[a:b].tobytes() + counts[a:b].tobytes()
                     if name not in known:
                         if len(known) >= 2000:
                             known.clear()
-                        places, cosines = index.nearest(q, NEIGHBOURS)
+                        places, cosines = index.nearest(at[a:b], vector[a:b], NEIGHBOURS)
                         best = [
                             {"doc_id": int(index.ids[p]), "toxic": int(index.toxic[p]), "similarity": float(c)}
                             for p, c in zip(places[:EVIDENCE], cosines[:EVIDENCE], strict=True)

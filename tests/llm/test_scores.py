@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 from fractions import Fraction
 
@@ -38,7 +39,7 @@ def test_held_out_documents_are_told_apart(spark):
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     labels = spark.createDataFrame(labels, "doc_id long, toxic int")
     index = X.fit(docs, labels, ~X.held_out())
-    assert not any(X_held(i) for i in index.ids[index.weights.transpose(0, 2, 1).reshape(-1, len(index.names)).any(axis=1)].tolist())
+    assert not any(X_held(i) for i in index.ids.tolist())
     rows = X.toxicity(docs, index).where(X.held_out()).join(labels, "doc_id").collect()
     assert len(rows) > 40
     assert sum((r.score >= 0.5) != (r.toxic == 1) for r in rows) <= 1
@@ -51,34 +52,112 @@ def X_held(id):
     return zlib.crc32(str(id).encode()) % 5 == 0
 
 
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def plain_scores(docs, examples, labelled):
+    """Scores by the definition: `examples` are (text, label), `labelled` the labelled rows of either label."""
+    df = Counter(w for text in docs for w in set(plain_words(text)))
+    counts = [Counter(plain_words(text)) for text, _ in examples]
+    n = Counter(y for _, y in examples)
+    held = {y: Counter(w for c, (_, z) in zip(counts, examples, strict=True) if z == y for w in c) for y in (0, 1)}
+
+    def weight(w):
+        a, b, c, d = held[1][w] + 0.5, n[1] - held[1][w] + 0.5, held[0][w] + 0.5, n[0] - held[0][w] + 0.5
+        sure = abs(math.log(a * d / (b * c))) - 2 * math.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+        return (math.log((1 + len(docs)) / (1 + df[w])) + 1) * (0.3 + max(0, sure))
+
+    weights = {w: weight(w) for c in counts for w in c}
+
+    def unit(c):
+        v = {w: (1 + math.log(x)) * weights[w] for w, x in c.items() if w in weights}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = [unit(c) for c in counts]
+    stands = [labelled[y] / max(1, n[y]) for y in (0, 1)]
+    scores = []
+    for text in docs:
+        q = unit(Counter(plain_words(text)))
+        near = sorted((-min(1, round(sum(x * v.get(w, 0) for w, x in q.items()), 12)), y) for v, (_, y) in zip(vectors, examples, strict=True))
+        votes = [0.0, 0.0]
+        for c, y in [(-c, y) for c, y in near[:15] if c < 0]:
+            votes[y] += c * c / (1 - c + 0.001) * stands[y]
+        prior = 0.05 * sum(stands) / 2
+        tie = len(near) > 15 and near[15][0] == near[14][0] < 0
+        scores.append((None if tie else (prior * labelled[1] / sum(labelled) + votes[1]) / (prior + sum(votes))))
+    return scores
+
+
+def test_scores_are_those_of_the_definition(spark):
+    docs, labels = labelled()
+    docs += [(400 + k, text) for k, text in enumerate([None, "", "grubble", "zzz zzz", "GRUBBLE! vilefops " * 50, docs[0][1]])]
+    some = [(i, y) for i, y in labels if not X_held(i)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    index = X.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"), ~X.held_out())
+    texts = dict(docs)
+    wanted = plain_scores([text for _, text in docs], [(texts[i], y) for i, y in some], [sum(y == z for _, y in some) for z in (0, 1)])
+    given = {r.doc_id: r.score for r in X.toxicity(frame, index).collect()}
+    assert sum(w is not None for w in wanted) > 380
+    for (k, _), w in zip(docs, wanted, strict=True):
+        assert w is None or given[k] == pytest.approx(w, abs=1e-7)
+    assert given[405] == given[0]
+
+
+def test_copies_of_toxic_examples_are_flagged_however_few_there_are(spark):
+    docs = [(k, A.prose(k, 60)) for k in range(120)]
+    docs += [(200 + k, docs[k][1]) for k in range(3)]
+    labels = spark.createDataFrame([(k, int(k < 3)) for k in range(120)], "doc_id long, toxic int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    index = X.fit(frame.where("doc_id < 200"), labels, F.lit(True))
+    flagged = {r.doc_id for r in X.toxicity(frame, index).collect() if r.score >= 0.5}
+    assert flagged == {0, 1, 2, 200, 201, 202}
+
+
+def test_documents_of_one_id_are_examples_of_their_own_within_the_bound(spark, monkeypatch):
+    docs = spark.createDataFrame([(k // 3, f"{A.prose(k, 20)} tail") for k in range(30)] + [(0, f"{A.prose(0, 20)} tail")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(10)], "doc_id long, toxic int")
+    index = X.fit(docs, labels, F.lit(True))
+    assert Counter(index.ids.tolist()) == {k: 3 for k in range(10)}
+    monkeypatch.setattr(X, "MAX_EXAMPLES", 7)
+    index = X.fit(docs, labels, F.lit(True))
+    assert index.toxic.tolist().count(0) == index.toxic.tolist().count(1) == 7
+    monkeypatch.setattr(X, "MAX_BYTES", 1)
+    assert len(X.fit(docs, labels, F.lit(True)).ids) == 2
+
+
 def test_block_max_search_is_exact():
     r = np.random.default_rng(5)
-    names = r.integers(0, 1 << 64, 30, dtype=np.uint64)
-    rows = [(k, int(r.random() < 0.5), [(int(f), int(r.integers(1, 4))) for f in r.choice(30, r.integers(0, 6), False)]) for k in range(500)]
-    df = np.array([sum(any(f == k for f, _ in x) for *_, x in rows) for k in range(30)], dtype=float)
-    index = X.build_index(names, df, 500, rows, (900, 100))
-    dense = index.weights.transpose(0, 2, 1).reshape(-1, 30)
+    rows = []
+    for k in range(1000):
+        at = np.sort(r.choice(40, r.integers(0, 8), False))
+        rows.append((k, int(r.random() < 0.5), at, r.integers(1, 4, len(at))))
+    df = np.bincount(np.concatenate([x[2] for x in rows]), minlength=40)
+    index = X.build_index(X.Terms(np.arange(40, dtype=np.uint64)), df, 1000, rows, (900, 100))
+    dense = np.zeros((len(index.ids), 40))
+    dense[index.example, np.repeat(np.repeat(np.arange(40), np.diff(index.cuts)), np.diff(index.first))] = index.entry
+    assert np.allclose((dense * dense).sum(axis=1), 1)
     for _ in range(200):
-        counts = np.zeros((1, 30))
-        counts[0, r.choice(30, 4, False)] = r.integers(1, 3, 4)
-        q = X.unit(counts, index.idf)[0]
-        cosines = np.round(dense @ q, 9)
+        at = np.sort(r.choice(40, 4, False))
+        q = X.unit(np.zeros(4, dtype=np.int64), r.integers(1, 3, 4), index.weights[at])
+        cosines = np.round(dense[:, at] @ q, 9)
         order = np.lexsort((np.arange(len(cosines)), -cosines))[:15]
         order = order[cosines[order] > 0]
-        places, found = index.nearest(q, 15)
+        places, found = index.nearest(at, q, 15)
         assert np.allclose(found, cosines[order])
         near = cosines[order][-1]
         assert set(places[found > near + 1e-6].tolist()) == set(order[cosines[order] > near + 1e-6].tolist())
 
 
-def test_features_are_those_of_each_text(monkeypatch):
-    texts = ["One, two-three!", "", None, "two", "straße 42"]
-    whole = [(k, h) for first, o, x in X.features(pa.array(texts)) for k, h in zip((o + first).tolist(), x.tolist(), strict=True)]
+def test_terms_are_the_words_of_each_text(monkeypatch):
+    texts = ["One, two-three!", "", None, "two", "straße 42", "two TWO"]
+    whole = [(k, h) for first, o, x in X.terms(pa.array(texts)) for k, h in zip((o + first).tolist(), x.tolist(), strict=True)]
     monkeypatch.setattr(X, "SLICE_BYTES", 5)
-    assert sorted(whole) == sorted((k, h) for first, o, x in X.features(pa.array(texts)) for k, h in zip((o + first).tolist(), x.tolist(), strict=True))
-    of = [{h for k, h in whole if k == n} for n in range(5)]
-    assert of[3] < of[0] and not of[1] and not of[2] and not of[4] & of[0]
-    assert len(of[0]) == 3 + 2 + 1  # words, runs of 4 and of 5 in "three"
+    assert sorted(whole) == sorted((k, h) for first, o, x in X.terms(pa.array(texts)) for k, h in zip((o + first).tolist(), x.tolist(), strict=True))
+    of = [{h for k, h in whole if k == n} for n in range(6)]
+    assert [len(x) for x in of] == [3, 0, 0, 1, 2, 1]
+    assert of[3] < of[0] and of[3] == of[5] and not of[4] & of[0]
 
 
 def test_toxicity_of_awkward_documents(spark):
