@@ -8,9 +8,11 @@ left after twice its standard error. Terms that tell little keep the base, so te
 Examples are a bounded sample: at most MAX_EXAMPLES rows of each label and MAX_BYTES of their texts, the first in the
 order of a hash. The index of them is thus bounded too and goes to every task.
 
-The index holds examples in blocks of similar ones. A posting list is cut by blocks, and each cut knows its largest
-weight. For a text these bound the cosine that any example of a block can reach; blocks are visited by falling bound until
-the bound is below the k-th best cosine, so the nearest examples are exact. Texts with equal vectors are looked up once.
+The index holds examples in blocks of similar ones. The list of a term that one in DENSE examples holds is a dense row;
+the share of these terms in all cosines is one matrix product for a batch of texts. Any other list is cut by blocks, and
+each cut knows its largest weight. For a text the best share in a block and the largest weights of its cuts bound the cosine
+that any example of the block can reach; blocks are visited by falling bound until the bound is below the k-th best
+cosine, so the nearest examples are exact. Texts with equal vectors are looked up once in a slice.
 
 The score is the weighted share of toxic ones among the nearest examples: each votes with its squared cosine over its
 distance, times how many labelled rows of its label it stands for, beside a prior of the labelled rows' toxic share. Texts
@@ -34,8 +36,12 @@ MAX_BYTES = 1 << 24
 NEIGHBOURS = 15
 EVIDENCE = 3
 BLOCK = 64
-# Blocks looked at first; each further step looks at twice as many.
-FIRST_BLOCKS = 4
+# Blocks looked at first; a second step looks at all others whose bound is not below the k-th best cosine then.
+FIRST_BLOCKS = 8
+# Lists of at least one in so many examples are dense: at most so many numbers for each posting of the index.
+DENSE = 16
+# Texts whose shares of dense lists are taken in one product.
+BATCH = 64
 RELEVANCE_BASE = 0.3
 # Votes of the prior, and the distance added to every distance.
 PRIOR_VOTES = 0.05
@@ -113,18 +119,52 @@ class Index:
     example: np.ndarray  # of each posting
     entry: np.ndarray
 
-    def nearest(self, at: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples, ties to the smaller place; cosine 0 is none."""
+    def __post_init__(self) -> None:
+        self._rows = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_rows": None}  # each worker lays its dense rows down itself
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each term's dense row, or -1, and the rows."""
+        if self._rows is None:
+            spans = self.first[self.cuts]
+            often = np.flatnonzero(np.diff(spans) * DENSE >= max(1, len(self.ids)))
+            row = np.full(len(self.weights), -1, dtype=np.int64)
+            row[often] = np.arange(len(often))
+            size = np.diff(spans)[often]
+            postings = W.rows_of(spans[often], size)
+            dense = np.zeros((len(often), len(self.ids)))
+            dense[np.repeat(np.arange(len(often)), size), self.example[postings]] = self.entry[postings]
+            self._rows = row, dense
+        return self._rows
+
+    def shares(self, owner: np.ndarray, at: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
+        """What dense lists add to the cosines of n texts with all examples; owners are numbered from 0."""
+        row, dense = self.rows()
+        often = np.flatnonzero(row[at] >= 0)
+        texts = np.zeros((n, len(dense)))
+        texts[owner[often], row[at[often]]] = q[often]
+        return texts @ dense
+
+    def nearest(self, at: np.ndarray, q: np.ndarray, share: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest examples, ties to the smaller place; cosine 0 is none.
+
+        `share` is the text's row of `shares`.
+        """
+        places, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
+        if len(share) == 0:
+            return places, cosines
+        rare = self.rows()[0][at] < 0
+        at, q = at[rare], q[rare]
         n = self.cuts[at + 1] - self.cuts[at]
         cuts, weight = W.rows_of(self.cuts[at], n), np.repeat(q, n)
         block = self.block[cuts]
-        bounds = np.bincount(block, weight * self.largest[cuts], minlength=-(-len(self.ids) // BLOCK))
+        bounds = np.maximum.reduceat(share, np.arange(0, len(share), BLOCK))
+        bounds = bounds + np.bincount(block, weight * self.largest[cuts], minlength=len(bounds))
         order = np.argsort(-bounds, kind="stable")
-        places, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
-        done, step = 0, FIRST_BLOCKS
-        while done < len(order):
+        for now in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
             least = cosines[-1] - 1e-9 if len(cosines) == k else 0.0
-            now = order[done : done + step]
             now = now[(bounds[now] > 0) & (bounds[now] >= least)]
             if len(now) == 0:
                 break
@@ -133,14 +173,16 @@ class Index:
             mine = np.flatnonzero(wanted[block])
             size = self.first[cuts[mine] + 1] - self.first[cuts[mine]]
             postings = W.rows_of(self.first[cuts[mine]], size)
-            sums = np.bincount(self.example[postings], self.entry[postings] * np.repeat(weight[mine], size))
-            found = np.flatnonzero(sums > least)
-            places = np.append(places, found)
-            cosines = np.append(cosines, np.minimum(1, np.round(sums[found], 12)))
+            sums = np.bincount(self.example[postings], self.entry[postings] * np.repeat(weight[mine], size), len(share))
+            here = (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            here = here[here < len(share)]
+            sums = sums[here] + share[here]
+            better = sums > least
+            places = np.append(places, here[better])
+            cosines = np.append(cosines, np.minimum(1, np.round(sums[better], 12)))
             best = np.lexsort((places, -cosines))[:k]
             best = best[cosines[best] > 0]
             places, cosines = places[best], cosines[best]
-            done, step = done + step, 2 * step
         return places, cosines
 
     def score(self, places: np.ndarray, cosines: np.ndarray) -> float:
@@ -285,7 +327,8 @@ def toxicity(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
     """Columns of docs with `score` (0 to 1) and `evidence`, the nearest examples.
 
     Null and empty texts have no term: they get the share of toxic rows among the labelled, and no
-    evidence; without labels the score is 0. Whole texts count, however long. Equal texts have equal scores. Examples at
+    evidence; without labels the score is 0. Whole texts count, however long. Scores of equal texts differ in the last
+    digits at most. Examples at
     the same distance count in the order of their places in the index. Columns of docs that bear a result's name are
     replaced.
     """
@@ -296,26 +339,32 @@ def toxicity(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        known: dict[bytes, tuple] = {}
         for batch in batches:
             scores, evidence = np.full(batch.num_rows, index.prior), [[] for _ in range(batch.num_rows)]
             for first, owner, hashes in terms(batch.column(text)):
                 owner, at, counts = index.terms.counts(owner, hashes)
                 vector = unit(owner, counts, index.weights[at])
                 border = np.flatnonzero(np.diff(owner, prepend=-1, append=batch.num_rows))
-                for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True):
-                    k = first + int(owner[a])
-                    name = at[a:b].tobytes() + counts[a:b].tobytes()
-                    if name not in known:
-                        if len(known) >= 2000:
-                            known.clear()
-                        places, cosines = index.nearest(at[a:b], vector[a:b], NEIGHBOURS)
+                same: dict[bytes, list[int]] = {}
+                for t, (a, b) in enumerate(zip(border[:-1].tolist(), border[1:].tolist(), strict=True)):
+                    same.setdefault(at[a:b].tobytes() + counts[a:b].tobytes(), []).append(t)
+                alike = list(same.values())
+                for start in range(0, len(alike), BATCH):
+                    some = alike[start : start + BATCH]
+                    firsts = np.array([ts[0] for ts in some])
+                    sizes = border[firsts + 1] - border[firsts]
+                    spots = W.rows_of(border[firsts], sizes)
+                    shares = index.shares(np.repeat(np.arange(len(some)), sizes), at[spots], vector[spots], len(some))
+                    for ts, share in zip(some, shares, strict=True):
+                        a, b = border[ts[0]], border[ts[0] + 1]
+                        places, cosines = index.nearest(at[a:b], vector[a:b], share, NEIGHBOURS)
+                        score = index.score(places, cosines)
                         best = [
                             {"doc_id": int(index.ids[p]), "toxic": int(index.toxic[p]), "similarity": float(c)}
                             for p, c in zip(places[:EVIDENCE], cosines[:EVIDENCE], strict=True)
                         ]
-                        known[name] = index.score(places, cosines), best
-                    scores[k], evidence[k] = known[name]
+                        for t in ts:
+                            scores[first + owner[border[t]]], evidence[first + owner[border[t]]] = score, best
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
             columns = {c: batch.column(c) for c in kept} | {"score": pa.array(scores), "evidence": pa.array(evidence, kind)}
             yield pa.RecordBatch.from_pydict(columns)
