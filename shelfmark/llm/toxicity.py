@@ -42,6 +42,8 @@ FIRST_BLOCKS = 8
 DENSE = 16
 # Texts whose shares of dense lists are taken in one product.
 BATCH = 64
+# Examples whose postings are weighed at once while the index is built.
+PART = 256
 RELEVANCE_BASE = 0.3
 # Votes of the prior, and the distance added to every distance.
 PRIOR_VOTES = 0.05
@@ -191,6 +193,17 @@ class Index:
         return float((weight * self.prior + votes[self.toxic[places] == 1].sum()) / (weight + votes.sum()))
 
 
+def _joined(lists: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=np.int32), *lists], dtype=np.int32, casting="same_kind")
+
+
+def _parts(rows: list) -> Iterator[tuple[int, int, list]]:
+    """First place, end and rows of parts, so that what is reckoned for all postings is held for a part at a time."""
+    for start in range(0, len(rows), PART):
+        part = rows[start : start + PART]
+        yield start, start + len(part), part
+
+
 def build_index(
     found: Terms, df: np.ndarray, n_docs: int, rows: list[tuple[int, int, np.ndarray, np.ndarray]], labelled: tuple[int, int]
 ) -> Index:
@@ -199,26 +212,38 @@ def build_index(
     label = np.array([r[1] for r in rows], dtype=np.int64)
     sampled = np.bincount(label, minlength=2)
     size = np.array([len(r[2]) for r in rows], dtype=np.int64)
-    owner = np.repeat(np.arange(len(rows)), size)
-    term = np.concatenate([np.zeros(0, dtype=np.int64), *[r[2] for r in rows]])
-    counts = np.concatenate([np.zeros(0, dtype=np.int64), *[r[3] for r in rows]])
-    held = [np.bincount(term[label[owner] == y], minlength=len(df)) for y in (0, 1)]
+    held = np.zeros((2, len(df)), dtype=np.int64)
+    for _, _, part in _parts(rows):
+        for y in (0, 1):
+            held[y] += np.bincount(_joined([r[2] for r in part if r[1] == y]), minlength=len(df))
     weights = (np.log((1 + n_docs) / (1 + df)) + 1) * relevance(held[1], held[0], int(sampled[1]), int(sampled[0]))
-    entry = unit(owner, counts, weights[term])
+
+    def entries(part: list[tuple[int, int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        owner, term = np.repeat(np.arange(len(part)), [len(r[2]) for r in part]), _joined([r[2] for r in part])
+        return owner, term, unit(owner, _joined([r[3] for r in part]), weights[term])
+
     # Similar examples lie together: those of a label with the same heaviest term.
     heaviest = np.zeros(len(rows), dtype=np.int64)
-    order = np.lexsort((entry, owner))
-    heaviest[owner[order]] = term[order]
+    for start, _, part in _parts(rows):
+        owner, term, entry = entries(part)
+        by = np.lexsort((entry, owner))
+        heaviest[start + owner[by]] = term[by]
     ids = np.array([r[0] for r in rows], dtype=np.int64)
     order = np.lexsort((np.arange(len(rows)), ids, heaviest, label))
     order = order[size[order] > 0]
-    place = np.zeros(len(rows), dtype=np.int64)
-    place[order] = np.arange(len(order))
-    example = place[owner]
-    by = np.lexsort((example, term))
-    term, example, entry = term[by], example[by], entry[by]
+    # Postings in the order of examples, then, stably, by term; large arrays are made once and given up early.
+    rows, size = [rows[k] for k in order.tolist()], size[order]
+    borders = np.append(0, np.cumsum(size))
+    term, entry = _joined([r[2] for r in rows]), np.empty(borders[-1])
+    for start, end, part in _parts(rows):
+        entry[borders[start] : borders[end]] = entries(part)[2]
+    by = np.argsort(term, kind="stable")
+    term, entry = term[by], entry[by]
+    example = np.repeat(np.arange(len(rows), dtype=np.int32), size)[by]
+    del by
     block = example // BLOCK
-    new = (np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0)
+    new = np.ones(len(term), dtype=bool)
+    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
     first = np.flatnonzero(new)
     total = max(1, sum(labelled))
     return Index(
@@ -229,14 +254,19 @@ def build_index(
         np.array([labelled[y] / max(1, int(sampled[y])) for y in (0, 1)]),
         labelled[1] / total,
         np.searchsorted(term[first], np.arange(len(df) + 1)),
-        block[first].astype(np.int32),
+        block[first],
         np.maximum.reduceat(entry, first) if len(first) else entry,
         np.append(first, len(term)),
-        example.astype(np.int32),
+        example,
         entry,
     )
 
 
+def _lists(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The numbers in each cell, as views of the column's buffers."""
+    return [np.frombuffer(cell.as_buffer(), dtype=kind) for chunk in column.chunks for cell in chunk]
+
+
 def document_frequencies(docs: DataFrame, found: Terms, text: str = "text") -> np.ndarray:
     """How many documents hold each of the terms: a task adds up its own, then one sum for each term is taken."""
     shared = docs.sparkSession.sparkContext.broadcast(found)
@@ -309,14 +339,17 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id: str = "doc_id", t
         upto = np.cumsum([r["bytes"] for r in some])
         chosen += [(r["id"], r["h"]) for k, r in enumerate(some) if k == 0 or upto[k] <= MAX_BYTES]
     wanted = counted.sparkSession.createDataFrame(chosen, "id long, h long")
-    examples = counted.join(F.broadcast(wanted), ["id", "h"], "left_semi").orderBy("id", "h").collect()
-    lists = [(np.frombuffer(r["names"], dtype=np.uint64), np.frombuffer(r["counts"], dtype=np.int32)) for r in examples]
-    found = Terms(np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[names for names, _ in lists]])))
+    examples = counted.join(F.broadcast(wanted), ["id", "h"], "left_semi").orderBy("id", "h")
+    examples = examples.select("id", "label", "names", "counts").toArrow()
+    names, all_names = _lists(examples.column("names"), np.uint64), np.zeros(0, dtype=np.uint64)
+    for start in range(0, len(names), PART):  # a part's terms at a time: most are met again and again
+        all_names = np.union1d(all_names, np.concatenate(names[start : start + PART]))
+    found = Terms(all_names)
+    places = [np.searchsorted(found.names, some).astype(np.int32) for some in names]
+    ids, label, counts = (examples.column(c) for c in ("id", "label", "counts"))
+    rows = list(zip(ids.to_pylist(), label.to_pylist(), places, _lists(counts, np.int32), strict=True))
+    del examples, names
     df = document_frequencies(docs, found, text)
-    rows = [
-        (r["id"], r["label"], np.searchsorted(found.names, names), counts.astype(np.int64))
-        for r, (names, counts) in zip(examples, lists, strict=True)
-    ]
     return build_index(found, df, docs.count(), rows, (labelled[0], labelled[1]))
 
 
