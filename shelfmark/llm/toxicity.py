@@ -9,7 +9,8 @@ Examples are a bounded sample: at most MAX_EXAMPLES rows of each label and MAX_B
 order of a hash. The index of them is thus bounded too and goes to every task.
 
 The index holds examples in blocks of similar ones. The list of a term that one in DENSE examples holds is a dense row;
-the share of these terms in all cosines is one matrix product for a batch of texts. Any other list is cut by blocks, and
+the share of these terms in all cosines is one matrix product for a batch of texts. Lists of fewer than SHORT postings are
+added to these shares whole. Any other list is cut by blocks, and
 each cut knows its largest weight. For a text the best share in a block and the largest weights of its cuts bound the cosine
 that any example of the block can reach; blocks are visited by falling bound until the bound is below the k-th best
 cosine, so the nearest examples are exact. Texts with equal vectors are looked up once in a slice.
@@ -35,11 +36,13 @@ MAX_EXAMPLES = 4096
 MAX_BYTES = 1 << 24
 NEIGHBOURS = 15
 EVIDENCE = 3
-BLOCK = 64
+BLOCK = 256
 # Blocks looked at first; a second step looks at all others whose bound is not below the k-th best cosine then.
-FIRST_BLOCKS = 8
+FIRST_BLOCKS = 3
 # Lists of at least one in so many examples are dense: at most so many numbers for each posting of the index.
-DENSE = 16
+DENSE = 24
+# Lists of fewer postings are added whole: cut by blocks they would be hardly shorter, and their weights would blur the bounds.
+SHORT = 256
 # Texts whose shares of dense lists are taken in one product.
 BATCH = 64
 # Examples whose postings are weighed at once while the index is built.
@@ -159,6 +162,13 @@ class Index:
             return places, cosines
         rare = self.rows()[0][at] < 0
         at, q = at[rare], q[rare]
+        spans = self.first[self.cuts[at]]
+        size = self.first[self.cuts[at + 1]] - spans
+        short = size < SHORT
+        postings = W.rows_of(spans[short], size[short])
+        weight = np.repeat(q[short], size[short])
+        share = share + np.bincount(self.example[postings], self.entry[postings] * weight, len(share))
+        at, q = at[~short], q[~short]
         n = self.cuts[at + 1] - self.cuts[at]
         cuts, weight = W.rows_of(self.cuts[at], n), np.repeat(q, n)
         block = self.block[cuts]

@@ -127,9 +127,13 @@ def test_documents_of_one_id_are_examples_of_their_own_within_the_bound(spark, m
     assert len(X.fit(docs, labels, F.lit(True)).ids) == 2
 
 
+@pytest.mark.parametrize("block, short", [(64, 1), (16, 90), (256, 256)])
 @pytest.mark.parametrize("dense", [1, 6, 1000])
-def test_block_max_search_is_exact(dense, monkeypatch):
+def test_block_max_search_is_exact(dense, block, short, monkeypatch):
     monkeypatch.setattr(X, "DENSE", dense)
+    monkeypatch.setattr(X, "BLOCK", block)
+    monkeypatch.setattr(X, "SHORT", short)
+    monkeypatch.setattr(X, "PART", block)
     r = np.random.default_rng(5)
     rows = []
     for k in range(1000):
