@@ -40,7 +40,7 @@ BLOCK = 256
 # Blocks looked at first; a second step looks at all others whose bound is not below the k-th best cosine then.
 FIRST_BLOCKS = 3
 # Lists of at least one in so many examples are dense: at most so many numbers for each posting of the index.
-DENSE = 24
+DENSE = 16
 # Lists of fewer postings are added whole: cut by blocks they would be hardly shorter, and their weights would blur the bounds.
 SHORT = 256
 # Texts whose shares of dense lists are taken in one product.
@@ -51,7 +51,7 @@ RELEVANCE_BASE = 0.3
 # Votes of the prior, and the distance added to every distance.
 PRIOR_VOTES = 0.05
 LEAST_DISTANCE = 0.001
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SIEVE = 1 << 22
 
 #: Bytes between words: all of ASCII but letters and digits. Other bytes belong to letters.
@@ -118,7 +118,7 @@ class Index:
     votes: np.ndarray  # how many labelled rows an example of label 0, of label 1 stands for
     prior: float
     cuts: np.ndarray  # first cut of each term's list, one more at the end
-    block: np.ndarray  # of each cut: its block,
+    block: np.ndarray  # of each cut: its block (a list of one cut: that of its first example),
     largest: np.ndarray  # its largest entry,
     first: np.ndarray  # and its first posting, one more at the end
     example: np.ndarray  # of each posting
@@ -137,13 +137,16 @@ class Index:
             often = np.flatnonzero(np.diff(spans) * DENSE >= max(1, len(self.ids)))
             row = np.full(len(self.weights), -1, dtype=np.int64)
             row[often] = np.arange(len(often))
-            size = np.diff(spans)[often]
-            postings = W.rows_of(spans[often], size)
             dense = np.zeros((len(often), len(self.ids)))
-            dense[np.repeat(np.arange(len(often)), size), self.example[postings]] = self.entry[postings]
+            for values, start, end in zip(dense, spans[often].tolist(), spans[often + 1].tolist(), strict=True):
+                values[self.example[start:end]] = self.entry[start:end]
             self._rows = row, dense
         return self._rows
 
+    def forget(self) -> None:
+        """Give up the dense rows, which idle workers would hold on to."""
+        self._rows = None
+
     def shares(self, owner: np.ndarray, at: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
         """What dense lists add to the cosines of n texts with all examples; owners are numbered from 0."""
         row, dense = self.rows()
@@ -252,8 +255,11 @@ def build_index(
     example = np.repeat(np.arange(len(rows), dtype=np.int32), size)[by]
     del by
     block = example // BLOCK
+    # Short and dense lists are never looked up by block: each is one cut.
+    listed = np.bincount(term, minlength=len(df))
+    by_block = (listed >= SHORT) & (listed * DENSE < max(1, len(rows)))
     new = np.ones(len(term), dtype=bool)
-    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    new[1:] = (term[1:] != term[:-1]) | ((block[1:] != block[:-1]) & by_block[term[1:]])
     first = np.flatnonzero(new)
     total = max(1, sum(labelled))
     return Index(
@@ -266,7 +272,7 @@ def build_index(
         np.searchsorted(term[first], np.arange(len(df) + 1)),
         block[first],
         np.maximum.reduceat(entry, first) if len(first) else entry,
-        np.append(first, len(term)),
+        np.append(first, len(term)).astype(np.int32),
         example,
         entry,
     )
@@ -411,6 +417,7 @@ def toxicity(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
             columns = {c: batch.column(c) for c in kept} | {"score": pa.array(scores), "evidence": pa.array(evidence, kind)}
             yield pa.RecordBatch.from_pydict(columns)
+        shared.value.forget()
 
     return docs.mapInArrow(run, schema)
 
