@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import as_column, empty_to_null, sha256_hex, strip, user_name
 from shelfmark.operators.skew import mark_first, skew_join
-from shelfmark.session import cut_lineage
+from shelfmark.session import cut_lineage, staged
 
 # The strength rules in order, as (pattern that must occur, message),
 # after the rule on length.
@@ -85,45 +86,49 @@ def review_reasons(
     required = F.lit(True)
     for c in ["username", "password", "moby_id", "platform"]:
         required = required & empty_to_null(c).isNotNull()
-    text = strip(F.col("score").cast("string"))
-    score = F.when(text.rlike(SCORE_TEXT), text.try_cast("double"))
-    rows = submitted.select(
-        "*",
-        required.alias("_complete"),
-        score.alias("_score"),
-        sha256_hex("password").alias("_digest"),
-    )
+    kept = [c for c in submitted.columns if c != "password"]
+    # Each in a step of its own, so that no text is matched twice.
+    rows = submitted.select("*", required.alias("_complete"), strip(F.col("score").cast("string")).alias("_text"))
+    rows = rows.withColumn("_score", F.when(F.col("_text").rlike(SCORE_TEXT), F.col("_text").try_cast("double")))
+    own_rules = [
+        (F.col("_complete"), "missing field"),
+        (F.col("_score").isNotNull(), "score is not a number"),
+        ((F.col("_score") >= 0) & (F.col("_score") <= 5), "score out of range"),
+    ]
+    rows = rows.withColumn("_reason", first_failure(own_rules))
+    # What a join does not need stays behind; a digest travels as bytes, half as long as its text.
+    digest = F.when(F.col("_reason").isNull(), F.unhex(sha256_hex("password")))
+    rows = rows.select(*kept, "_reason", digest.alias("_digest"))
     for c in REVIEW_KEY:
         rows = rows.withColumn(c, strip(c))
 
     users = refs.users.select("username", F.col("password_hash").alias("_hash"))
-    rows = skew_join(rows, users, ["username"])
+    same = F.coalesce(F.col("_hash") == F.lower(F.hex("_digest")), F.lit(False))
+    wrong = F.when(~same, F.lit("wrong user or password"))
+    rows = skew_join(rows, users, ["username"]).select(*kept, F.coalesce("_reason", wrong).alias("_reason"))
     games = refs.games.select("moby_id", F.lit(True).alias("_game"))
-    rows = skew_join(rows, games, ["moby_id"])
-    valid = _present(refs.platforms, ["moby_id", "platform"], "_platform")
-    rows = skew_join(rows, valid, ["moby_id", "platform"])
-    if refs.reviewed is not None:
-        old = _present(refs.reviewed, REVIEW_KEY, "_old")
-        rows = skew_join(rows, old, REVIEW_KEY)
-    else:
-        rows = rows.withColumn("_old", F.lit(None).cast("boolean"))
-
-    in_range = (F.col("_score") >= 0) & (F.col("_score") <= 5)
-    rules = [
-        (F.col("_complete"), "missing field"),
-        (F.col("_score").isNotNull(), "score is not a number"),
-        (in_range, "score out of range"),
-        (F.col("_hash") == F.col("_digest"), "wrong user or password"),
-        (F.col("_game"), "unknown game"),
-        (F.col("_platform"), "platform not valid for game"),
-        (F.col("_old").isNull(), "already reviewed"),
+    valid = skew_join(_present(refs.platforms, ["moby_id", "platform"], "_listed"), games, ["moby_id"])
+    valid = valid.select("moby_id", "platform", F.coalesce("_game", F.lit(False)).alias("_valid"))
+    rows = skew_join(rows, valid, ["moby_id", "platform"]).select(*kept, "_reason", "_valid")
+
+    # Read several times below. Only good rows, and those without a valid platform, go on to further joins.
+    rows = staged(rows, "reviews-judged")
+    open_, known_game = F.col("_reason").isNull(), F.col("_valid").isNotNull()
+    other = skew_join(rows.where(open_ & ~known_game).select(*kept), games, ["moby_id"])
+    no_platform = F.when(F.col("_game"), F.lit("platform not valid for game")).otherwise(F.lit("unknown game"))
+    judged = [
+        rows.where(~open_).select(*kept, F.col("_reason").alias("reason")),
+        rows.where(open_ & ~F.col("_valid")).select(*kept, F.lit("unknown game").alias("reason")),
+        other.select(*kept, no_platform.alias("reason")),
     ]
-    kept = [c for c in submitted.columns if c != "password"]
-    # Read twice below: once for the first of each key, once for all.
-    rows = cut_lineage(rows.select(*kept, first_failure(rules).alias("_reason")))
-    rows = mark_first(rows, REVIEW_KEY, order, F.col("_reason").isNull(), "_first")
-    again = F.when(~F.col("_first"), F.lit("already reviewed"))
-    return rows.select(*kept, F.coalesce("_reason", again).alias("reason"))
+    good, already = rows.where(open_ & F.col("_valid")).select(*kept), F.lit("already reviewed")
+    if refs.reviewed is not None:
+        met = skew_join(good, _present(refs.reviewed, REVIEW_KEY, "_old"), REVIEW_KEY)
+        judged.append(met.where(F.col("_old")).select(*kept, already.alias("reason")))
+        good = met.where(F.col("_old").isNull()).select(*kept)
+    good = mark_first(good, REVIEW_KEY, order, F.lit(True), "_first")
+    judged.append(good.select(*kept, F.when(~F.col("_first"), already).alias("reason")))
+    return reduce(DataFrame.unionByName, judged)
 
 
 def registration_reasons(

@@ -103,3 +103,27 @@ def test_orphans_and_users(spark):
     assert tuples(derive_users(facts, "url")) == [("ann",), ("bob",)]
     left = spark.createDataFrame([(1,), (2,)], "id int")
     assert tuples(orphans(left, spark.createDataFrame([(1,), (1,)], "id int"), ["id"])) == [(2,)]
+
+
+def test_review_joins_carry_only_what_they_need(spark, monkeypatch):
+    """Digests and scores stay behind where no later join needs them, and a row is written once, compressed."""
+    from shelfmark.operators import quality
+
+    written, staged = [], quality.staged
+    monkeypatch.setattr(quality, "staged", lambda df, purpose: written.append(df) or staged(df, purpose))
+    schema = "n int, username string, password string, moby_id string, platform string, score string"
+    df = spark.createDataFrame([(0, "ann", "pw", "1", "PC", "5"), (1, "ann", "pw", "2", "PC", "5"),
+                                (2, "ann", "pw", "1", "Mac", "5"), (3, "ann", "pw", "3", "PC", "5")], schema)
+    users = spark.createDataFrame([("ann", digest("pw"))], "username string, password_hash string")
+    games = spark.createDataFrame([("1",), ("2",)], "moby_id string")
+    platforms = spark.createDataFrame([("1", "PC"), ("2", "PC"), ("3", "PC")], "moby_id string, platform string")
+    judged = review_reasons(df, ReviewReferences(users, games, platforms), ["n"])
+    assert dict(tuples(judged, "n", "reason")) == {
+        0: None, 1: None, 2: "platform not valid for game", 3: "unknown game"
+    }
+    (facts,) = written
+    text = spark._jvm.PythonSQLUtils.explainString(facts._jdf.queryExecution(), "formatted")
+    nodes = [part for part in text.split("\n\n") if "Exchange\n" in part.split("Input")[0] and "n#" in part]
+    by_game = [part for part in nodes if "hashpartitioning" in part and "moby_id" in part.split("Arguments")[1]]
+    assert by_game and not any(c in part for part in by_game for c in ("_hash", "_digest", "_score", "_text"))
+    assert "ExistingRDD[n#" not in judged._jdf.queryExecution().executedPlan().toString()
