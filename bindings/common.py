@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfmark.operators.skew import spread
 from shelfmark.plans.catalog import Catalog
 from shelfmark.session import prepare
 
@@ -28,8 +29,9 @@ def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     part = table(spark, sf_dir, "part")
     lineitem = table(spark, sf_dir, "lineitem")
     game_id = F.col("p_partkey").alias("game_moby_id")
+    sold = lineitem.select(F.col("l_partkey").alias("moby_id"), F.col("l_suppkey").alias("s_suppkey"))
     sold_by = (
-        lineitem.select(F.col("l_partkey").alias("moby_id"), F.col("l_suppkey").alias("s_suppkey"))
+        spread(sold, "moby_id", "s_suppkey")
         .distinct()
         .join(supplier_nations(spark, sf_dir), "s_suppkey")
     )

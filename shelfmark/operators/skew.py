@@ -15,9 +15,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfmark.session import fits_broadcast, parallelism
+from shelfmark.session import fits_broadcast, parallelism, unpacked_bytes
 
 KEY = "_key"
+# Unpacked input for each partition of `spread`, and the size from which on Catalyst's figure means "unknown".
+PART_BYTES, UNKNOWN_BYTES = 32 << 20, 1 << 55
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -31,6 +33,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt by the columns to partitions whose number grows with the input, not with the session's setting.
+
+    An aggregate by these columns then holds one such part in memory; without it, a task holds the groups of a whole
+    split of a file, or of what run-time coalescing puts together, which for narrow rows are many millions.
+    """
+    total = unpacked_bytes(df._jdf.queryExecution().optimizedPlan())
+    n = parallelism(df.sparkSession) if total >= UNKNOWN_BYTES else max(2, -(-total // PART_BYTES))
+    return df.repartition(n, *by)
+
+
 def keyed(df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     """Key columns, and more parts, moved into one struct column."""
     rest = [c for c in df.columns if c not in keys]

@@ -18,11 +18,14 @@ from shelfmark.functions.text import (
     text_year,
     year_label,
 )
+from shelfmark.operators.skew import salt, spread
 from shelfmark.operators.topk import top_k, top_per_group
 from shelfmark.plans.catalog import Catalog
 
 # Labels of missing groups; facet -> (table, id column, value column).
 UNKNOWN, UNKNOWN_GENRE, UNKNOWN_SETTING = "Unknown", "Unknown Genre", "Unknown Setting"
+# Parts that the games of a pair are counted in.
+GAME_SALTS = 64
 FACETS = {
     "genre": ("game_genre", "game_moby_id", "genre_name"),
     "platform": ("release_date_per_platform", "moby_id", "release_platform"),
@@ -145,13 +148,19 @@ def top_developers_by_genre(catalog: Catalog, n: int = 5) -> DataFrame:
     ).where(F.col("score").isNotNull())
     genres = catalog.game_genre.select(F.col("game_moby_id").alias("moby_id"), "genre_name")
     makers = catalog.game_developers.select(F.col("game_moby_id").alias("moby_id"), "developer_name")
-    means = (
+    rated = (
         makers.join(games, "moby_id")
         .join(genres, "moby_id")
-        .groupBy(
+        .select(
             F.coalesce("genre_name", F.lit(UNKNOWN)).alias("genre"),
             F.col("developer_name").alias("developer"),
+            "moby_id",
+            "score",
         )
+    )
+    means = (
+        spread(rated, "genre", "developer", "moby_id")
+        .groupBy("genre", "developer")
         .agg(
             F.round(F.avg("score"), 3).alias("avg_critic_score"),
             F.countDistinct("moby_id").alias("games_count"),
@@ -205,9 +214,15 @@ def pair_collaborations(
 ) -> DataFrame:
     """Pairs with the most distinct games together, grouped on trimmed names."""
     named = credits.where(known(first) & known(second))
+    named = named.select(F.trim(first).alias(first), F.trim(second).alias(second), game)
+    # A pair's games are made distinct and counted per salt, so a pair with much of the data is spread.
+    part = [first, second, "_salt"]
+    games = spread(named.select("*", salt(named, [game], GAME_SALTS)), *part).distinct()
+    games = games.groupBy(*part).agg(F.count(game).alias("_games"))
     counts = (
-        named.groupBy(F.trim(first).alias(first), F.trim(second).alias(second))
-        .agg(F.countDistinct(game).alias("games_count"))
+        spread(games.drop("_salt"), first, second)
+        .groupBy(first, second)
+        .agg(F.sum("_games").alias("games_count"))
         .where(F.col("games_count") >= at_least)
     )
     return top_k(counts, [F.desc("games_count"), first, second], n)
