@@ -24,27 +24,35 @@ def query(name, sql=None):
     return register
 
 
-# Stretches of time that a table arrives in.
+# Stretches of time that a table arrives in, or deals of rows without order; three of them make a micro-batch.
 STRETCHES = 8
+# Rows that a file of a stretch or deal holds, about; larger tables come in more files, not in more micro-batches.
+FILE_ROWS = 250_000
+
+
+def files_each(n_rows):
+    """Files of one stretch or deal."""
+    return max(1, -(-n_rows // (STRETCHES * FILE_ROWS)))
 
 
 def scattered(spark, sf_dir, name, *columns):
-    """Stream over a driver table dealt to eight files in no order, three files to a micro-batch."""
+    """Stream over a driver table dealt to files in no order by the hash of columns, three eighths to a micro-batch."""
     prepare(spark)
-    folder = fresh_dir(spark, f"{name}-files")
-    table(spark, sf_dir, name).repartition(8, *columns).write.parquet(folder)
-    return parquet_stream(spark, folder, "part-*", files_per_batch=3)
+    rows, folder = table(spark, sf_dir, name), fresh_dir(spark, f"{name}-files")
+    each = files_each(rows.count())
+    rows.repartition(STRETCHES * each, *columns).write.parquet(folder)
+    return parquet_stream(spark, folder, "part-*", files_per_batch=3 * each)
 
 
 def arriving(spark, sf_dir, name, ts, *key):
     """Stream over a driver table in rough order of time, and a delay in seconds that no row exceeds.
 
     Rows arrive up to a sixteenth of the table's span late, by a hash of their key. Each stretch of arrivals is
-    written after the one before; inside it, files and rows are in no order. Three files make a micro-batch.
+    written after the one before; inside it, files and rows are in no order. Three stretches make a micro-batch.
     """
     prepare(spark)
     rows, at = table(spark, sf_dir, name), microseconds(ts)
-    first, last = rows.agg(F.min(at), F.max(at)).first()
+    first, last, n_rows = rows.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
     first, last = first or 0, last or 0
     jitter = (last - first) // 16 + 1
     width = (last - first + jitter) // STRETCHES + 1
@@ -53,9 +61,11 @@ def arriving(spark, sf_dir, name, ts, *key):
     dealt, folder = fresh_dir(spark, f"{name}-dealt"), fresh_dir(spark, f"{name}-files")
     rows.withColumn("_stretch", stretch).write.partitionBy("_stretch").parquet(dealt)
     dealt = spark.read.schema(rows.withColumn("_stretch", stretch).schema).parquet(dealt)
+    each = files_each(n_rows)
     for k in range(STRETCHES):  # streams read files in the order of their writing
-        dealt.where(F.col("_stretch") == k).drop("_stretch").write.mode("append").parquet(folder)
-    return parquet_stream(spark, folder, "part-*", files_per_batch=3), (width + jitter) / 1_000_000
+        arrived = dealt.where(F.col("_stretch") == k).drop("_stretch")
+        arrived.repartition(each).write.mode("append").parquet(folder)
+    return parquet_stream(spark, folder, "part-*", files_per_batch=3 * each), (width + jitter) / 1_000_000
 
 
 def finish(running) -> None:

@@ -246,3 +246,22 @@ def test_boxes_of_closed_epochs_are_not_kept(spark, tmp_path):
         auto = captured.where((F.col("batch") <= batch) & (F.col("trigger") == "auto")).groupBy("stream_id").agg(F.max("ts").alias("t"))
         kept = boxes.where(F.col("batch") == batch).join(auto, "stream_id")
         assert kept.where(F.col("ts") < F.col("t")).count() == 0
+
+
+def test_larger_tables_come_in_no_more_micro_batches(spark, monkeypatch):
+    """A stretch of a larger table is more files, of one micro-batch with its neighbours, and holds every row."""
+    from bindings import streams
+
+    asked, opened = [], streams.parquet_stream
+    monkeypatch.setattr(
+        streams, "parquet_stream",
+        lambda s, folder, pattern, files_per_batch: asked.append((folder, files_per_batch)) or opened(s, folder, pattern, files_per_batch),
+    )
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    monkeypatch.setattr(streams, "FILE_ROWS", -(-events // (streams.STRETCHES * 4)))
+    streams.arriving(spark, "/root/testdata/sf0.001", "events", "ts", "event_id")
+    streams.scattered(spark, "/root/testdata/sf0.001", "events", "event_id")
+    for folder, files_per_batch in asked:
+        rows = spark.read.parquet(folder)
+        assert files_per_batch == 3 * 4 and len(rows.inputFiles()) == streams.STRETCHES * 4
+        assert rows.count() == rows.select("event_id").distinct().count() == events
