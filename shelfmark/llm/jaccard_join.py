@@ -30,17 +30,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfmark.llm import blocks as B, words as W
-from shelfmark.session import cut_lineage
+from shelfmark.session import cut_lineage, parallelism
 
 WORDS = 5
 PERCENT = 80
-# Shingles of a region joined in one task, sets of a region, new pivots of a larger region per round.
+# Shingles of a region joined in one task, sets of a region, new pivots of a larger region that go to a task together.
 REGION_SHINGLES = 1 << 20
 REGION_SETS = 5000
 PIVOTS = 256
+# Pivots of a round in groups of PIVOTS: four times as many as in the round before, up to these.
+MOST_GROUPS = 16
+# Links contracted at once in a task.
+LINKS_AT_ONCE = 1 << 20
 
 FOUND = "block long, place int, id long, n long, set binary, shared array<long>, body string"
 
@@ -135,15 +140,58 @@ def join_region(sets: Sets, pivot: int, percent: int) -> list[tuple[int, int]]:
     return links
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links that connect the same sets: among up to LINKS_AT_ONCE links of a partition, every set is tied to the
+    least of its component."""
+    limit = LINKS_AT_ONCE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= limit:
+                yield contract(held)
+                held, count = [], 0
+        if count:
+            yield contract(held)
+
+    def contract(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = [x.cast(pa.binary()) for c in ("a", "b") for x in pa.Table.from_batches(held).column(c).chunks]
+        names = pa.chunked_array(ends, pa.binary()).combine_chunks().dictionary_encode()
+        order = pc.array_sort_indices(names.dictionary).to_numpy()
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        codes = place[names.indices.to_numpy()].reshape(2, -1)
+        parent = list(range(len(order)))
+        for a, b in zip(codes[0].tolist(), codes[1].tolist(), strict=True):
+            a, b = _root(parent, a), _root(parent, b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        roots = np.array([_root(parent, k) for k in range(len(order))], dtype=np.int64)
+        below = np.flatnonzero(roots != np.arange(len(roots)))
+        both = [names.dictionary.take(pa.array(order[x])) for x in (below, roots[below])]
+        return pa.RecordBatch.from_arrays(both, names=["a", "b"])
+
+    return links.select("a", "b").mapInArrow(run, LINKS)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(set, label) of every linked set, label the least set of its component.
 
-    Star contraction: every set is tied to the least of its neighbours, first among larger ones,
-    then among smaller ones, until nothing changes. Only links are shuffled, and aggregates before joins.
+    The links of a partition are contracted in its task. If what is left fits a task it is contracted there. More goes
+    through star contraction first: every set is tied to the least of its neighbours, first among larger ones,
+    then among smaller ones, until it fits or nothing changes. Only links are shuffled, and aggregates before joins.
     """
-    edges = cut_lineage(links.where("a != b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct())
-    before = None
+    edges, before = cut_lineage(contracted(links.where("a != b"))), None
     while True:
+        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if state[0] <= LINKS_AT_ONCE:
+            edges = cut_lineage(contracted(edges.coalesce(1)))
+            break
+        if state == before:
+            break
+        before = state
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         large = (
@@ -161,10 +209,6 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == before:
-            break
-        before = state
     roots = edges.select(F.col("b").alias("set"), F.col("b").alias("label")).distinct()
     return edges.select(F.col("a").alias("set"), F.col("b").alias("label")).unionByName(roots)
 
@@ -268,7 +312,7 @@ def _small_links(regions: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _slice_links(rows: DataFrame, pivots: DataFrame, width: int, percent: int) -> DataFrame:
-    """Distances of all sets of large regions to the given pivots of their region: (pivot, a, b, d, near)."""
+    """Distances of all sets of large regions to the given pivots of their region and group: (pivot, a, b, d, near)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"pivot": [], "a": [], "b": [], "d": [], "near": []}
@@ -295,12 +339,13 @@ def _slice_links(rows: DataFrame, pivots: DataFrame, width: int, percent: int) -
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("of_slice"),
         F.col("set").alias("name"),
         F.col("body").alias("text"),
+        F.col("group").alias("of_group"),
         "first",
     )
     return (
-        rows.select("pivot", "slice", "set", "body")
-        .groupBy("pivot", "slice")
-        .cogroup(copies.groupBy("of_pivot", "of_slice"))
+        rows.select("pivot", "slice", "group", "set", "body")
+        .groupBy("pivot", "slice", "group")
+        .cogroup(copies.groupBy("of_pivot", "of_slice", "of_group"))
         .applyInArrow(run, "pivot binary, a binary, b binary, d double, near boolean")
     )
 
@@ -313,35 +358,39 @@ def _large_links(regions: DataFrame, known: DataFrame, width: int, percent: int)
         regions.withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("set"), F.col("slices")).cast("int")),
         "large",
     )
-    first = rows.where("set = pivot").withColumn("first", F.lit(True))
-    measured = B.staged(_slice_links(rows, first, width, percent), "distances")
+    first = rows.where("set = pivot").withColumns({"first": F.lit(True), "group": F.lit(0)})
+    measured = B.staged(_slice_links(rows.withColumn("group", F.lit(0)), first, width, percent), "distances")
     links = known.unionByName(measured.where("near").select("a", "b"))
     places = measured.select("pivot", F.col("a").alias("set"), "d")
-    done = first.select("pivot", "set")
+    done = cut_lineage(first.select("pivot", "set"))
     rows = rows.join(places, ["pivot", "set"])
+    groups = 1
     while True:
-        links = cut_lineage(links)
+        links = cut_lineage(contracted(links))
         labels = components(links)
         labelled = cut_lineage(
             places.join(labels, "set", "left").select("pivot", "set", "d", F.coalesce("label", "set").alias("label"))
         )
-        counts = labelled.groupBy("pivot", "label").agg(F.count("*").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+        counts = labelled.groupBy("pivot", "label").agg(F.count("*").alias("c"))
         main = counts.groupBy("pivot").agg(F.max(F.struct("c", "label")).alias("m"))
         strays = (
             labelled.join(main.select("pivot", F.col("m.label").alias("main")), "pivot")
             .where("label != main")
             .join(done, ["pivot", "set"], "left_anti")
         )
-        turn = Window.partitionBy("pivot").orderBy("set")
-        chosen = strays.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PIVOTS).select("pivot", "set")
-        chosen = cut_lineage(chosen)
+        # Pivots of a group have like distances, so that their windows together are narrow.
+        turn, place = Window.partitionBy("pivot").orderBy("set"), Window.partitionBy("pivot").orderBy("d", "set")
+        some = strays.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PIVOTS * groups)
+        chosen = cut_lineage(some.select("pivot", "set", F.floor((F.row_number().over(place) - 1) / PIVOTS).cast("int").alias("group")))
         if chosen.isEmpty():
             return links
-        done = cut_lineage(done.unionByName(chosen))
+        done = cut_lineage(done.coalesce(parallelism(done.sparkSession)).unionByName(chosen.select("pivot", "set")))
         new = rows.join(chosen, ["pivot", "set"]).withColumn("first", F.lit(False))
-        reach = new.groupBy("pivot").agg((F.min("d") - window).alias("lo"), (F.max("d") + window).alias("hi"))
+        reach = new.groupBy("pivot", "group").agg((F.min("d") - window).alias("lo"), (F.max("d") + window).alias("hi"))
         inside = rows.join(reach, "pivot").where("d BETWEEN lo AND hi")
-        links = links.unionByName(_slice_links(inside, new, width, percent).where("near").select("a", "b"))
+        found = _slice_links(inside, new, width, percent).where("near").select("a", "b")
+        links = links.coalesce(parallelism(links.sparkSession)).unionByName(found)
+        groups = min(4 * groups, MOST_GROUPS)
 
 
 def _grouped(found: DataFrame, width: int, percent: int) -> DataFrame:

@@ -116,6 +116,38 @@ def test_groups_of_near_copies(spark, monkeypatch, seed, limit):
     assert groups_of(spark, rows) == ordered(want)
 
 
+def test_large_regions_take_few_jobs(spark, monkeypatch):
+    """A region's strays are looked at in rounds that grow, and a round's components take a few checkpoints."""
+    made, cut = [], J.cut_lineage
+    monkeypatch.setattr(J, "cut_lineage", lambda df: made.append(1) or cut(df))
+    monkeypatch.setattr(J, "REGION_SETS", 3)
+    monkeypatch.setattr(J, "PIVOTS", 1)
+    words = iter(range(10_000))  # one passage makes a region of sets that do not link
+    common = " ".join(f"w{next(words)}" for _ in range(40))
+    rows = [(k, " ".join([common, *(f"w{next(words)}" for _ in range(24))])) for k in range(12)]
+    rows += [(50 + k, text + f" end{k}") for k, (_, text) in enumerate(rows[:3])]
+    want = [(i, n, c) for (i, _), (n, c, _) in zip(rows, A.plain_groups(rows, percent=50), strict=True)]
+    assert groups_of(spark, rows, percent=50) == ordered(want)
+    assert len(made) <= 40
+
+
+@pytest.mark.parametrize("limit", [None, 2])
+def test_components_equal_plain(spark, monkeypatch, limit):
+    if limit:  # links do not fit a task
+        monkeypatch.setattr(J, "LINKS_AT_ONCE", limit)
+    r = random.Random(5)
+    pairs = [(k, k + 1) for k in range(0, 20)] + [(r.randrange(30, 90), r.randrange(30, 90)) for _ in range(40)]
+    pairs = [x if r.random() < 0.5 else x[::-1] for x in pairs]
+    least = {k: k for x in pairs for k in x if x[0] != x[1]}
+    for _ in least:
+        for a, b in pairs:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    frame = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in pairs], J.LINKS).repartition(5)
+    got = sorted((x["set"][0], x["label"][0]) for x in J.components(frame).collect())
+    assert got == sorted(least.items())
+
+
 def test_other_widths_and_limits(spark):
     rows = near_copies(3, 40)
     for width, percent in ((1, 50), (3, 100)):
