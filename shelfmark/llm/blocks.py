@@ -15,6 +15,7 @@ loss reads the same blocks. Only whole blocks are ever in one task's memory.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +50,14 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Memory that Arrow and the C library keep after a task goes back to the system: workers live on and would hold it
+    beside what the next stage needs."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
@@ -88,6 +97,8 @@ def to_blocks(docs: DataFrame, text: str = "text") -> DataFrame:
                     at, held, size = at + 1, [], 0
         if held:
             yield one_block(at, held, size)
+        held = None
+        give_back()
 
     def one_block(at: int, held: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
@@ -149,6 +160,7 @@ def per_block(blocks: DataFrame, make: Callable[[int, pa.Table], pa.Table], sche
         for batch in batches:
             for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows"), strict=True):
                 yield from make(block, unpack(rows.as_buffer())).to_batches()
+        give_back()
 
     return blocks.select("block", "rows").mapInArrow(run, schema)
 
@@ -199,7 +211,9 @@ def with_answers(
     """`make(block, its rows, its answers)` for every block; a block without answers gets none."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return make(left.column("block")[0].as_py(), unpack(left.column("rows")[0].as_buffer()), right)
+        made = make(left.column("block")[0].as_py(), unpack(left.column("rows")[0].as_buffer()), right)
+        give_back()
+        return made
 
     return blocks.select("block", "rows").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 

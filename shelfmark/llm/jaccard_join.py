@@ -300,6 +300,8 @@ def _small_links(regions: DataFrame, width: int, percent: int) -> DataFrame:
                 first = to
         if held:
             yield solve(name, held)
+        held = None
+        B.give_back()
 
     def solve(pivot: bytes, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.blocks import ready, staged
+from shelfmark.llm.blocks import give_back, ready, staged
 
 LENGTH = 2048
 END_ID = 1
@@ -238,6 +238,7 @@ def pack(
         if packer.open:
             yield pieces(packer.flush(False), part, kinds)
             yield pieces(packer.tail(), part, kinds)
+        give_back()
 
     def tails(level: int, last: bool):
         def run(table: pa.Table) -> pa.Table:
