@@ -279,3 +279,11 @@ def test_open_lists_stay_linear():
     assert {d for t, d in zip(page.tags, page.depths, strict=True) if t == "li"} == {1}
     cells, _ = texts("<table><tr><td>a<td>b<tr><th>c<td><table><tr><td>d</table></table>", "td", "th")
     assert cells == [("td", "a"), ("td", "b"), ("th", "c"), ("td", "d"), ("td", "d")]
+
+
+def test_pages_are_dealt_to_all_cores(spark):
+    """Run-time coalescing would put the few lines of a small table, and so all reading of their pages, in one task."""
+    from bindings.pages import price_pages
+
+    pages = price_pages(spark, "/root/testdata/sf0.001")
+    assert pages.rdd.getNumPartitions() >= 4
