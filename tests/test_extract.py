@@ -1,6 +1,7 @@
 """Page jobs on hand-written pages with invented contents."""
 
 import pytest
+from pyspark.sql import types as T
 
 from shelfmark.operators.frontier import link_closure
 from shelfmark.plans import extract
@@ -287,3 +288,16 @@ def test_pages_are_dealt_to_all_cores(spark):
 
     pages = price_pages(spark, "/root/testdata/sf0.001")
     assert pages.rdd.getNumPartitions() >= 4
+
+
+def plan_of(spark, extractor, kind):
+    """The rules of an extractor as they are looked at, elements taken as given."""
+    from shelfmark.sources.elements import array_of
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    fields = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("elements", array_of(extract.READINGS[kind]))])
+    return extractor(spark.createDataFrame([], fields))._jdf.queryExecution().analyzed().toString()
+
+
+def test_overview_settles_each_rule_once(spark):
+    assert plan_of(spark, extract.overview, "overview").count(".info-genres") == 2
