@@ -301,3 +301,7 @@ def plan_of(spark, extractor, kind):
 
 def test_overview_settles_each_rule_once(spark):
     assert plan_of(spark, extract.overview, "overview").count(".info-genres") == 2
+
+
+def test_specs_look_only_at_what_they_need(spark):
+    assert "table-credits" not in plan_of(spark, extract.specs, "specs")
