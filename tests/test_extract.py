@@ -305,3 +305,7 @@ def test_overview_settles_each_rule_once(spark):
 
 def test_specs_look_only_at_what_they_need(spark):
     assert "table-credits" not in plan_of(spark, extract.specs, "specs")
+
+
+def test_prices_look_only_at_what_they_need(spark):
+    assert "releaseInfo" not in plan_of(spark, extract.prices, "prices")
